@@ -24,7 +24,7 @@ def _type(arrow_type) -> str:
 def difference(spark_df, db, sql: str) -> str | None:
     """What differs between the two results, or None when they are equal."""
     left = spark_df.toArrow()
-    right = db.execute(sql).to_arrow_table()
+    right = db.sql(sql).to_arrow_table()
     if sorted(left.column_names) != sorted(right.column_names):
         return f"columns {sorted(left.column_names)} vs {sorted(right.column_names)}"
     names = sorted(left.column_names)

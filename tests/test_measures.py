@@ -1,0 +1,89 @@
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from wayfare.functions import measures as m
+
+
+def values_frame(spark, values, parts=3):
+    return spark.createDataFrame([(i % 4, i, v) for i, v in enumerate(values)], "g int, i int, v double").repartition(parts)
+
+
+def direct(df, keys, wanted):
+    return m.finish(m.partials(df, keys, wanted), keys, wanted)
+
+
+def test_sum_does_not_depend_on_row_order(spark):
+    random.seed(7)
+    values = [round(random.uniform(-500, 500), 2) for _ in range(5000)]
+    exact = float(sum(Fraction(str(v)) for v in values))
+    wanted = (m.total("s", "v"),)
+    for parts in (1, 3, 17):
+        random.shuffle(values)
+        assert direct(values_frame(spark, values, parts), [], wanted).first().s == exact
+
+
+def test_mean_skips_or_zeroes_nulls(spark):
+    df = spark.createDataFrame([(10.0,), (None,)], "v double")
+    skip, zero = m.mean("a", "v"), m.mean("a", "v", nulls="zero")
+    assert direct(df, [], (skip,)).first().a == 10.0
+    assert direct(df, [], (zero,)).first().a == 5.0
+
+
+def test_groups_without_values(spark):
+    df = spark.createDataFrame([(None,)], "v double")
+    wanted = (m.total("s", "v"), m.mean("a", "v"))
+    assert tuple(direct(df, [], wanted).first()) == (None, None)
+    wanted = (m.total("s", "v", nulls="zero"), m.mean("a", "v", nulls="zero"))
+    assert tuple(direct(df, [], wanted).first()) == (0.0, 0.0)
+    assert tuple(direct(df.limit(0), [], wanted).first()) == (0.0, 0.0)
+
+
+def test_unknown_null_policy_is_refused(spark):
+    with pytest.raises(ValueError):
+        m.mean("a", "v", nulls="drop")
+
+
+def test_large_and_non_finite_values_are_not_lost(spark):
+    df = spark.createDataFrame([(1.25,), (3.0e12,), (-2.0e6,)], "v double")
+    assert direct(df, [], (m.total("s", "v"),)).first().s == 1.25 + 3.0e12 - 2.0e6
+    for odd in (float("inf"), float("-inf")):
+        df = spark.createDataFrame([(1.0,), (odd,)], "v double")
+        assert direct(df, [], (m.total("s", "v"),)).first().s == odd
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "v double")
+    row = direct(df, [], (m.total("s", "v"), m.mean("a", "v"))).first()
+    assert math.isnan(row.s) and math.isnan(row.a)
+
+
+def test_merged_parts_equal_direct_aggregation(spark):
+    random.seed(11)
+    values = [None if random.random() < 0.1 else round(random.gauss(0, 40), 2) for _ in range(400)]
+    df = values_frame(spark, values)
+    wanted = (
+        m.rows("n"),
+        m.total("s", "v"),
+        m.mean("a", "v"),
+        m.mean("z", "v", nulls="zero"),
+        m.matches("pos", F.col("v") > 0),
+        m.largest("hi", "v"),
+        m.smallest_positive("lo", "v"),
+    )
+    fine = m.partials(df, ["g", (F.col("i") % 7).alias("h")], wanted)
+    merged = m.finish(m.combine(fine, ["g"], wanted), ["g"], wanted)
+    assert sorted(merged.collect()) == sorted(direct(df, ["g"], wanted).collect())
+
+
+def test_weighted_mean_counts_only_known_values(spark):
+    df = spark.createDataFrame([(10.0, 1), (20.0, 3), (None, 100)], "a double, n bigint")
+    assert direct(df, [], (m.weighted_mean("w", "a", "n"),)).first().w == 17.5
+
+
+def test_aggregates_combine_before_the_shuffle(spark):
+    from helpers import plan_of
+
+    df = values_frame(spark, [1.0, 2.0])
+    plan = plan_of(direct(df, ["g"], (m.total("s", "v"), m.mean("a", "v"))))
+    assert "partial_sum" in plan and "SortAggregate" not in plan

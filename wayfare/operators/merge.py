@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [left[k].eqNullSafe(right[k]) for k in keys]
+def _same_keys(keys: Sequence[str]) -> list[Column]:
+    """Key equality of the sides aliased ``t`` and ``b``; names keep self-joins unambiguous."""
+    return [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
 
 
 def one_per_key(
@@ -33,7 +34,7 @@ def one_per_key(
 
 def merge_insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the batch rows whose key the target does not have."""
-    new = batch.join(target, _same_keys(batch, target, keys), "left_anti")
+    new = batch.alias("b").join(target.alias("t"), _same_keys(keys), "left_anti")
     return target.unionByName(new)
 
 
@@ -41,16 +42,14 @@ def merge_partial(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], replace: Sequence[str]
 ) -> DataFrame:
     """Replace only the listed columns of rows present on both sides; add new rows whole."""
-    old = target.withColumn("_in_target", F.lit(True))
-    new = batch.withColumn("_in_batch", F.lit(True))
-    joined = old.join(new, _same_keys(old, new, keys), "full_outer")
-    both = old["_in_target"].isNotNull() & new["_in_batch"].isNotNull()
+    old = target.withColumn("_in_target", F.lit(True)).alias("t")
+    new = batch.withColumn("_in_batch", F.lit(True)).alias("b")
+    joined = old.join(new, _same_keys(keys), "full_outer")
+    only_in_batch = F.col("_in_target").isNull()
     columns = []
     for c in target.columns:
-        from_batch = old["_in_target"].isNull()
-        if c in replace:
-            from_batch = from_batch | both
-        columns.append(F.when(from_batch, new[c]).otherwise(old[c]).alias(c))
+        from_batch = F.col("_in_batch").isNotNull() if c in replace else only_in_batch
+        columns.append(F.when(from_batch, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
     return joined.select(*columns)
 
 
@@ -64,5 +63,5 @@ def merge_replace(
     if keep:
         replace = [c for c in target.columns if c not in keys and c not in keep]
         return merge_partial(target, batch, keys, replace)
-    untouched = target.join(batch, _same_keys(target, batch, keys), "left_anti")
+    untouched = target.alias("t").join(batch.alias("b"), _same_keys(keys), "left_anti")
     return untouched.unionByName(batch)

@@ -11,34 +11,42 @@ from wayfare.functions.payment import with_payment_flags
 from wayfare.functions.times import daypart, is_weekend
 from wayfare.operators.filters import PICKUP, different_zones, known_zone
 
-DAILY = (
-    m.rows("total_trips"),
-    m.total("total_revenue", "total_amount"),
-    m.mean("avg_fare", "fare_amount"),
-    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
-    m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
-    m.mean("avg_passengers", "passenger_count", 1),
-    m.matches("credit_card_trips", F.col("is_credit")),
-    m.matches("cash_trips", F.col("is_cash")),
-    m.mean("avg_tip", "tip_amount"),
-    m.largest("max_fare", "total_amount"),
-    m.smallest_positive("min_fare", "total_amount"),
-)
-HOURLY = (
-    m.rows("trip_count"),
-    m.total("total_revenue", "total_amount"),
-    m.mean("avg_fare", "fare_amount"),
-    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
-    m.mean("avg_duration", "duration_minutes", m.MINUTE_UNITS),
-    m.mean("avg_passengers", "passenger_count", 1),
-)
-ROUTE = (
-    m.rows("route_count"),
-    m.mean("avg_fare", "fare_amount"),
-    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
-    m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
-    m.total("total_revenue", "total_amount"),
-)
+
+def daily_measures() -> tuple[m.Measure, ...]:
+    return (
+        m.rows("total_trips"),
+        m.total("total_revenue", "total_amount"),
+        m.mean("avg_fare", "fare_amount"),
+        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+        m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
+        m.mean("avg_passengers", "passenger_count", 1),
+        m.matches("credit_card_trips", F.col("is_credit")),
+        m.matches("cash_trips", F.col("is_cash")),
+        m.mean("avg_tip", "tip_amount"),
+        m.largest("max_fare", "total_amount"),
+        m.smallest_positive("min_fare", "total_amount"),
+    )
+
+
+def hourly_measures() -> tuple[m.Measure, ...]:
+    return (
+        m.rows("trip_count"),
+        m.total("total_revenue", "total_amount"),
+        m.mean("avg_fare", "fare_amount"),
+        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+        m.mean("avg_duration", "duration_minutes", m.MINUTE_UNITS),
+        m.mean("avg_passengers", "passenger_count", 1),
+    )
+
+
+def route_measures() -> tuple[m.Measure, ...]:
+    return (
+        m.rows("route_count"),
+        m.mean("avg_fare", "fare_amount"),
+        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+        m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
+        m.total("total_revenue", "total_amount"),
+    )
 
 
 def zone_window_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
@@ -66,8 +74,9 @@ def global_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
 def daily_summary(trips: DataFrame) -> DataFrame:
     """One row per pickup date. Extremes are over the total amount; means skip nulls."""
     trips = with_payment_flags(trips)
-    parts = m.partials(trips, [F.to_date(PICKUP).alias("date")], DAILY)
-    return m.finish(parts, ["date"], DAILY)
+    wanted = daily_measures()
+    parts = m.partials(trips, [F.to_date(PICKUP).alias("date")], wanted)
+    return m.finish(parts, ["date"], wanted)
 
 
 def hourly_zone_stats(trips: DataFrame) -> DataFrame:
@@ -77,14 +86,16 @@ def hourly_zone_stats(trips: DataFrame) -> DataFrame:
         F.hour(PICKUP).alias("hour"),
         F.col("pickup_zone").alias("zone_id"),
     ]
-    return m.finish(m.partials(trips, keys, HOURLY), ["date", "hour", "zone_id"], HOURLY)
+    wanted = hourly_measures()
+    return m.finish(m.partials(trips, keys, wanted), ["date", "hour", "zone_id"], wanted)
 
 
 def route_analysis(trips: DataFrame, self_routes: bool = True) -> DataFrame:
     """One row per pickup and dropoff zone."""
     keys = ["pickup_zone", "dropoff_zone"]
     trips = trips if self_routes else different_zones(trips)
-    return m.finish(m.partials(trips, keys, ROUTE), keys, ROUTE)
+    wanted = route_measures()
+    return m.finish(m.partials(trips, keys, wanted), keys, wanted)
 
 
 def _bounds() -> list[Column]:

@@ -1,10 +1,11 @@
-"""Batch jobs: trips from Parquet to a stored summary.
+"""Batch jobs: trips from Parquet to a stored summary table.
 
-    spark-submit -m wayfare.plans.batch daily --input PATH --output PATH 2024-01-05
-    spark-submit -m wayfare.plans.batch hourly --input PATH --output PATH --all-history
+    spark-submit ... -m wayfare.plans.batch daily_summary --input PATH --output PATH 2024-01-05
+    spark-submit ... -m wayfare.plans.batch hourly_zone_stats --input PATH --output PATH --all-history
 
-Without a date the job takes yesterday. Each job reads its input once, aggregates, and
-writes in one action; a run for a date replaces that date, so it can be repeated.
+Without a date the job takes yesterday. Each job aggregates and writes in one action; a run
+for a date replaces that date, so it can be repeated. Routes have no date and are replaced
+as a whole.
 """
 
 from __future__ import annotations
@@ -14,48 +15,76 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wayfare.operators import summaries
 from wayfare.operators.filters import on_day
-from wayfare.operators.summaries import daily_summary, hourly_zone_stats, route_analysis
+from wayfare.operators.ranking import top_active_zones
 from wayfare.session import build_session, use_utc
 from wayfare.sinks import jdbc
-from wayfare.sinks.parquet import write_by_date, write_plain
+from wayfare.sinks.parquet import write_by_date, write_partitioned, write_plain
 from wayfare.sinks.report import preview, write_counted
 from wayfare.sources.trips import enrich, has_rows, read_trips, read_trips_merged
 
+
+def _hourly_top(trips: DataFrame) -> DataFrame:
+    return top_active_zones(summaries.zone_window_stats(trips, "1 hour"), 10)
+
+
 SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "daily": daily_summary,
-    "hourly": hourly_zone_stats,
-    "routes": route_analysis,
+    "daily_summary": summaries.daily_summary,
+    "hourly_zone_stats": summaries.hourly_zone_stats,
+    "route_analysis": summaries.route_analysis,
+    "real_time_zones": summaries.zone_window_stats,
+    "real_time_global": summaries.global_window_stats,
+    "top_active_zones": _hourly_top,
 }
-JDBC_TABLES = {"daily": "daily_summary", "hourly": "hourly_zone_stats", "routes": "route_analysis"}
+# Tables stored below the date of this column.
+WINDOW_TABLES = {
+    "real_time_zones": "window_start",
+    "real_time_global": "window_start",
+    "top_active_zones": "update_time",
+}
+
 
+def store(table: str, rows: DataFrame, path: str) -> None:
+    """Write a serving table in its layout, replacing the dates present in the rows."""
+    if table == "route_analysis":
+        write_plain(rows, path, "overwrite")
+    elif table in WINDOW_TABLES:
+        day = F.to_date(WINDOW_TABLES[table])
+        write_partitioned(rows, path, "window_date", day, "replace", (WINDOW_TABLES[table],))
+    else:
+        write_by_date(rows, path, "replace")
 
-def load(spark: SparkSession, paths: Sequence[str], day: dt.date | str | None, merge: bool = False) -> DataFrame:
-    reader = read_trips_merged if merge else read_trips
+
+def load(
+    spark: SparkSession,
+    paths: Sequence[str],
+    day: dt.date | str | None = None,
+    merge_schemas: bool = False,
+) -> DataFrame:
+    reader = read_trips_merged if merge_schemas else read_trips
     return on_day(enrich(reader(spark, *paths)), day)
 
 
 def run(
     spark: SparkSession,
-    kind: str,
+    table: str,
     paths: Sequence[str],
     output: str | None = None,
     day: dt.date | str | None = None,
     target: jdbc.JdbcTarget | None = None,
-    merge: bool = False,
+    merge_schemas: bool = False,
 ) -> int:
-    """Compute one summary, write it to Parquet or a JDBC table, return the rows written."""
-    use_utc(spark)
-    trips = load(spark, paths, day, merge)
+    """Compute one table, write it to Parquet or over JDBC, return the rows written."""
+    trips = load(use_utc(spark), paths, day, merge_schemas)
     if not has_rows(trips):
         return 0
-    summary = SUMMARIES[kind](trips)
+    rows = SUMMARIES[table](trips)
     if target:
-        return write_counted(summary, lambda df: jdbc.append(df, JDBC_TABLES[kind], target))
-    if kind == "routes":
-        return write_counted(summary, lambda df: write_plain(df, output, "overwrite"))
-    return write_counted(summary, lambda df: write_by_date(df, output, "replace"))
+        return write_counted(rows, lambda df: jdbc.append(df, table, target))
+    return write_counted(rows, lambda df: store(table, df, output))
 
 
 def parse_day(text: str | None, all_history: bool, today: dt.date) -> dt.date | None:
@@ -67,7 +96,7 @@ def parse_day(text: str | None, all_history: bool, today: dt.date) -> dt.date |
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("kind", choices=sorted(SUMMARIES))
+    parser.add_argument("table", choices=sorted(SUMMARIES))
     parser.add_argument("day", nargs="?", help="YYYY-MM-DD, default yesterday")
     parser.add_argument("--all-history", action="store_true")
     parser.add_argument("--input", nargs="+", required=True)
@@ -76,18 +105,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--jdbc-property", nargs="*", default=[], help="name=value")
     parser.add_argument("--merge-schemas", action="store_true")
     args = parser.parse_args(argv)
-    if not (args.output or args.jdbc_url):
-        parser.error("one of --output and --jdbc-url is needed")
+    if bool(args.output) == bool(args.jdbc_url):
+        parser.error("give either --output or --jdbc-url")
 
     target = None
     if args.jdbc_url:
         properties = dict(p.split("=", 1) for p in args.jdbc_property)
         target = jdbc.JdbcTarget(args.jdbc_url, properties)
     day = parse_day(args.day, args.all_history, dt.date.today())
-    spark = build_session(f"wayfare {args.kind}")
+    spark = build_session(f"wayfare {args.table}")
     try:
-        rows = run(spark, args.kind, args.input, args.output, day, target, args.merge_schemas)
-        print(f"{args.kind}: {rows} rows written for {day or 'all history'}")
+        rows = run(spark, args.table, args.input, args.output, day, target, args.merge_schemas)
+        print(f"{args.table}: {rows} rows written for {day or 'all history'}")
         if rows and args.output:
             preview(spark.read.parquet(args.output))
     finally:

@@ -116,12 +116,12 @@ def _global(width: str) -> str:
   FROM trips WHERE {KNOWN} GROUP BY 1, 2"""
 
 
-def _ranked(windows: str, where: str = "true") -> str:
+def _ranked(windows: str, where: str = "true", k: int = 5) -> str:
     return f"""SELECT window_start AS update_time, zone_id, CAST(place AS INTEGER) AS zone_rank,
   trip_count, total_revenue
   FROM (SELECT *, row_number() OVER (
     PARTITION BY window_start ORDER BY trip_count DESC, zone_id) AS place FROM {windows})
-  WHERE place <= 5 AND {where}"""
+  WHERE place <= {k} AND {where}"""
 
 
 def _with(*parts: str) -> str:
@@ -264,6 +264,25 @@ UNION ALL SELECT 'route_analysis', COUNT(*) FROM routes ORDER BY table_name""",
     "dataset_profile": _with(TRIPS)
     + """SELECT COUNT(*) AS row_count, CAST(11 AS INTEGER) AS column_count,
   MIN(pickup) AS first_pickup, MAX(pickup) AS last_pickup FROM trips""",
+    "view_last_24h": _with(BUSY, f"windows AS ({_windows()})")
+    + f"SELECT * FROM windows WHERE window_start >= {AS_OF} - INTERVAL 24 HOURS",
+    "stored_tables_sql": _with(
+        BUSY,
+        f"daily AS ({_daily()})",
+        f"hourly AS ({_hourly()})",
+        f"routes AS ({_routes()})",
+        f"zones AS ({_windows()})",
+        f"everywhere AS ({_global('1 minute')})",
+        f"hours AS ({_windows('1 hour')})",
+        f"active AS ({_ranked('hours', k=10)})",
+    )
+    + """SELECT 'daily_summary' AS table_name, COUNT(*) AS record_count,
+  CAST(SUM(total_trips) AS BIGINT) AS trips FROM daily
+UNION ALL SELECT 'hourly_zone_stats', COUNT(*), CAST(SUM(trip_count) AS BIGINT) FROM hourly
+UNION ALL SELECT 'route_analysis', COUNT(*), CAST(SUM(route_count) AS BIGINT) FROM routes
+UNION ALL SELECT 'real_time_zones', COUNT(*), CAST(SUM(trip_count) AS BIGINT) FROM zones
+UNION ALL SELECT 'real_time_global', COUNT(*), CAST(SUM(total_trips) AS BIGINT) FROM everywhere
+UNION ALL SELECT 'top_active_zones', COUNT(*), CAST(SUM(trip_count) AS BIGINT) FROM active""",
     "merge_insert_absent": _with(TRIPS, OLD_DAYS, NEW_DAYS)
     + """SELECT * FROM old UNION ALL BY NAME
 SELECT * FROM new WHERE "date" NOT IN (SELECT "date" FROM old)""",

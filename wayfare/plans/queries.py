@@ -12,7 +12,7 @@ from wayfare.functions.payment import with_payment_flags
 from wayfare.functions.zones import grid_zone
 from wayfare.operators import inventory, merge, migration, quality, ranking, summaries
 from wayfare.operators.filters import PICKUP, last_hours, on_day, retained, since, split_invalid, until
-from wayfare.plans import live
+from wayfare.plans import batch, live, serving
 from wayfare.session import STREAM_CONF, new_workdir, use_utc
 from wayfare.sinks.parquet import land_by_date, write_by_month, write_plain
 from wayfare.sources import messages as msg
@@ -308,6 +308,39 @@ def dataset_profile(spark, sf_dir):
     return inventory.dataset_profile(sample.as_raw_trips(sample.read_events(spark, sf_dir)))
 
 
+def _stored(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Compute and store serving tables, then offer them to SQL."""
+    base = new_workdir(spark, "serving")
+    trips = _busy_trips(spark, sf_dir)
+    for name in names:
+        batch.store(name, batch.SUMMARIES[name](trips), f"{base}/{name}")
+    serving.register_tables(spark, base, names)
+
+
+@query
+def view_last_24h(spark, sf_dir):
+    _stored(spark, sf_dir, "real_time_zones")
+    serving.register_recent_view(spark, AS_OF)
+    return spark.sql(f"SELECT * FROM {serving.RECENT_VIEW}")
+
+
+@query
+def stored_tables_sql(spark, sf_dir):
+    """A report in SQL over all six stored tables."""
+    _stored(spark, sf_dir, *batch.SUMMARIES)
+    return spark.sql(
+        """
+        SELECT 'daily_summary' AS table_name, count(*) AS record_count,
+               sum(total_trips) AS trips FROM daily_summary
+        UNION ALL SELECT 'hourly_zone_stats', count(*), sum(trip_count) FROM hourly_zone_stats
+        UNION ALL SELECT 'route_analysis', count(*), sum(route_count) FROM route_analysis
+        UNION ALL SELECT 'real_time_zones', count(*), sum(trip_count) FROM real_time_zones
+        UNION ALL SELECT 'real_time_global', count(*), sum(total_trips) FROM real_time_global
+        UNION ALL SELECT 'top_active_zones', count(*), sum(trip_count) FROM top_active_zones
+        """
+    )
+
+
 # --- merges, constraints, layouts ----------------------------------------------------
 
 

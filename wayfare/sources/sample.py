@@ -7,12 +7,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfare.sources.trips import enrich
-
-EVENTS_SCHEMA = T.StructType.fromDDL(
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+from wayfare.tables import struct
+
+EVENTS_SCHEMA = struct(
+    event_id="bigint",
+    ts="timestamp_ntz",
+    user_id="bigint",
+    event_type="string",
+    value="double",
+    props="string",
 )
 
 

@@ -6,23 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-# Column names and types of the historical trip files. Timestamps are
-# zone-less in batch tables, so no result depends on the session zone.
-TRIP_SCHEMA = T.StructType(
-    [
-        T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
-        T.StructField("tpep_dropoff_datetime", T.TimestampNTZType()),
-        T.StructField("passenger_count", T.LongType()),
-        T.StructField("trip_distance", T.DoubleType()),
-        T.StructField("PULocationID", T.LongType()),
-        T.StructField("DOLocationID", T.LongType()),
-        T.StructField("payment_type", T.LongType()),
-        T.StructField("fare_amount", T.DoubleType()),
-        T.StructField("total_amount", T.DoubleType()),
-        T.StructField("tip_amount", T.DoubleType()),
-    ]
-)
-
 
 @dataclass(frozen=True)
 class Table:
@@ -40,57 +23,137 @@ class Table:
         return [c for c in self.schema.names if c not in self.required]
 
 
-def _table(name, ddl, keys, required=None, **rules) -> Table:
-    return Table(name, T.StructType.fromDDL(ddl), keys, required or keys, **rules)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def struct(**columns: str) -> T.StructType:
+    """Schema from column names and type names; needs no session, unlike DDL text."""
+    return T.StructType([T.StructField(c, _TYPES[t]) for c, t in columns.items()])
+
+
+# Column names and types of the historical trip files. Timestamps are
+# zone-less in batch tables, so no result depends on the session zone.
+TRIP_SCHEMA = struct(
+    tpep_pickup_datetime="timestamp_ntz",
+    tpep_dropoff_datetime="timestamp_ntz",
+    passenger_count="bigint",
+    trip_distance="double",
+    PULocationID="bigint",
+    DOLocationID="bigint",
+    payment_type="bigint",
+    fare_amount="double",
+    total_amount="double",
+    tip_amount="double",
+)
 
 
-REAL_TIME_ZONES = _table(
-    "real_time_zones",
-    "zone_id string, window_start timestamp_ntz, window_end timestamp_ntz, trip_count bigint, "
-    "total_revenue double, avg_fare double, avg_distance double, avg_passengers double, "
-    "payment_cash_count bigint, payment_credit_count bigint",
-    ("zone_id", "window_start"),
-    ("zone_id", "window_start", "window_end"),
+REAL_TIME_ZONES = Table(
+    name="real_time_zones",
+    schema=struct(
+        zone_id="string",
+        window_start="timestamp_ntz",
+        window_end="timestamp_ntz",
+        trip_count="bigint",
+        total_revenue="double",
+        avg_fare="double",
+        avg_distance="double",
+        avg_passengers="double",
+        payment_cash_count="bigint",
+        payment_credit_count="bigint",
+    ),
+    keys=("zone_id", "window_start"),
+    required=("zone_id", "window_start", "window_end"),
     max_lengths={"zone_id": 50},
 )
 
-DAILY_SUMMARY = _table(
-    "daily_summary",
-    "date date, total_trips bigint, total_revenue double, avg_fare double, avg_distance double, "
-    "avg_duration_minutes double, avg_passengers double, credit_card_trips bigint, "
-    "cash_trips bigint, avg_tip double, max_fare double, min_fare double",
-    ("date",),
+DAILY_SUMMARY = Table(
+    name="daily_summary",
+    schema=struct(
+        date="date",
+        total_trips="bigint",
+        total_revenue="double",
+        avg_fare="double",
+        avg_distance="double",
+        avg_duration_minutes="double",
+        avg_passengers="double",
+        credit_card_trips="bigint",
+        cash_trips="bigint",
+        avg_tip="double",
+        max_fare="double",
+        min_fare="double",
+    ),
+    keys=("date",),
+    required=("date",),
 )
 
-HOURLY_ZONE_STATS = _table(
-    "hourly_zone_stats",
-    "date date, hour int, zone_id string, trip_count bigint, total_revenue double, "
-    "avg_fare double, avg_distance double, avg_duration double, avg_passengers double",
-    ("date", "hour", "zone_id"),
+HOURLY_ZONE_STATS = Table(
+    name="hourly_zone_stats",
+    schema=struct(
+        date="date",
+        hour="int",
+        zone_id="string",
+        trip_count="bigint",
+        total_revenue="double",
+        avg_fare="double",
+        avg_distance="double",
+        avg_duration="double",
+        avg_passengers="double",
+    ),
+    keys=("date", "hour", "zone_id"),
+    required=("date", "hour", "zone_id"),
     checks={"hour_between_0_and_23": "hour >= 0 AND hour <= 23"},
     max_lengths={"zone_id": 50},
 )
 
-ROUTE_ANALYSIS = _table(
-    "route_analysis",
-    "pickup_zone string, dropoff_zone string, route_count bigint, avg_fare double, "
-    "avg_distance double, avg_duration_minutes double, total_revenue double",
-    ("pickup_zone", "dropoff_zone"),
+ROUTE_ANALYSIS = Table(
+    name="route_analysis",
+    schema=struct(
+        pickup_zone="string",
+        dropoff_zone="string",
+        route_count="bigint",
+        avg_fare="double",
+        avg_distance="double",
+        avg_duration_minutes="double",
+        total_revenue="double",
+    ),
+    keys=("pickup_zone", "dropoff_zone"),
+    required=("pickup_zone", "dropoff_zone"),
     max_lengths={"pickup_zone": 50, "dropoff_zone": 50},
 )
 
-REAL_TIME_GLOBAL = _table(
-    "real_time_global",
-    "window_start timestamp_ntz, window_end timestamp_ntz, total_trips bigint, "
-    "total_revenue double, avg_fare double, avg_trip_distance double, avg_passengers double",
-    ("window_start",),
+REAL_TIME_GLOBAL = Table(
+    name="real_time_global",
+    schema=struct(
+        window_start="timestamp_ntz",
+        window_end="timestamp_ntz",
+        total_trips="bigint",
+        total_revenue="double",
+        avg_fare="double",
+        avg_trip_distance="double",
+        avg_passengers="double",
+    ),
+    keys=("window_start",),
+    required=("window_start",),
 )
 
-TOP_ACTIVE_ZONES = _table(
-    "top_active_zones",
-    "update_time timestamp_ntz, zone_id string, zone_rank int, trip_count bigint, "
-    "total_revenue double",
-    ("update_time", "zone_id"),
+TOP_ACTIVE_ZONES = Table(
+    name="top_active_zones",
+    schema=struct(
+        update_time="timestamp_ntz",
+        zone_id="string",
+        zone_rank="int",
+        trip_count="bigint",
+        total_revenue="double",
+    ),
+    keys=("update_time", "zone_id"),
+    required=("update_time", "zone_id"),
     max_lengths={"zone_id": 10},
 )
 

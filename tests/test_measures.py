@@ -67,11 +67,11 @@ def test_merged_parts_equal_direct_aggregation(spark):
         m.total("s", "v"),
         m.mean("a", "v"),
         m.mean("z", "v", nulls="zero"),
-        m.matches("pos", F.col("v") > 0),
+        m.matches("pos", "v > 0"),
         m.largest("hi", "v"),
         m.smallest_positive("lo", "v"),
     )
-    fine = m.partials(df, ["g", (F.col("i") % 7).alias("h")], wanted)
+    fine = m.partials(df, ["g", "i % 7 AS h"], wanted)
     merged = m.finish(m.combine(fine, ["g"], wanted), ["g"], wanted)
     assert sorted(merged.collect()) == sorted(direct(df, ["g"], wanted).collect())
 

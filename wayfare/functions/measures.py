@@ -9,80 +9,76 @@ Doubles are added as whole units (1/10,000 of an amount or a distance, one milli
 a duration). Adding whole numbers gives the same total in every partition order, where
 adding doubles does not, and it stays inside generated code, where decimals do not. Values
 too large or not finite are added as plain doubles on the side, so nothing is lost.
+
+Expressions are SQL text: one call to the JVM each, however long they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.numbers import guarded_mean, positive
-
 AMOUNT_UNITS = 10_000
 DISTANCE_UNITS = 10_000
 MINUTE_UNITS = 60_000
 
 # Values up to this size are added as units: far from overflow for any real table.
-UNIT_LIMIT = 1.0e6
+UNIT_LIMIT = "1e6D"
 
 
 @dataclass(frozen=True)
 class Part:
     name: str
-    build: Column  # aggregate over rows
-    merge: Callable[[Column], Column]  # aggregate over stored parts
+    build: str  # aggregate over rows
+    merge: str = "sum"  # aggregate function over stored parts
 
 
 @dataclass(frozen=True)
 class Measure:
     name: str
     parts: tuple[Part, ...]
-    value: Column  # over the part columns
+    value: str  # over the part columns
 
 
-def _rows_part() -> Part:
-    return Part("part_rows", F.count(F.lit(1)), F.sum)
+ROWS = Part("part_rows", "count(1)")
 
 
-def _sum_parts(label: str, value: Column, units: int) -> tuple[Part, Part]:
-    value = value.cast("double")
-    fits = F.abs(value) < UNIT_LIMIT
+def _sum_parts(label: str, value: str, units: int) -> tuple[Part, Part]:
+    value = f"CAST({value} AS DOUBLE)"
+    whole = f"CAST(rint({value} * {units}) AS BIGINT)"
+    fits = f"abs({value}) < {UNIT_LIMIT}"
     return (
-        Part(
-            f"part_{label}_units",
-            F.sum(F.when(fits, F.rint(value * units).cast("bigint"))),
-            F.sum,
-        ),
-        Part(f"part_{label}_rest", F.sum(F.when(~fits, value)), F.sum),
+        Part(f"part_{label}_units", f"sum(CASE WHEN {fits} THEN {whole} END)"),
+        Part(f"part_{label}_rest", f"sum(CASE WHEN NOT ({fits}) THEN {value} END)"),
     )
 
 
-def _sum_value(label: str, units: int) -> Column:
-    whole = F.col(f"part_{label}_units") / F.lit(float(units))
-    rest = F.col(f"part_{label}_rest")
-    return F.coalesce(whole + rest, whole, rest)
+def _sum_value(label: str, units: int) -> str:
+    whole = f"part_{label}_units / {units}D"
+    rest = f"part_{label}_rest"
+    return f"coalesce({whole} + {rest}, {whole}, {rest})"
 
 
 def rows(name: str) -> Measure:
     """Number of rows."""
-    return Measure(name, (_rows_part(),), F.col("part_rows"))
+    return Measure(name, (ROWS,), ROWS.name)
 
 
-def matches(name: str, condition: Column) -> Measure:
+def matches(name: str, condition: str) -> Measure:
     """Number of rows for which the condition is true."""
-    part = f"part_{name}"
-    return Measure(name, (Part(part, F.count_if(condition), F.sum),), F.col(part))
+    part = Part(f"part_{name}", f"count_if({condition})")
+    return Measure(name, (part,), part.name)
 
 
 def total(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip") -> Measure:
     """Sum of a column; with ``nulls="zero"`` a group without values sums to zero."""
     value = _sum_value(column, units)
     if nulls == "zero":
-        value = F.coalesce(value, F.lit(0.0))
-    return Measure(name, _sum_parts(column, F.col(column), units), value)
+        value = f"coalesce({value}, 0D)"
+    return Measure(name, _sum_parts(column, column, units), value)
 
 
 def mean(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip") -> Measure:
@@ -91,62 +87,63 @@ def mean(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip")
     ``nulls="skip"`` divides by the number of values and is null without any;
     ``nulls="zero"`` counts a missing value as zero and divides by the number of rows.
     """
-    value = _sum_value(column, units)
+    sums, value = _sum_parts(column, column, units), _sum_value(column, units)
     if nulls == "zero":
-        value = guarded_mean(F.coalesce(value, F.lit(0.0)), F.col("part_rows"))
-        return Measure(name, (*_sum_parts(column, F.col(column), units), _rows_part()), value)
+        by_rows = f"CASE WHEN {ROWS.name} > 0 THEN coalesce({value}, 0D) / {ROWS.name} ELSE 0D END"
+        return Measure(name, (*sums, ROWS), by_rows)
     if nulls != "skip":
         raise ValueError(f"unknown null policy: {nulls}")
-    counted = Part(f"part_{column}_count", F.count(column), F.sum)
-    count = F.col(counted.name)
-    return Measure(name, (*_sum_parts(column, F.col(column), units), counted), F.when(count > 0, value / count))
+    count = Part(f"part_{column}_count", f"count({column})")
+    by_values = f"CASE WHEN {count.name} > 0 THEN {value} / {count.name} END"
+    return Measure(name, (*sums, count), by_values)
 
 
 def weighted_mean(name: str, column: str, weight: str, units: int = AMOUNT_UNITS) -> Measure:
     """Mean of stored means, each counting as often as the rows behind it."""
     label = f"{column}_by_{weight}"
-    weights = Part(
-        f"part_{label}_weight",
-        F.sum(F.when(F.col(column).isNotNull(), F.col(weight))),
-        F.sum,
-    )
-    sums = _sum_parts(label, F.col(column) * F.col(weight), units)
-    count = F.col(weights.name)
-    return Measure(name, (*sums, weights), F.when(count > 0, _sum_value(label, units) / count))
+    sums = _sum_parts(label, f"{column} * {weight}", units)
+    weights = Part(f"part_{label}_weight", f"sum(CASE WHEN {column} IS NOT NULL THEN {weight} END)")
+    value = f"CASE WHEN {weights.name} > 0 THEN {_sum_value(label, units)} / {weights.name} END"
+    return Measure(name, (*sums, weights), value)
 
 
 def summed(name: str, column: str) -> Measure:
     """Sum of a whole-number column."""
-    part = f"part_{column}_sum"
-    return Measure(name, (Part(part, F.sum(column), F.sum),), F.col(part))
+    part = Part(f"part_{column}_sum", f"sum({column})")
+    return Measure(name, (part,), part.name)
 
 
 def largest(name: str, column: str) -> Measure:
-    part = f"part_{column}_max"
-    return Measure(name, (Part(part, F.max(column), F.max),), F.col(part))
+    part = Part(f"part_{column}_max", f"max({column})", "max")
+    return Measure(name, (part,), part.name)
 
 
 def smallest_positive(name: str, column: str) -> Measure:
     """Minimum over the values above zero; null when there is none."""
-    part = f"part_{column}_min_positive"
-    build = F.min(positive(F.col(column)))
-    return Measure(name, (Part(part, build, F.min),), F.col(part))
+    build = f"min(CASE WHEN {column} > 0 THEN {column} END)"
+    part = Part(f"part_{column}_min_positive", build, "min")
+    return Measure(name, (part,), part.name)
 
 
 def _parts(measures: Sequence[Measure]) -> list[Part]:
     return list({p.name: p for m in measures for p in m.parts}.values())
 
 
-def partials(df: DataFrame, keys: Sequence[Column | str], measures: Sequence[Measure]) -> DataFrame:
-    """One row of parts per key, ready to be stored and merged later."""
-    return df.groupBy(*keys).agg(*[p.build.alias(p.name) for p in _parts(measures)])
+def partials(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """One row of parts per key, ready to be stored and merged later.
+
+    Keys are SQL expressions, named with AS where they are not plain columns.
+    """
+    parts = [F.expr(f"{p.build} AS {p.name}") for p in _parts(measures)]
+    return df.groupBy(*[F.expr(k) for k in keys]).agg(*parts)
 
 
-def combine(parts: DataFrame, keys: Sequence[Column | str], measures: Sequence[Measure]) -> DataFrame:
+def combine(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Merge stored parts into a coarser grain."""
-    return parts.groupBy(*keys).agg(*[p.merge(F.col(p.name)).alias(p.name) for p in _parts(measures)])
+    merged = [F.expr(f"{p.merge}({p.name}) AS {p.name}") for p in _parts(measures)]
+    return parts.groupBy(*[F.expr(k) for k in keys]).agg(*merged)
 
 
-def finish(parts: DataFrame, keys: Sequence[Column | str], measures: Sequence[Measure]) -> DataFrame:
+def finish(parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Turn parts into the values of the measures."""
-    return parts.select(*keys, *[m.value.alias(m.name) for m in measures])
+    return parts.selectExpr(*keys, *[f"{m.value} AS {m.name}" for m in measures])

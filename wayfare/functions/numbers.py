@@ -1,10 +1,10 @@
-"""Number helpers: defaults, rounding and guarded division."""
+"""Number helpers: defaults, rounding and fixed-point columns."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,16 +16,6 @@ def zero_if_null(df: DataFrame, columns: Sequence[str] = TRIP_NUMBERS) -> DataFr
     return df.fillna(0, subset=[c for c in columns if c in df.columns])
 
 
-def guarded_mean(amount: Column, count: Column) -> Column:
-    """``amount / count``, zero for an empty group."""
-    return F.when(count > 0, amount / count).otherwise(F.lit(0.0))
-
-
-def positive(value: Column) -> Column:
-    """The value where it is above zero, null elsewhere."""
-    return F.when(value > 0, value)
-
-
 def rounded(df: DataFrame, money: int = 2, coordinates: int = 6) -> DataFrame:
     """Round double columns: coordinates to 6 digits, everything else to 2."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]

@@ -2,36 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Payment codes and their spellings in text.
-CREDIT_CODE, CASH_CODE = 1, 2
-CREDIT_TEXT, CASH_TEXT = "credit", "cash"
+CREDIT = (1, "credit")
+CASH = (2, "cash")
 
 
-def code_is(code: Column, wanted: int) -> Column:
-    return F.coalesce(code == wanted, F.lit(False))
+def code_is(column: str, payment: tuple[int, str]) -> str:
+    return f"coalesce({column} = {payment[0]}, false)"
 
 
-def variant_is(payload: Column, code: int, text: str) -> Column:
-    """True for the whole number ``code`` or the word ``text`` in any case.
+def variant_is(payload: str, payment: tuple[int, str]) -> str:
+    """True for the whole number of a payment or for its word in any case.
 
     The number as text ("1") and a fractional literal (2.0) match neither.
     """
-    kind = F.schema_of_variant(payload)
-    return (
-        F.when(kind == "BIGINT", F.try_variant_get(payload, "$", "bigint") == code)
-        .when(kind == "STRING", F.lower(F.try_variant_get(payload, "$", "string")) == text)
-        .otherwise(False)
-    )
+    code, text = payment
+    return f"""CASE schema_of_variant({payload})
+        WHEN 'BIGINT' THEN try_variant_get({payload}, '$', 'bigint') = {code}
+        WHEN 'STRING' THEN lower(try_variant_get({payload}, '$', 'string')) = '{text}'
+        ELSE false END"""
 
 
 def with_payment_flags(trips: DataFrame) -> DataFrame:
     """Add ``is_credit`` and ``is_cash`` unless the source already set them."""
     if {"is_credit", "is_cash"} <= set(trips.columns):
         return trips
-    code = F.col("payment_type")
-    return trips.withColumns(
-        {"is_credit": code_is(code, CREDIT_CODE), "is_cash": code_is(code, CASH_CODE)}
+    return trips.selectExpr(
+        "*",
+        f"{code_is('payment_type', CREDIT)} AS is_credit",
+        f"{code_is('payment_type', CASH)} AS is_cash",
     )

@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def duration_minutes(start: Column, end: Column) -> Column:
-    """Minutes between two timestamps, each cut to whole seconds first."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)
+def duration_minutes(start: str, end: str) -> str:
+    """SQL for the minutes between two timestamps, each cut to whole seconds first."""
+    return f"(unix_timestamp({end}) - unix_timestamp({start})) / 60.0D"
 
 
-def iso_timestamp(text: Column) -> Column:
-    """ISO-8601 text to a zone-less timestamp; null when it does not parse."""
-    return text.try_cast("timestamp_ntz")
+def iso_timestamp(text: str) -> str:
+    """SQL for ISO-8601 text as a zone-less timestamp; null when it does not parse."""
+    return f"try_cast({text} AS TIMESTAMP_NTZ)"
 
 
 def is_weekend(ts: Column) -> Column:

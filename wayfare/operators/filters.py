@@ -67,25 +67,22 @@ def retained(windows: DataFrame, as_of: dt.datetime | str, days: int = 7) -> Dat
     return last_hours(windows, as_of, 24 * days)
 
 
-def _zone_in(zone: str, low: int, high: int) -> Column:
-    return F.col(zone).try_cast("int").between(low, high)
-
-
-def trip_rules(zone_range: tuple[int, int] | None = (1, 265)) -> dict[str, Column]:
+def trip_rules(zone_range: tuple[int, int] | None = (1, 265)) -> dict[str, str]:
     """Conditions a valid trip meets, in the order they are reported."""
-    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
     rules = {
-        "missing_pickup_time": pickup.isNotNull(),
-        "missing_dropoff_time": dropoff.isNotNull(),
-        "dropoff_before_pickup": dropoff >= pickup,
-        "distance_not_positive": F.col("trip_distance") > 0,
-        "fare_not_positive": F.col("fare_amount") > 0,
-        "total_not_positive": F.col("total_amount") > 0,
-        "passengers_out_of_range": F.col("passenger_count").between(1, 6),
+        "missing_pickup_time": "tpep_pickup_datetime IS NOT NULL",
+        "missing_dropoff_time": "tpep_dropoff_datetime IS NOT NULL",
+        "dropoff_before_pickup": "tpep_dropoff_datetime >= tpep_pickup_datetime",
+        "distance_not_positive": "trip_distance > 0",
+        "fare_not_positive": "fare_amount > 0",
+        "total_not_positive": "total_amount > 0",
+        "passengers_out_of_range": "passenger_count BETWEEN 1 AND 6",
     }
     if zone_range:
-        rules["pickup_zone_out_of_range"] = _zone_in("pickup_zone", *zone_range)
-        rules["dropoff_zone_out_of_range"] = _zone_in("dropoff_zone", *zone_range)
+        low, high = zone_range
+        for end in ("pickup", "dropoff"):
+            inside = f"try_cast({end}_zone AS INT) BETWEEN {low} AND {high}"
+            rules[f"{end}_zone_out_of_range"] = inside
     return rules
 
 
@@ -93,11 +90,11 @@ def with_reject_reason(
     trips: DataFrame, zone_range: tuple[int, int] | None = (1, 265)
 ) -> DataFrame:
     """Add the first rule a trip breaks, null for a valid trip. Unknown counts as broken."""
-    reason = None
-    for name, holds in trip_rules(zone_range).items():
-        broken = ~F.coalesce(holds, F.lit(False))
-        reason = F.when(broken, name) if reason is None else reason.when(broken, name)
-    return trips.withColumn("reject_reason", reason)
+    broken = " ".join(
+        f"WHEN NOT coalesce({holds}, false) THEN '{name}'"
+        for name, holds in trip_rules(zone_range).items()
+    )
+    return trips.selectExpr("*", f"CASE {broken} END AS reject_reason")
 
 
 def split_invalid(

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _same_keys(keys: Sequence[str]) -> list[Column]:
+def _same_keys(keys: Sequence[str]) -> Column:
     """Key equality of the sides aliased ``t`` and ``b``; names keep self-joins unambiguous."""
-    return [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    return F.expr(" AND ".join(f"t.`{k}` <=> b.`{k}`" for k in keys))
 
 
 def one_per_key(
@@ -44,13 +44,11 @@ def merge_partial(
     """Replace only the listed columns of rows present on both sides; add new rows whole."""
     old = target.withColumn("_in_target", F.lit(True)).alias("t")
     new = batch.withColumn("_in_batch", F.lit(True)).alias("b")
-    joined = old.join(new, _same_keys(keys), "full_outer")
-    only_in_batch = F.col("_in_target").isNull()
     columns = []
     for c in target.columns:
-        from_batch = F.col("_in_batch").isNotNull() if c in replace else only_in_batch
-        columns.append(F.when(from_batch, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return joined.select(*columns)
+        from_batch = "_in_batch" if c in replace else "_in_target IS NULL"
+        columns.append(f"CASE WHEN {from_batch} THEN b.`{c}` ELSE t.`{c}` END AS `{c}`")
+    return old.join(new, _same_keys(keys), "full_outer").selectExpr(*columns)
 
 
 def merge_replace(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.tables import Table
@@ -15,13 +15,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
-def row_rules(table: Table) -> dict[str, Column]:
+def row_rules(table: Table) -> dict[str, str]:
     """Rule name -> condition under which a row violates it."""
-    rules = {f"{c}_not_null": F.col(c).isNull() for c in table.required}
-    rules |= {name: ~F.expr(check) for name, check in table.checks.items()}
-    rules |= {
-        f"{c}_at_most_{n}_characters": F.length(c) > n for c, n in table.max_lengths.items()
-    }
+    rules = {f"{c}_not_null": f"{c} IS NULL" for c in table.required}
+    rules |= {name: f"NOT ({check})" for name, check in table.checks.items()}
+    rules |= {f"{c}_at_most_{n}_characters": f"length({c}) > {n}" for c, n in table.max_lengths.items()}
     return rules
 
 
@@ -33,15 +31,12 @@ def constraint_report(df: DataFrame, table: Table) -> DataFrame:
     """
     rules = row_rules(table)
     per_key = df.groupBy(*table.keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(broken).alias(name) for name, broken in rules.items()],
+        F.expr("count(1) AS _rows"),
+        *[F.expr(f"count_if({broken}) AS {name}") for name, broken in rules.items()],
     )
     totals = per_key.agg(
-        F.count_if(F.col("_rows") > 1).alias("unique_key"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in rules],
+        F.expr("count_if(_rows > 1) AS unique_key"),
+        *[F.expr(f"coalesce(sum({name}), 0L) AS {name}") for name in rules],
     )
-    pairs = [
-        F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations"))
-        for name in ("unique_key", *rules)
-    ]
-    return totals.select(F.inline(F.array(*pairs)))
+    pairs = [f"struct('{name}' AS rule, {name} AS violations)" for name in ("unique_key", *rules)]
+    return totals.selectExpr(f"inline(array({', '.join(pairs)}))")

@@ -3,7 +3,7 @@ windows take streams as well as tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import measures as m
@@ -12,41 +12,34 @@ from wayfare.functions.times import daypart, is_weekend
 from wayfare.operators.filters import PICKUP, different_zones, known_zone
 
 
-def daily_measures() -> tuple[m.Measure, ...]:
-    return (
-        m.rows("total_trips"),
-        m.total("total_revenue", "total_amount"),
-        m.mean("avg_fare", "fare_amount"),
-        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
-        m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
-        m.mean("avg_passengers", "passenger_count", 1),
-        m.matches("credit_card_trips", F.col("is_credit")),
-        m.matches("cash_trips", F.col("is_cash")),
-        m.mean("avg_tip", "tip_amount"),
-        m.largest("max_fare", "total_amount"),
-        m.smallest_positive("min_fare", "total_amount"),
-    )
-
-
-def hourly_measures() -> tuple[m.Measure, ...]:
-    return (
-        m.rows("trip_count"),
-        m.total("total_revenue", "total_amount"),
-        m.mean("avg_fare", "fare_amount"),
-        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
-        m.mean("avg_duration", "duration_minutes", m.MINUTE_UNITS),
-        m.mean("avg_passengers", "passenger_count", 1),
-    )
-
-
-def route_measures() -> tuple[m.Measure, ...]:
-    return (
-        m.rows("route_count"),
-        m.mean("avg_fare", "fare_amount"),
-        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
-        m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
-        m.total("total_revenue", "total_amount"),
-    )
+DAILY = (
+    m.rows("total_trips"),
+    m.total("total_revenue", "total_amount"),
+    m.mean("avg_fare", "fare_amount"),
+    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+    m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
+    m.mean("avg_passengers", "passenger_count", 1),
+    m.matches("credit_card_trips", "is_credit"),
+    m.matches("cash_trips", "is_cash"),
+    m.mean("avg_tip", "tip_amount"),
+    m.largest("max_fare", "total_amount"),
+    m.smallest_positive("min_fare", "total_amount"),
+)
+HOURLY = (
+    m.rows("trip_count"),
+    m.total("total_revenue", "total_amount"),
+    m.mean("avg_fare", "fare_amount"),
+    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+    m.mean("avg_duration", "duration_minutes", m.MINUTE_UNITS),
+    m.mean("avg_passengers", "passenger_count", 1),
+)
+ROUTE = (
+    m.rows("route_count"),
+    m.mean("avg_fare", "fare_amount"),
+    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+    m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
+    m.total("total_revenue", "total_amount"),
+)
 
 
 def zone_window_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
@@ -56,8 +49,8 @@ def zone_window_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
         m.mean("avg_fare", "fare_amount", nulls=nulls),
         m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS, nulls=nulls),
         m.mean("avg_passengers", "passenger_count", 1, nulls=nulls),
-        m.matches("payment_cash_count", F.col("is_cash")),
-        m.matches("payment_credit_count", F.col("is_credit")),
+        m.matches("payment_cash_count", "is_cash"),
+        m.matches("payment_credit_count", "is_credit"),
     )
 
 
@@ -74,36 +67,32 @@ def global_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
 def daily_summary(trips: DataFrame) -> DataFrame:
     """One row per pickup date. Extremes are over the total amount; means skip nulls."""
     trips = with_payment_flags(trips)
-    wanted = daily_measures()
-    parts = m.partials(trips, [F.to_date(PICKUP).alias("date")], wanted)
-    return m.finish(parts, ["date"], wanted)
+    parts = m.partials(trips, [f"to_date({PICKUP}) AS date"], DAILY)
+    return m.finish(parts, ["date"], DAILY)
 
 
 def hourly_zone_stats(trips: DataFrame) -> DataFrame:
     """One row per pickup date, hour and zone; trips without a zone form their own group."""
-    keys = [
-        F.to_date(PICKUP).alias("date"),
-        F.hour(PICKUP).alias("hour"),
-        F.col("pickup_zone").alias("zone_id"),
-    ]
-    wanted = hourly_measures()
-    return m.finish(m.partials(trips, keys, wanted), ["date", "hour", "zone_id"], wanted)
+    keys = [f"to_date({PICKUP}) AS date", f"hour({PICKUP}) AS hour", "pickup_zone AS zone_id"]
+    return m.finish(m.partials(trips, keys, HOURLY), ["date", "hour", "zone_id"], HOURLY)
 
 
 def route_analysis(trips: DataFrame, self_routes: bool = True) -> DataFrame:
     """One row per pickup and dropoff zone."""
     keys = ["pickup_zone", "dropoff_zone"]
     trips = trips if self_routes else different_zones(trips)
-    wanted = route_measures()
-    return m.finish(m.partials(trips, keys, wanted), keys, wanted)
+    return m.finish(m.partials(trips, keys, ROUTE), keys, ROUTE)
 
 
-def _bounds() -> list[Column]:
-    """Window bounds as zone-less timestamps; on streams the session zone is UTC."""
-    return [
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-    ]
+# Window bounds as zone-less timestamps; on streams the session zone is UTC.
+BOUNDS = (
+    "CAST(window.start AS TIMESTAMP_NTZ) AS window_start",
+    "CAST(window.end AS TIMESTAMP_NTZ) AS window_end",
+)
+
+
+def _window(time: str, width: str) -> str:
+    return f"window({time}, '{width}') AS window"
 
 
 def zone_window_partials(
@@ -111,7 +100,7 @@ def zone_window_partials(
 ) -> DataFrame:
     """Mergeable parts per zone and window."""
     trips = with_payment_flags(known_zone(trips))
-    keys = [F.window(time, width).alias("window"), F.col("pickup_zone").alias("zone_id")]
+    keys = [_window(time, width), "pickup_zone AS zone_id"]
     return m.partials(trips, keys, zone_window_measures(nulls))
 
 
@@ -121,14 +110,14 @@ def zone_window_stats(
     """One row per known zone and tumbling window. Missing numbers count as zero unless
     ``nulls="skip"``."""
     parts = zone_window_partials(trips, width, time, nulls)
-    return m.finish(parts, ["zone_id", *_bounds()], zone_window_measures(nulls))
+    return m.finish(parts, ["zone_id", *BOUNDS], zone_window_measures(nulls))
 
 
 def widen_windows(parts: DataFrame, width: str, nulls: str = "zero") -> DataFrame:
     """Merge parts of narrow windows into wider ones and finish them."""
     wanted = zone_window_measures(nulls)
-    keys = [F.window("window.start", width).alias("window"), F.col("zone_id")]
-    return m.finish(m.combine(parts, keys, wanted), ["zone_id", *_bounds()], wanted)
+    keys = [_window("window.start", width), "zone_id"]
+    return m.finish(m.combine(parts, keys, wanted), ["zone_id", *BOUNDS], wanted)
 
 
 def global_window_stats(
@@ -136,15 +125,15 @@ def global_window_stats(
 ) -> DataFrame:
     """One row per window over all known zones."""
     wanted = global_measures(nulls)
-    parts = m.partials(known_zone(trips), [F.window(time, width).alias("window")], wanted)
-    return m.finish(parts, _bounds(), wanted)
+    parts = m.partials(known_zone(trips), [_window(time, width)], wanted)
+    return m.finish(parts, BOUNDS, wanted)
 
 
 def rebucket(windows: DataFrame, width: str = "5 minutes") -> DataFrame:
     """Trips per wider window over all zones of a window table."""
     counts = (m.summed("trip_count", "trip_count"),)
-    parts = m.partials(windows, [F.window("window_start", width).alias("window")], counts)
-    return m.finish(parts, _bounds(), counts)
+    parts = m.partials(windows, [_window("window_start", width)], counts)
+    return m.finish(parts, BOUNDS, counts)
 
 
 def revenue_series(windows: DataFrame) -> DataFrame:
@@ -162,10 +151,8 @@ def daypart_profile(hourly: DataFrame) -> DataFrame:
         m.weighted_mean("avg_distance", "avg_distance", "trip_count", m.DISTANCE_UNITS),
         m.weighted_mean("avg_duration", "avg_duration", "trip_count", m.MINUTE_UNITS),
     )
-    keys = [
-        F.col("zone_id"),
-        daypart(F.col("hour")).alias("daypart"),
-        is_weekend(F.col("date")).alias("is_weekend"),
-    ]
-    parts = m.partials(hourly, keys, wanted)
+    hourly = hourly.withColumns(
+        {"daypart": daypart(F.col("hour")), "is_weekend": is_weekend(F.col("date"))}
+    )
+    parts = m.partials(hourly, ["zone_id", "daypart", "is_weekend"], wanted)
     return m.finish(parts, ["zone_id", "daypart", "is_weekend"], wanted)

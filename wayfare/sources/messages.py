@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from wayfare.functions.payment import (
-    CASH_CODE,
-    CASH_TEXT,
-    CREDIT_CODE,
-    CREDIT_TEXT,
-    variant_is,
-)
+
+from wayfare.functions.payment import CASH, CREDIT, variant_is
 from wayfare.functions.times import iso_timestamp
 
 # Message fields. The two short time names are aliases of the long ones.
@@ -40,14 +33,11 @@ _NUMBER_FIELDS = {
 
 # Numbers are read as text: a number in quotes is a number too, and one bad field must not
 # blank out the fields after it.
-MESSAGE_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in (*_TEXT_FIELDS, *_NUMBER_FIELDS)]
-    + [
-        T.StructField("payment_type", T.VariantType()),
-        T.StructField("_malformed", T.StringType()),
-    ]
+_SCHEMA = ", ".join(
+    [f"{c} STRING" for c in (*_TEXT_FIELDS, *_NUMBER_FIELDS)]
+    + ["payment_type VARIANT", "_malformed STRING"]
 )
-_JSON_OPTIONS = {
+_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_malformed",
     "allowSingleQuotes": "false",
@@ -55,14 +45,9 @@ _JSON_OPTIONS = {
 }
 
 
-def _number(name: str, type_name: str) -> Column:
-    number = F.col(f"_m.{name}").try_cast("double")
-    return number if type_name == "double" else number.try_cast(type_name)
-
-
-def _not_a_number(name: str, type_name: str) -> Column:
-    given = F.trim(f"_m.{name}") != ""
-    return F.coalesce(given & _number(name, type_name).isNull(), F.lit(False))
+def _number(name: str, type_name: str) -> str:
+    number = f"try_cast(_m.{name} AS DOUBLE)"
+    return number if type_name == "double" else f"try_cast({number} AS {type_name})"
 
 
 def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -71,34 +56,27 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     Unknown fields are ignored; other input columns are kept. The JSON text is parsed once:
     behind a generator Spark does not copy the parsing into every filter above it.
     """
-    parsed = F.inline(
-        F.array(F.struct(F.from_json(F.col(value), MESSAGE_SCHEMA, _JSON_OPTIONS).alias("_m")))
-    )
-    bad_number = None
-    for name, type_name in _NUMBER_FIELDS.items():
-        check = _not_a_number(name, type_name)
-        bad_number = check if bad_number is None else bad_number | check
-    reason = (
-        F.when(F.col(value).isNull() | (F.trim(value) == ""), "empty_message")
-        .when(F.col("_m._malformed").isNotNull(), "malformed_json")
-        .when(bad_number, "bad_number")
+    options = ", ".join(f"'{k}', '{v}'" for k, v in _OPTIONS.items())
+    parsed = f"from_json({value}, '{_SCHEMA}', map({options}))"
+    bad_number = " OR ".join(
+        f"coalesce(trim(_m.{n}) <> '' AND {_number(n, t)} IS NULL, false)"
+        for n, t in _NUMBER_FIELDS.items()
     )
-    payment = F.col("_m.payment_type")
-    return messages.select("*", parsed).select(
+    pickup = "coalesce(_m.tpep_pickup_datetime, _m.pickup_datetime)"
+    dropoff = "coalesce(_m.tpep_dropoff_datetime, _m.dropoff_datetime)"
+    return messages.selectExpr("*", f"inline(array(named_struct('_m', {parsed})))").selectExpr(
         *messages.columns,
-        iso_timestamp(F.coalesce("_m.tpep_pickup_datetime", "_m.pickup_datetime")).alias(
-            "tpep_pickup_datetime"
-        ),
-        iso_timestamp(F.coalesce("_m.tpep_dropoff_datetime", "_m.dropoff_datetime")).alias(
-            "tpep_dropoff_datetime"
-        ),
-        *[_number(n, t).alias(n) for n, t in _NUMBER_FIELDS.items()],
-        variant_is(payment, CREDIT_CODE, CREDIT_TEXT).alias("is_credit"),
-        variant_is(payment, CASH_CODE, CASH_TEXT).alias("is_cash"),
-        F.col("_m.pickup_zone").alias("pickup_zone"),
-        F.col("_m.dropoff_zone").alias("dropoff_zone"),
-        iso_timestamp(F.col("_m.producer_timestamp")).alias("producer_timestamp"),
-        reason.alias("reject_reason"),
+        f"{iso_timestamp(pickup)} AS tpep_pickup_datetime",
+        f"{iso_timestamp(dropoff)} AS tpep_dropoff_datetime",
+        *[f"{_number(n, t)} AS {n}" for n, t in _NUMBER_FIELDS.items()],
+        f"{variant_is('_m.payment_type', CREDIT)} AS is_credit",
+        f"{variant_is('_m.payment_type', CASH)} AS is_cash",
+        "_m.pickup_zone AS pickup_zone",
+        "_m.dropoff_zone AS dropoff_zone",
+        f"{iso_timestamp('_m.producer_timestamp')} AS producer_timestamp",
+        f"""CASE WHEN {value} IS NULL OR trim({value}) = '' THEN 'empty_message'
+            WHEN _m._malformed IS NOT NULL THEN 'malformed_json'
+            WHEN {bad_number} THEN 'bad_number' END AS reject_reason""",
     )
 
 

@@ -5,8 +5,7 @@ Every column is a plain expression, so the same mapping serves tables and stream
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.sources.trips import enrich
 from wayfare.tables import struct
@@ -31,36 +30,23 @@ def stream_events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame
     return reader.parquet(f"{sf_dir}/event[s].parquet")
 
 
-def _attribute() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
-
-
 def as_raw_trips(events: DataFrame, coarse_zones: bool = False) -> DataFrame:
     """Events as raw trip rows. Coarse zones fold the users into 20 busy zones."""
-    k = _attribute()
-    kind = F.col("event_type")
-    value = F.col("value")
-    zone = F.col("user_id") % 20 if coarse_zones else F.col("user_id") + 1
-    tip = F.when(kind == "purchase", k / F.lit(10.0)).otherwise(F.lit(0.0))
-    return events.select(
-        F.col("event_id").alias("trip_id"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        (F.col("ts") + F.make_dt_interval(mins=5 + k % 55)).alias("tpep_dropoff_datetime"),
-        F.nullif(F.col("event_id") % 7, F.lit(0)).alias("passenger_count"),
-        (k / F.lit(4.0)).alias("trip_distance"),
-        F.when(F.col("event_id") % 97 != 0, zone).alias("PULocationID"),
-        (k + 1).alias("DOLocationID"),
-        F.when(kind == "purchase", 1)
-        .when(kind == "click", 2)
-        .when(kind == "view", 3)
-        .cast("bigint")
-        .alias("payment_type"),
-        value.alias("fare_amount"),
-        F.when(kind == "error", -value)
-        .when(kind == "purchase", value + k / F.lit(10.0))
-        .otherwise(value)
-        .alias("total_amount"),
-        tip.alias("tip_amount"),
+    zone = "user_id % 20" if coarse_zones else "user_id + 1"
+    return events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k").selectExpr(
+        "event_id AS trip_id",
+        "ts AS tpep_pickup_datetime",
+        "ts + make_dt_interval(0, 0, CAST(5 + k % 55 AS INT)) AS tpep_dropoff_datetime",
+        "nullif(event_id % 7, 0L) AS passenger_count",
+        "k / 4.0D AS trip_distance",
+        f"CASE WHEN event_id % 97 <> 0 THEN {zone} END AS PULocationID",
+        "k + 1 AS DOLocationID",
+        """CASE event_type WHEN 'purchase' THEN 1L WHEN 'click' THEN 2L WHEN 'view' THEN 3L END
+           AS payment_type""",
+        "value AS fare_amount",
+        """CASE event_type WHEN 'error' THEN -value WHEN 'purchase' THEN value + k / 10.0D
+           ELSE value END AS total_amount""",
+        "CASE event_type WHEN 'purchase' THEN k / 10.0D ELSE 0.0D END AS tip_amount",
     )
 
 
@@ -70,39 +56,35 @@ def read_sample_trips(spark: SparkSession, sf_dir: str, coarse_zones: bool = Fal
 
 def with_coordinates(events: DataFrame) -> DataFrame:
     """Pickup points on a lattice that covers the zone grid and a margin around it."""
-    lat_u = 40_450_000 + F.col("event_id") * 37 % 620 * 1000
-    lon_u = -74_350_000 + F.col("event_id") * 53 % 720 * 1000
-    return events.select(
-        F.col("event_id").alias("trip_id"),
-        (lat_u / F.lit(1_000_000.0)).alias("pickup_latitude"),
-        (lon_u / F.lit(1_000_000.0)).alias("pickup_longitude"),
+    return events.selectExpr(
+        "event_id AS trip_id",
+        "(40450000 + event_id * 37 % 620 * 1000) / 1e6D AS pickup_latitude",
+        "(-74350000 + event_id * 53 % 720 * 1000) / 1e6D AS pickup_longitude",
     )
 
 
 def as_messages(events: DataFrame) -> DataFrame:
     """Events as trip messages: one JSON text per row, payment types mixed, some cut off."""
-    trip = as_raw_trips(events, coarse_zones=True)
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    fields = F.to_json(
-        F.struct(
-            F.col("trip_id"),
-            F.date_format("tpep_pickup_datetime", iso).alias("pickup_datetime"),
-            F.date_format("tpep_dropoff_datetime", iso).alias("tpep_dropoff_datetime"),
-            "passenger_count",
-            "trip_distance",
-            "fare_amount",
-            "tip_amount",
-            "total_amount",
-            F.col("PULocationID").cast("string").alias("pickup_zone"),
-            F.col("DOLocationID").cast("string").alias("dropoff_zone"),
-            F.date_format("tpep_pickup_datetime", iso).alias("producer_timestamp"),
-        )
-    )
+    iso = r"yyyy-MM-dd\'T\'HH:mm:ss.SSSSSS"
+    fields = f"""to_json(named_struct(
+        'trip_id', trip_id,
+        'pickup_datetime', date_format(tpep_pickup_datetime, '{iso}'),
+        'tpep_dropoff_datetime', date_format(tpep_dropoff_datetime, '{iso}'),
+        'passenger_count', passenger_count,
+        'trip_distance', trip_distance,
+        'fare_amount', fare_amount,
+        'tip_amount', tip_amount,
+        'total_amount', total_amount,
+        'pickup_zone', CAST(PULocationID AS STRING),
+        'dropoff_zone', CAST(DOLocationID AS STRING),
+        'producer_timestamp', date_format(tpep_pickup_datetime, '{iso}')))"""
     # The payment payloads in turn, as JSON literals.
-    payloads = ["1", "2", '"CREDIT"', '"cash"', '"1"', "2.0"]
-    payment = F.element_at(
-        F.array(*[F.lit(p) for p in payloads]), (F.col("trip_id") % 6 + 1).cast("int")
+    payment = """element_at(array('1', '2', '"CREDIT"', '"cash"', '"1"', '2.0'),
+        CAST(trip_id % 6 + 1 AS INT))"""
+    return as_raw_trips(events, coarse_zones=True).selectExpr(
+        "trip_id",
+        f"""concat('{{"payment_type":', {payment}, ',', substring({fields}, 2)) AS full_text""",
+    ).selectExpr(
+        "trip_id",
+        "CASE WHEN trip_id % 101 = 0 THEN left(full_text, 12) ELSE full_text END AS value",
     )
-    value = F.concat(F.lit('{"payment_type":'), payment, F.lit(","), F.substring(fields, 2, 1 << 30))
-    cut = F.when(F.col("trip_id") % 101 == 0, F.substring(value, 1, 12)).otherwise(value)
-    return trip.select("trip_id", cut.alias("value"))

@@ -70,16 +70,17 @@ def read_trips_merged(spark: SparkSession, *paths: str) -> DataFrame:
 def enrich(trips: DataFrame) -> DataFrame:
     """Zone ids as text under their own names, and the duration unless it is given."""
     names = {"PULocationID": "pickup_zone", "DOLocationID": "dropoff_zone"}
-    trips = trips.withColumnsRenamed({k: v for k, v in names.items() if v not in trips.columns})
-    trips = trips.withColumns(
-        {z: F.col(z).cast("string") for z in names.values() if z in trips.columns}
-    )
-    if "duration_minutes" in trips.columns:
-        return trips
-    return trips.withColumn(
-        "duration_minutes",
-        duration_minutes(F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")),
-    )
+    columns = []
+    for c in trips.columns:
+        zone = names.get(c, c)
+        if zone in names.values() and (c == zone or zone not in trips.columns):
+            columns.append(f"CAST({c} AS STRING) AS {zone}")
+        else:
+            columns.append(f"`{c}`")
+    if "duration_minutes" not in trips.columns:
+        minutes = duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime")
+        columns.append(f"{minutes} AS duration_minutes")
+    return trips.selectExpr(*columns)
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -50,6 +50,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

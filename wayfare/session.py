@@ -15,6 +15,8 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A session that serves many queries should not compile them again each time.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 # Streams keep window state in RocksDB, so state may outgrow the executor heap;

@@ -95,8 +95,19 @@ def test_day_filter_prunes_date_folders(spark, tmp_path):
     day = on_day(spark.read.parquet(path), "2024-01-06")
     assert day.count() == 1
     plan = plan_of(day)
-    assert "PartitionFilters: [isnotnull(date" in plan
+    assert "PartitionFilters: [isnotnull(pickup_date" in plan
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan
+    landed = on_day(enrich(read_trips(spark, path)), "2024-01-06")
+    assert landed.count() == 1
+    assert "PartitionFilters: [isnotnull(pickup_date" in plan_of(landed)
+    assert read_trips(spark, path).columns == [*TRIP_SCHEMA.names, "pickup_date"]
+
+
+def test_folders_of_different_types_stay_apart(spark, tmp_path):
+    path = write(raw_trips(spark, {}), tmp_path / "t")
+    assert plan_of(read_trips(spark, path)).count("Location: ") == 1
+    mixed = write(raw_trips(spark, {}).withColumn("fare_amount", F.lit("1.5")), tmp_path / "u")
+    assert sorted(r.fare_amount for r in read_trips(spark, path, mixed).collect()) == [1.5, 10.0]
 
 
 @pytest.mark.parametrize("day,rows", [("2024-01-05", 1), (dt.date(2024, 1, 6), 1), (None, 2), ("2023-01-01", 0)])

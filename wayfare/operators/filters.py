@@ -8,20 +8,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.tables import LANDING_DATE
+
 PICKUP = "tpep_pickup_datetime"
 
 
 def on_day(trips: DataFrame, day: dt.date | str | None) -> DataFrame:
     """Trips picked up on one day; all of them without a day.
 
-    Spark turns the date test into a timestamp range that reaches the Parquet scan, and a
-    table partitioned by ``date`` is pruned as well.
+    Spark turns the date test into a timestamp range that reaches the Parquet scan; landed
+    trips are pruned by their partition as well.
     """
     if day is None:
         return trips
     wanted = F.lit(str(day)).cast("date")
     trips = trips.filter(F.to_date(PICKUP) == wanted)
-    return trips.filter(F.col("date") == wanted) if "date" in trips.columns else trips
+    return trips.filter(F.col(LANDING_DATE) == wanted) if LANDING_DATE in trips.columns else trips
 
 
 def _moment(df: DataFrame, column: str, moment: dt.datetime | str) -> Column:

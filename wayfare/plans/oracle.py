@@ -331,9 +331,28 @@ FROM daily""",
   {_cents(_half_up('passengers', 'n_passengers'), 'DECIMAL(4, 2)')} AS avg_passengers
 FROM sums""",
     "partitioned_roundtrip": f"""{_with(TRIPS)}
-SELECT {RAW}, CAST(pickup AS DATE) AS "date" FROM trips""",
+SELECT {RAW}, CAST(pickup AS DATE) AS pickup_date FROM trips""",
     "monthly_windows_roundtrip": f"""{_with(BUSY, f'windows AS ({_windows()})')}
 SELECT *, strftime(window_start, '%Y-%m') AS "month" FROM windows""",
+    "trips_zero_filled": f"""{_with(TRIPS)} SELECT * REPLACE (
+  coalesce(passenger_count, 0) AS passenger_count) FROM (SELECT {RAW} FROM trips)""",
+    # Adding zero turns a negative zero, which is the same number, into the plain one.
+    "trips_rounded": f"""{_with(TRIPS)} SELECT trip_id, round(distance / 7, 2) AS trip_distance,
+  round(total / 7, 2) + 0.0 AS total_amount, round(seconds / 60.0 / 7, 2) AS duration_minutes
+FROM trips""",
+    "publish_keys": f"""{_with(BUSY)}
+SELECT trip_id, pickup_zone, pickup_zone AS partition_key, true AS stamped FROM trips""",
+    "merge_windows_keep_end": _with(
+        BUSY,
+        f"windows AS ({_windows('1 hour')})",
+        "old AS (SELECT * FROM windows WHERE window_start < TIMESTAMP '2024-01-21')",
+        """new AS (SELECT * REPLACE (trip_count + 1 AS trip_count,
+    window_end + INTERVAL 1 DAY AS window_end)
+  FROM windows WHERE window_start >= TIMESTAMP '2024-01-16')""",
+    )
+    + """SELECT new.* REPLACE (coalesce(old.window_end, new.window_end) AS window_end)
+FROM new LEFT JOIN old USING (zone_id, window_start) UNION ALL BY NAME
+SELECT * FROM old WHERE window_start < TIMESTAMP '2024-01-16'""",
     "replay_schedule": _with(TRIPS)
     + """, chosen AS (SELECT * FROM trips WHERE strftime(pickup, '%Y-%m') = '2024-01'
   AND pickup >= TIMESTAMP '2024-01-03 00:00:00')

@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.functions.numbers import as_decimals
-from wayfare.functions.payment import with_payment_flags
+from wayfare.functions.numbers import as_decimals, rounded, zero_if_null
 from wayfare.functions.zones import grid_zone
 from wayfare.operators import inventory, merge, migration, quality, ranking, summaries
 from wayfare.operators.filters import PICKUP, last_hours, on_day, retained, since, split_invalid, until
@@ -20,7 +19,7 @@ from wayfare.sources import replay, sample
 from wayfare.sources.trips import enrich, read_trips, read_trips_merged
 from wayfare.streaming import windows as sw
 from wayfare.streaming.upsert import current_rows, read_emissions, start_emissions
-from wayfare.tables import DAILY_SUMMARY, DECIMAL_TYPES, HOURLY_ZONE_STATS
+from wayfare.tables import DAILY_SUMMARY, DECIMAL_TYPES, HOURLY_ZONE_STATS, REAL_TIME_ZONES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +103,27 @@ def trips_from_merged_files(spark, sf_dir):
     return enrich(merged).select(*RAW_COLUMNS, "duration_minutes")
 
 
+@query
+def trips_zero_filled(spark, sf_dir):
+    return zero_if_null(_trips(spark, sf_dir)).select(*RAW_COLUMNS)
+
+
+@query
+def trips_rounded(spark, sf_dir):
+    """A seventh of each measure, which never ends by itself, to two digits."""
+    shares = [f"{c} / 7 AS {c}" for c in ("trip_distance", "total_amount", "duration_minutes")]
+    return rounded(_trips(spark, sf_dir).selectExpr("trip_id", *shares))
+
+
+@query
+def publish_keys(spark, sf_dir):
+    """The time of publication differs between runs; that it is set does not."""
+    published = msg.with_publish_fields(_busy_trips(spark, sf_dir))
+    return published.selectExpr(
+        "trip_id", "pickup_zone", "partition_key", "producer_timestamp IS NOT NULL AS stamped"
+    )
+
+
 @query
 def grid_zones(spark, sf_dir):
     points = sample.with_coordinates(sample.read_events(spark, sf_dir))
@@ -388,6 +408,20 @@ def merge_partial(spark, sf_dir):
     )
 
 
+@query
+def merge_windows_keep_end(spark, sf_dir):
+    """Re-emitted hours replace their measures but not the stored window end."""
+    hours = summaries.zone_window_stats(_busy_trips(spark, sf_dir), "1 hour")
+    batch = since(hours, "window_start", "2024-01-16").withColumns(
+        {
+            "trip_count": F.col("trip_count") + 1,
+            "window_end": F.expr("window_end + INTERVAL 1 DAY"),
+        }
+    )
+    target = until(hours, "window_start", "2024-01-21")
+    return merge.merge_replace(target, batch, REAL_TIME_ZONES.keys, keep=["window_end"])
+
+
 @query
 def constraint_report(spark, sf_dir):
     return quality.constraint_report(

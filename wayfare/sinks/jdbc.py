@@ -70,3 +70,18 @@ def upsert(
         target.url, staging, mode="overwrite", properties=properties
     )
     execute(upsert_statement(table, staging, df.columns, keys, replace))
+
+
+def upsert_writer(
+    table: str,
+    target: JdbcTarget,
+    keys: Sequence[str],
+    replace: Sequence[str],
+    execute: Callable[[str], None],
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that upserts what a micro-batch emitted."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch, table, target, keys, replace, execute)
+
+    return save

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.times import month_key
+from wayfare.tables import LANDING_DATE
 
 
 def write_partitioned(
@@ -49,7 +50,7 @@ def land_by_date(trips: DataFrame, path: str, mode: str = "append", **options) -
     """Raw trips rewritten below their pickup date, in pickup order inside each file."""
     pickup = "tpep_pickup_datetime"
     write_partitioned(
-        trips, path, "date", F.to_date(pickup), mode, sort=(pickup,), **options
+        trips, path, LANDING_DATE, F.to_date(pickup), mode, sort=(pickup,), **options
     )
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.times import duration_minutes
-from wayfare.tables import TRIP_SCHEMA
+from wayfare.tables import LANDING_DATE, TRIP_SCHEMA
 
 # File type -> wanted type pairs the Parquet reader converts by itself. Any other
 # difference is read as stored and cast per column, so the scan never fails half way.
@@ -22,26 +23,28 @@ _READ_DIRECTLY = {
 }
 
 
-def _scan_schema(found: T.StructType, wanted: T.StructType) -> T.StructType:
-    stored = {f.name: f.dataType for f in found.fields}
-    fields = []
-    for f in wanted.fields:
-        have = stored.get(f.name, f.dataType)
-        readable = have == f.dataType or (have, f.dataType) in _READ_DIRECTLY
-        fields.append(T.StructField(f.name, f.dataType if readable else have))
-    return T.StructType(fields)
+def _scan_type(stored: T.DataType, wanted: T.DataType) -> T.DataType:
+    return wanted if stored == wanted or (stored, wanted) in _READ_DIRECTLY else stored
 
 
-def _cast_to(df: DataFrame, wanted: T.StructType) -> DataFrame:
-    stored = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(
-        *[
-            F.col(f.name)
-            if stored[f.name] == f.dataType
-            else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in wanted.fields
-        ]
-    )
+def _conform(found: DataFrame, reader: DataFrameReader, wanted: T.StructType, paths: Sequence[str]) -> DataFrame:
+    """The wanted columns in the wanted types, plus the landing partition if there is one.
+
+    Files that already agree are used as found; otherwise they are read once more with a
+    schema that lets the scan convert what it can, and the rest is cast.
+    """
+    stored = {f.name: f.dataType for f in found.schema.fields}
+    names = wanted.names + [c for c in (LANDING_DATE,) if c in stored and c not in wanted.names]
+    if all(stored.get(f.name) == f.dataType for f in wanted.fields):
+        return found.select(*names)
+    scan_types = {f.name: _scan_type(stored.get(f.name, f.dataType), f.dataType) for f in wanted.fields}
+    scan = reader.schema(T.StructType([T.StructField(c, t) for c, t in scan_types.items()])).parquet(*paths)
+    casts = {
+        f.name: F.col(f.name).try_cast(f.dataType)
+        for f in wanted.fields
+        if scan_types[f.name] != f.dataType
+    }
+    return scan.withColumns(casts).select(*names)
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
@@ -50,21 +53,16 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     Each path is adapted on its own: a column stored with another type is cast, values that
     do not convert become null, a missing column is null. Only these columns are scanned.
     """
-    frames = []
-    for path in paths:
-        found = spark.read.parquet(path).schema
-        scan = spark.read.schema(_scan_schema(found, TRIP_SCHEMA)).parquet(path)
-        frames.append(_cast_to(scan, TRIP_SCHEMA))
-    return reduce(DataFrame.unionByName, frames)
+    frames = [_conform(spark.read.parquet(p), spark.read, TRIP_SCHEMA, [p]) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_trips_merged(spark: SparkSession, *paths: str) -> DataFrame:
     """All columns found in any file, with the trip columns in their wanted types."""
-    found = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    found = spark.read.option("mergeSchema", "true").parquet(*paths)
     known = {f.name: f for f in TRIP_SCHEMA.fields}
-    wanted = T.StructType([known.get(f.name, f) for f in found.fields])
-    scan = spark.read.schema(_scan_schema(found, wanted)).parquet(*paths)
-    return _cast_to(scan, wanted)
+    wanted = T.StructType([known.get(f.name, f) for f in found.schema.fields])
+    return _conform(found, spark.read, wanted, paths)
 
 
 def enrich(trips: DataFrame) -> DataFrame:

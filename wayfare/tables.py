@@ -54,6 +54,9 @@ TRIP_SCHEMA = struct(
 )
 
 
+# Partition column of landed raw trips: the date of the pickup.
+LANDING_DATE = "pickup_date"
+
 REAL_TIME_ZONES = Table(
     name="real_time_zones",
     schema=struct(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from wayfare.operators.ranking import top_active_zones
 from wayfare.operators.summaries import global_window_stats, zone_window_stats
 from wayfare.plans import live
-from wayfare.session import STREAM_CONF
 from wayfare.sources.messages import parse_messages, usable
 from wayfare.sources.replay import replay_stream
 from wayfare.sources.sample import EVENTS_SCHEMA, as_messages, as_raw_trips, read_events, read_sample_trips
@@ -34,12 +33,6 @@ TRIP = struct(tpep_pickup_datetime="timestamp_ntz", pickup_zone="string", paymen
               passenger_count="bigint", trip_distance="double", fare_amount="double", total_amount="double")
 
 
-@pytest.fixture(autouse=True, scope="module")
-def stream_settings(spark):
-    for key, value in STREAM_CONF.items():
-        spark.conf.set(key, value)
-
-
 @pytest.fixture(scope="module")
 def files(spark, sf_dir, tmp_path_factory):
     """The sample events as five files in time order, written one after the other."""
@@ -85,9 +78,13 @@ def test_updates_merge_to_the_batch_result(spark, sf_dir, files, tmp_path):
 
 def test_state_lives_in_rocksdb(spark, files, tmp_path):
     rows = stream_global_windows(with_event_time(stream(spark, files)), "1 day")
-    query = drain(spark, rows, tmp_path)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    query = drain(spark, rows, tmp_path, parallelism=3)
+    assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
     metrics = [o["customMetrics"] for p in query.recentProgress for o in p["stateOperators"]]
     assert any("rocksdbPutCount" in m for m in metrics)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
 
 
 def test_append_emits_closed_windows_once(spark, sf_dir, files, tmp_path):

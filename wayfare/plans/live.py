@@ -38,9 +38,13 @@ def start_windows(
     event_column: str | None = None,
     delay: str | None = "10 seconds",
     interval: str | None = "5 seconds",
+    parallelism: int | None = None,
 ) -> StreamingQuery:
+    """Start storing zone windows, every ``interval`` or over everything available."""
     windows = zone_windows(messages, width, event_column, delay)
-    return start_emissions(windows, output, checkpoint, interval=interval)
+    return start_emissions(
+        windows, output, checkpoint, interval=interval, parallelism=parallelism
+    )
 
 
 def start_rejects(
@@ -53,9 +57,8 @@ def start_rejects(
         .option("path", output)
         .option("checkpointLocation", checkpoint)
     )
-    if interval:
-        return writer.trigger(processingTime=interval).start()
-    return writer.trigger(availableNow=True).start()
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -68,6 +71,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--event-column", help="event time; default is processing time")
     parser.add_argument("--delay", default="10 seconds")
     parser.add_argument("--interval", default="5 seconds")
+    parser.add_argument("--parallelism", type=int, help="state partitions of a new checkpoint")
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", required=True)
     args = parser.parse_args(argv)
@@ -86,6 +90,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         args.event_column,
         args.delay,
         args.interval,
+        args.parallelism,
     )
     start_rejects(
         messages(f"{args.group}-rejects"),

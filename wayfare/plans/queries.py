@@ -12,7 +12,7 @@ from wayfare.functions.zones import grid_zone
 from wayfare.operators import inventory, merge, migration, quality, ranking, summaries
 from wayfare.operators.filters import PICKUP, last_hours, on_day, retained, since, split_invalid, until
 from wayfare.plans import batch, live, serving
-from wayfare.session import STREAM_CONF, new_workdir, use_utc
+from wayfare.session import new_workdir, use_utc
 from wayfare.sinks.parquet import land_by_date, write_by_month, write_plain
 from wayfare.sources import messages as msg
 from wayfare.sources import replay, sample
@@ -474,8 +474,6 @@ def replay_schedule(spark, sf_dir):
 
 
 def _streamed_trips(spark, sf_dir, coarse_zones=True):
-    for key, value in STREAM_CONF.items():
-        spark.conf.set(key, value)
     return enrich(sample.as_raw_trips(sample.stream_events(spark, sf_dir), coarse_zones))
 
 
@@ -483,8 +481,15 @@ def _drain(spark, rows, purpose, output_mode="update", transform=None, time="win
     """Run a stream over everything available and return what it stored."""
     base = new_workdir(spark, purpose)
     stored = transform(rows).schema if transform else rows.schema
-    done = start_emissions(rows, f"{base}/rows", f"{base}/checkpoint", output_mode, transform, time)
-    done.awaitTermination()
+    start_emissions(
+        rows,
+        f"{base}/rows",
+        f"{base}/checkpoint",
+        output_mode,
+        transform,
+        time,
+        parallelism=spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
     return read_emissions(spark, f"{base}/rows", stored)
 
 
@@ -532,7 +537,6 @@ def stream_processing_time(spark, sf_dir):
 @query
 def stream_messages(spark, sf_dir):
     """Message texts to five-minute zone windows: parse, drop rejects, aggregate, upsert."""
-    _streamed_trips(spark, sf_dir)
     texts = sample.as_messages(sample.stream_events(spark, sf_dir)).select("value")
     rows = live.zone_windows(texts, "5 minutes", PICKUP, "1 hour")
     emitted = _drain(spark, rows, "messages")

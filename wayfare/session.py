@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,26 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, parallelism: int | None = None) -> Iterator[None]:
+    """Settings for the streams started inside, which keep them; the session does not.
+
+    The state store stays as it is where the session names one. ``parallelism`` is the
+    number of state partitions, fixed for the life of a checkpoint.
+    """
+    settings = {k: v for k, v in STREAM_CONF.items() if spark.conf.get(k, None) is None}
+    if parallelism:
+        settings["spark.sql.shuffle.partitions"] = str(parallelism)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 

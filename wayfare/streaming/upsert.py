@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wayfare.operators.merge import one_per_key
+from wayfare.session import stream_settings
 
 EMISSION = "emission"
 WINDOW_DATE = "window_date"
@@ -50,6 +51,7 @@ def start_emissions(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     time: str = "window_start",
     interval: str | None = None,
+    parallelism: int | None = None,
 ) -> StreamingQuery:
     """Start storing emissions: every ``interval``, or once over everything available."""
     writer: DataStreamWriter = (
@@ -57,9 +59,9 @@ def start_emissions(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(emission_writer(path, transform, time))
     )
-    if interval:
-        return writer.trigger(processingTime=interval).start()
-    return writer.trigger(availableNow=True).start()
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    with stream_settings(rows.sparkSession, parallelism):
+        return writer.trigger(**trigger).start()
 
 
 def read_emissions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -78,8 +78,8 @@ class RecordingWriter:
     def __init__(self):
         self.calls = []
 
-    def hint(self, *args):
-        self.calls.append(args)
+    def repartition(self, number):
+        self.calls.append(number)
         return self
 
     @property
@@ -93,8 +93,8 @@ class RecordingWriter:
 def test_jdbc_append_policy():
     df, target = RecordingWriter(), jdbc.JdbcTarget("jdbc:x", {"user": "u"})
     jdbc.append(df, "daily_summary", target)
-    hint, (url, table, mode, properties) = df.calls
-    assert hint == ("rebalance", 4) and (url, table, mode) == ("jdbc:x", "daily_summary", "append")
+    connections, (url, table, mode, properties) = df.calls
+    assert connections == 4 and (url, table, mode) == ("jdbc:x", "daily_summary", "append")
     assert properties == {"user": "u", "batchsize": "10000", "reWriteBatchedInserts": "true"}
 
 
@@ -108,6 +108,9 @@ def test_jdbc_upsert_stages_then_merges():
         "INSERT INTO daily_summary (date, total_trips) SELECT date, total_trips "
         "FROM daily_summary_staging ON CONFLICT (date) DO UPDATE SET total_trips = EXCLUDED.total_trips"
     ]
+    again = RecordingWriter()
+    jdbc.upsert_writer("daily_summary", target, ["date"], ["total_trips"], run.append)(again, 7)
+    assert again.calls == df.calls and run[0] == run[1]
     assert jdbc.upsert_statement("t", "s", ["k"], ["k"], []).endswith("ON CONFLICT (k) DO NOTHING")
 
 

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from helpers import NOON
+from helpers import NOON, plan_of
 from pyspark.sql import functions as F
 
 from wayfare.operators.ranking import top_active_zones
@@ -17,6 +17,7 @@ from wayfare.streaming.upsert import (
     current_rows,
     emission_writer,
     publish,
+    published_and_open,
     read_emissions,
     start_emissions,
 )
@@ -73,7 +74,12 @@ def test_updates_merge_to_the_batch_result(spark, sf_dir, files, tmp_path):
 
     publish(emitted, f"{tmp_path}/table", KEYS)
     publish(emitted, f"{tmp_path}/table", KEYS, ["2024-01-05", "2024-01-06"])
-    assert same(spark.read.parquet(f"{tmp_path}/table").drop("window_date"), expected)
+    table = spark.read.parquet(f"{tmp_path}/table")
+    assert same(table.drop("window_date"), expected)
+
+    view = published_and_open(table, emitted, KEYS, "2024-01-20")
+    assert same(view.drop("window_date"), expected)
+    assert plan_of(view).count("PartitionFilters: [isnotnull(window_date") == 2
 
 
 def test_state_lives_in_rocksdb(spark, files, tmp_path):
@@ -200,3 +206,18 @@ def test_messages_to_windows_and_rejects(spark, files, sf_dir, tmp_path):
     assert same(current_rows(emitted, KEYS).drop("window_date"), expected)
     cut = table.filter("trip_id % 101 = 0").count()
     assert spark.read.parquet(f"{tmp_path}/rejects").count() == cut > 0
+
+
+def test_processing_time_state_is_released(spark, tmp_path):
+    folder = tmp_path / "in"
+    for zone in ("A", "B", "C"):
+        trip_file(spark, folder, (0, zone, 1.0))
+    trips = replay_stream(spark, str(folder), TRIP, files_per_trigger=1)
+    # One-millisecond windows end at once, so a later batch finds them closed.
+    rows = stream_zone_windows(with_processing_time(trips, "0 seconds"), "1 millisecond")
+    query = drain(spark, rows, tmp_path)
+    states = [p["stateOperators"][0] for p in query.recentProgress]
+    assert sum(s["numRowsRemoved"] for s in states) > 0
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
+    emitted = read_emissions(spark, f"{tmp_path}/rows", rows.schema)
+    assert current_rows(emitted, KEYS).agg(F.sum("trip_count")).first()[0] == 3

@@ -26,8 +26,8 @@ class JdbcTarget:
 
 
 def _few_writers(df: DataFrame, target: JdbcTarget) -> DataFrame:
-    # A rebalance to n partitions: coalesce would pull the aggregation into n tasks too.
-    return df.hint("rebalance", target.connections)
+    # Not coalesce, which would pull the aggregation before it into as few tasks.
+    return df.repartition(target.connections)
 
 
 def append(df: DataFrame, table: str, target: JdbcTarget) -> None:

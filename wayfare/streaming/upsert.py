@@ -82,11 +82,14 @@ def current_rows(emissions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest.drop(EMISSION)
 
 
-def publish(emissions: DataFrame, table_path: str, keys: Sequence[str], dates: Iterable[str] = ()) -> None:
+def publish(
+    emissions: DataFrame, table_path: str, keys: Sequence[str], dates: Iterable[str] = ()
+) -> None:
     """Store the current rows of some dates (all by default) in a table without history.
 
     Each date is computed from its emissions alone and replaces the stored date, so a
-    failed run is simply run again.
+    failed run is simply run again. Once a date is closed and published, its emission
+    folders may be removed.
     """
     wanted = [F.lit(d).cast("date") for d in dates]
     if wanted:
@@ -99,3 +102,13 @@ def publish(emissions: DataFrame, table_path: str, keys: Sequence[str], dates: I
         .partitionBy(WINDOW_DATE)
         .parquet(table_path)
     )
+
+
+def published_and_open(
+    table: DataFrame, emissions: DataFrame, keys: Sequence[str], open_from: str
+) -> DataFrame:
+    """One table of closed dates, as published, and of the dates from ``open_from`` on, whose
+    emissions are resolved while reading. Each side reads only its own folders."""
+    border = F.lit(open_from).cast("date")
+    closed = table.filter(F.col(WINDOW_DATE) < border)
+    return closed.unionByName(current_rows(emissions.filter(F.col(WINDOW_DATE) >= border), keys))

@@ -1,6 +1,10 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
+from conftest import ROOT
 from helpers import at, raw_trips, trips
 from pyspark.sql import functions as F
 
@@ -196,3 +200,19 @@ def test_only_local_sessions_fall_back_to_a_local_folder():
 
 def test_jobs_share_the_running_session(spark):
     assert build_session("another job").sparkContext is spark.sparkContext
+
+
+def test_batch_job_from_the_command_line(landed, tmp_path):
+    out = tmp_path / "daily"
+    command = [sys.executable, "-m", "wayfare.plans.batch", "daily_summary"]
+    options = "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2"
+    done = subprocess.run(
+        [*command, "2024-01-05", "--input", landed, "--output", str(out)],
+        cwd=ROOT,
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": f"{options} pyspark-shell"},
+        capture_output=True,
+        text=True,
+        check=True,
+    )
+    assert "daily_summary: 1 rows written for 2024-01-05" in done.stdout
+    assert [p.name for p in out.iterdir() if p.is_dir()] == ["date=2024-01-05"]

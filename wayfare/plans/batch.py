@@ -1,7 +1,9 @@
 """Batch jobs: trips from Parquet to a stored summary table.
 
-    spark-submit ... -m wayfare.plans.batch daily_summary --input PATH --output PATH 2024-01-05
-    spark-submit ... -m wayfare.plans.batch hourly_zone_stats --input PATH --output PATH --all-history
+    spark-submit --py-files wayfare.zip wayfare/plans/batch.py \\
+        daily_summary --input PATH --output PATH 2024-01-05
+    spark-submit --py-files wayfare.zip wayfare/plans/batch.py \\
+        hourly_zone_stats --input PATH --output PATH --all-history
 
 Without a date the job takes yesterday. Each job aggregates and writes in one action; a run
 for a date replaces that date, so it can be repeated. Routes have no date and are replaced

@@ -1,7 +1,7 @@
 """Live job: trip messages to zone windows, with unusable messages kept aside.
 
-    spark-submit -m wayfare.plans.live --brokers HOST:9092 --topic trips \\
-        --output PATH --checkpoint PATH
+    spark-submit --py-files wayfare.zip wayfare/plans/live.py \\
+        --brokers HOST:9092 --topic trips --output PATH --checkpoint PATH
 """
 
 from __future__ import annotations

@@ -1,0 +1,149 @@
+"""Random inputs against plain Python models of the same operators."""
+
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+from helpers import NOON, trips
+
+from wayfare.operators.merge import merge_insert_absent, merge_partial, merge_replace, one_per_key
+from wayfare.operators.ranking import top_active_zones
+from wayfare.operators.summaries import hourly_zone_stats, route_analysis, zone_window_stats
+
+SCHEMA = "case int, k string, n bigint, w string"
+
+
+def random_sides(spark, seed, cases=200):
+    """Target and batch of many independent cases; keys are unique on each side."""
+    rng = random.Random(seed)
+    sides = []
+    for side in ("t", "b"):
+        sides.append(
+            {
+                (case, k): (rng.choice([None, rng.randint(0, 9)]), side)
+                for case in range(cases)
+                for k in rng.sample(["a", "b", "c", None], rng.randint(0, 4))
+            }
+        )
+    frames = [spark.createDataFrame([(*key, *row) for key, row in s.items()], SCHEMA) for s in sides]
+    return sides, frames
+
+
+def as_dict(df):
+    rows = [tuple(r) for r in df.collect()]
+    result = {r[:2]: r[2:] for r in rows}
+    assert len(result) == len(rows)
+    return result
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merges_follow_the_model(spark, seed):
+    (target, batch), (t, b) = random_sides(spark, seed)
+    keys = ["case", "k"]
+    assert as_dict(merge_insert_absent(t, b, keys)) == {**batch, **target}
+    assert as_dict(merge_replace(t, b, keys)) == {**target, **batch}
+    partial = dict(target)
+    for key, (n, w) in batch.items():
+        partial[key] = (n, target[key][1]) if key in target else (n, w)
+    assert as_dict(merge_partial(t, b, keys, ["n"])) == partial
+    assert as_dict(merge_replace(t, b, keys, keep=["w"])) == partial
+
+
+def test_last_emission_follows_the_model(spark):
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 20), rng.randint(0, 1000), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, seq int, n int").repartition(5)
+    last, first = {}, {}
+    for k, seq, n in rows:
+        last[k] = max(last.get(k, (seq, n)), (seq, n))
+        first[k] = min(first.get(k, (seq, n)), (seq, n))
+    assert {r.k: (r.seq, r.n) for r in one_per_key(df, ["k"], "seq").collect()} == last
+    assert {r.k: (r.seq, r.n) for r in one_per_key(df, ["k"], "seq", last=False).collect()} == first
+
+
+@pytest.fixture(scope="module")
+def random_rows():
+    """Trips of which a third share one zone, with missing values and border times."""
+    rng = random.Random(9)
+    rows = []
+    for _ in range(1500):
+        seconds = rng.choice([0, 59, 60, 61, 299, 300, 3599, 3600, rng.randint(0, 7200)])
+        rows.append(
+            {
+                "pickup": NOON + dt.timedelta(seconds=seconds, microseconds=rng.choice([0, 1, 999_999])),
+                "zone": 1 if rng.random() < 0.33 else rng.choice([None, *range(2, 9)]),
+                "to": rng.choice([None, *range(1, 5)]),
+                "fare": rng.choice([None, round(rng.uniform(-5, 90), 2)]),
+                "total": rng.choice([None, round(rng.uniform(-5, 99), 2)]),
+                "passengers": rng.choice([None, *range(7)]),
+                "payment": rng.choice([None, 1, 2, 3]),
+            }
+        )
+    return rows
+
+
+def mean(values, policy):
+    if policy == "zero":
+        return sum(v or 0 for v in values) / len(values)
+    known = [v for v in values if v is not None]
+    return sum(known) / len(known) if known else None
+
+
+@pytest.mark.parametrize("policy", ["zero", "skip"])
+@pytest.mark.parametrize("minutes", [1, 5])
+def test_windows_follow_the_model(spark, random_rows, policy, minutes):
+    groups = defaultdict(list)
+    for r in random_rows:
+        if r["zone"] is not None:
+            offset = (r["pickup"] - NOON) // dt.timedelta(minutes=minutes)
+            groups[str(r["zone"]), NOON + offset * dt.timedelta(minutes=minutes)].append(r)
+    got = zone_window_stats(trips(spark, *random_rows), f"{minutes} minutes", nulls=policy).collect()
+    assert len(got) == len(groups)
+    for row in got:
+        rows = groups[row.zone_id, row.window_start]
+        assert row.trip_count == len(rows)
+        assert row.payment_credit_count == sum(r["payment"] == 1 for r in rows)
+        assert row.payment_cash_count == sum(r["payment"] == 2 for r in rows)
+        for column, field in (("avg_fare", "fare"), ("avg_passengers", "passengers")):
+            expected = mean([r[field] for r in rows], policy)
+            assert getattr(row, column) == (expected if expected is None else pytest.approx(expected))
+
+
+def test_hours_and_routes_follow_the_model(spark, random_rows):
+    df = trips(spark, *random_rows)
+    hours, routes = defaultdict(int), defaultdict(float)
+    for r in random_rows:
+        zone = r["zone"] and str(r["zone"])
+        hours[r["pickup"].date(), r["pickup"].hour, zone] += 1
+        routes[zone, r["to"] and str(r["to"])] += r["total"] or 0.0
+    assert {(r.date, r.hour, r.zone_id): r.trip_count for r in hourly_zone_stats(df).collect()} == hours
+    got = {(r.pickup_zone, r.dropoff_zone): r.total_revenue or 0.0 for r in route_analysis(df).collect()}
+    assert got.keys() == routes.keys()
+    assert all(got[k] == pytest.approx(routes[k], abs=1e-6) for k in got)
+
+
+def test_ranks_follow_the_model(spark, random_rows):
+    windows = zone_window_stats(trips(spark, *random_rows), "5 minutes")
+    by_window = defaultdict(list)
+    for r in windows.collect():
+        by_window[r.window_start].append((-r.trip_count, r.zone_id))
+    expected = {
+        (start, zone): rank
+        for start, zones in by_window.items()
+        for rank, (_, zone) in enumerate(sorted(zones)[:3], 1)
+    }
+    got = {(r.update_time, r.zone_id): r.zone_rank for r in top_active_zones(windows, 3).collect()}
+    assert got == expected
+
+
+def test_tables_may_be_folders_of_unordered_files(spark, sf_dir, tmp_path):
+    import __spark_entry__ as driver
+    from oracle_check import connect, difference
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(4, "event_id").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    db = connect(sf_dir)
+    for name in ("daily_summary", "latest_windows", "stream_zone_window", "stream_top_zones", "stream_replay"):
+        assert difference(driver.queries()[name](spark, str(tmp_path)), db, driver.oracle_sql()[name]) is None

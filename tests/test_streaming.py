@@ -1,15 +1,19 @@
 """Streams over several files, one file per micro-batch."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
+from conftest import ROOT
 from helpers import NOON, plan_of
 from pyspark.sql import functions as F
 
 from wayfare.operators.ranking import top_active_zones
 from wayfare.operators.summaries import global_window_stats, zone_window_stats
 from wayfare.plans import live
-from wayfare.sources.messages import parse_messages, usable
+from wayfare.sources.messages import parse_messages, rejected, usable
 from wayfare.sources.replay import replay_stream
 from wayfare.sources.sample import EVENTS_SCHEMA, as_messages, as_raw_trips, read_events, read_sample_trips
 from wayfare.sources.trips import enrich
@@ -221,3 +225,23 @@ def test_processing_time_state_is_released(spark, tmp_path):
     assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
     emitted = read_emissions(spark, f"{tmp_path}/rows", rows.schema)
     assert current_rows(emitted, KEYS).agg(F.sum("trip_count")).first()[0] == 3
+
+
+def test_live_job_from_the_command_line(spark, sf_dir, tmp_path):
+    texts = as_messages(read_events(spark, sf_dir)).select("value")
+    texts.repartition(3).write.text(f"{tmp_path}/in")
+    options = "--master local[4] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4"
+    subprocess.run(
+        [sys.executable, "-m", "wayfare.plans.live", "--files", f"{tmp_path}/in", "--once",
+         "--event-column", "tpep_pickup_datetime", "--width", "5 minutes", "--parallelism", "2",
+         "--output", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/checkpoint"],
+        cwd=ROOT,
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": f"{options} pyspark-shell"},
+        check=True,
+        capture_output=True,
+    )
+    parsed = parse_messages(texts)
+    expected = zone_window_stats(usable(parsed), "5 minutes")
+    emitted = read_emissions(spark, f"{tmp_path}/out/windows", expected.schema)
+    assert same(current_rows(emitted, KEYS).drop("window_date"), expected)
+    assert same(spark.read.parquet(f"{tmp_path}/out/rejects"), rejected(parsed))

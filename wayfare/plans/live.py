@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.session import build_session, use_utc
-from wayfare.sources.messages import kafka_options, parse_messages, read_kafka, rejected, usable
+from wayfare.sources.messages import (
+    kafka_options,
+    parse_messages,
+    read_kafka,
+    read_message_files,
+    rejected,
+    usable,
+)
 from wayfare.streaming.upsert import start_emissions
 from wayfare.streaming.windows import stream_zone_windows, with_event_time, with_processing_time
 
@@ -63,42 +70,56 @@ def start_rejects(
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("--brokers", required=True)
-    parser.add_argument("--topic", required=True)
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--brokers", help="Kafka bootstrap servers")
+    source.add_argument("--files", help="folder of text files, one message per line")
+    parser.add_argument("--topic", help="Kafka topic")
     parser.add_argument("--group", default="wayfare-zone-windows")
     parser.add_argument("--starting-offsets", default="latest")
     parser.add_argument("--width", default="1 minute")
     parser.add_argument("--event-column", help="event time; default is processing time")
     parser.add_argument("--delay", default="10 seconds")
     parser.add_argument("--interval", default="5 seconds")
+    parser.add_argument("--once", action="store_true", help="stop when all input is read")
     parser.add_argument("--parallelism", type=int, help="state partitions of a new checkpoint")
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", required=True)
     args = parser.parse_args(argv)
+    if args.brokers and not args.topic:
+        parser.error("--brokers needs --topic")
 
     spark = use_utc(build_session("wayfare live"))
 
     def messages(group: str) -> DataFrame:
+        if args.files:
+            return read_message_files(spark, args.files)
         options = kafka_options(args.brokers, args.topic, group, args.starting_offsets)
         return read_kafka(spark, options)
 
-    start_windows(
-        messages(args.group),
-        f"{args.output}/windows",
-        f"{args.checkpoint}/windows",
-        args.width,
-        args.event_column,
-        args.delay,
-        args.interval,
-        args.parallelism,
-    )
-    start_rejects(
-        messages(f"{args.group}-rejects"),
-        f"{args.output}/rejects",
-        f"{args.checkpoint}/rejects",
-        args.interval,
-    )
-    spark.streams.awaitAnyTermination()
+    interval = None if args.once else args.interval
+    queries = [
+        start_windows(
+            messages(args.group),
+            f"{args.output}/windows",
+            f"{args.checkpoint}/windows",
+            args.width,
+            args.event_column,
+            args.delay,
+            interval,
+            args.parallelism,
+        ),
+        start_rejects(
+            messages(f"{args.group}-rejects"),
+            f"{args.output}/rejects",
+            f"{args.checkpoint}/rejects",
+            interval,
+        ),
+    ]
+    if args.once:
+        for query in queries:
+            query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -120,3 +120,11 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Stream of message texts. Needs the Kafka connector on the cluster's class path."""
     stream = spark.readStream.format("kafka").options(**options).load()
     return stream.select(F.col("value").cast("string").alias("value"))
+
+
+def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of message texts from files with one message per line."""
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.text(path)

@@ -27,7 +27,9 @@ def _scan_type(stored: T.DataType, wanted: T.DataType) -> T.DataType:
     return wanted if stored == wanted or (stored, wanted) in _READ_DIRECTLY else stored
 
 
-def _conform(found: DataFrame, reader: DataFrameReader, wanted: T.StructType, paths: Sequence[str]) -> DataFrame:
+def _conform(
+    found: DataFrame, reader: DataFrameReader, wanted: T.StructType, paths: Sequence[str]
+) -> DataFrame:
     """The wanted columns in the wanted types, plus the landing partition if there is one.
 
     Files that already agree are used as found; otherwise they are read once more with a

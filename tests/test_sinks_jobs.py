@@ -68,6 +68,13 @@ def test_records_per_file(spark, tmp_path):
     assert len(list((tmp_path / "t" / "date=2024-01-05").glob("*.parquet"))) >= 10
 
 
+def test_clustered_input_is_not_shuffled(spark, tmp_path):
+    days = [spark.range(50).withColumn("date", F.lit(f"2024-01-0{d}").cast("date")).coalesce(1) for d in (5, 6)]
+    write_partitioned(days[0].unionByName(days[1]), str(tmp_path / "t"), clustered=True)
+    for day in ("date=2024-01-05", "date=2024-01-06"):
+        assert len(list((tmp_path / "t" / day).glob("*.parquet"))) == 1
+
+
 def test_rows_are_counted_while_writing(spark, tmp_path):
     days = daily_summary(trips(spark, *DAYS))
     assert write_counted(days, lambda df: write_plain(df, str(tmp_path / "t"))) == 3

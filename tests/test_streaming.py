@@ -72,6 +72,8 @@ def test_updates_merge_to_the_batch_result(spark, sf_dir, files, tmp_path):
     query = drain(spark, rows, tmp_path)
     batches = {p["batchId"] for p in query.recentProgress if p["numInputRows"]}
     assert len(batches) == 5
+    for folder in (tmp_path / "rows").glob("window_date=*/emission=*"):
+        assert 1 <= len(list(folder.glob("*.parquet"))) <= 2
     emitted = read_emissions(spark, f"{tmp_path}/rows", rows.schema)
     expected = zone_window_stats(read_sample_trips(spark, sf_dir, coarse_zones=True), "1 hour")
     assert same(current_rows(emitted, KEYS).drop("window_date"), expected)

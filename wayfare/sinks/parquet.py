@@ -18,17 +18,21 @@ def write_partitioned(
     sort: tuple[str, ...] = (),
     compression: str = "snappy",
     max_records_per_file: int = 0,
+    clustered: bool = False,
 ) -> None:
     """Write Parquet below ``partition=...`` folders.
 
     ``mode="replace"`` overwrites only the partitions present in the data, so a job can run
     again for a day. Rows are rebalanced by partition first: each task writes few
-    partitions, and Spark splits a partition that is too large for one task. ``sort`` orders
-    rows inside each file, which narrows the min/max ranges later filters skip by.
+    partitions, and Spark splits a partition that is too large for one task. Both need
+    adaptive execution, which is on by default. ``clustered=True`` saves that shuffle where
+    the input files already follow the partition. ``sort`` orders rows inside each file,
+    which narrows the min/max ranges later filters skip by.
     """
     if value is not None:
         df = df.withColumn(partition, value)
-    df = df.hint("rebalance", partition)
+    if not clustered:
+        df = df.hint("rebalance", partition)
     if sort:
         df = df.sortWithinPartitions(partition, *sort)
     writer = df.write.option("compression", compression)

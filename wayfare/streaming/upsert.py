@@ -25,15 +25,24 @@ WINDOW_DATE = "window_date"
 
 
 def emission_writer(
-    path: str, transform: Callable[[DataFrame], DataFrame] | None = None, time: str = "window_start"
+    path: str,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    time: str = "window_start",
+    writers_per_date: int = 2,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that stores what a batch emitted, in a single action."""
+    """A ``foreachBatch`` function that stores what a batch emitted, in a single action.
+
+    Adaptive execution is off inside a stateful stream, so the rows of a date are spread
+    over a fixed number of writers; without that every state partition would write a file
+    for every date.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
+        writer = F.pmod(F.xxhash64(*rows.columns), F.lit(writers_per_date))
         (
             rows.withColumns({WINDOW_DATE: F.to_date(time), EMISSION: F.lit(batch_id)})
-            .hint("rebalance", WINDOW_DATE)
+            .repartition(F.col(WINDOW_DATE), writer)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(WINDOW_DATE, EMISSION)
@@ -52,12 +61,13 @@ def start_emissions(
     time: str = "window_start",
     interval: str | None = None,
     parallelism: int | None = None,
+    writers_per_date: int = 2,
 ) -> StreamingQuery:
     """Start storing emissions: every ``interval``, or once over everything available."""
     writer: DataStreamWriter = (
         rows.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(emission_writer(path, transform, time))
+        .foreachBatch(emission_writer(path, transform, time, writers_per_date))
     )
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     with stream_settings(rows.sparkSession, parallelism):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wayfare.operators.ranking import top_active_zones
 from wayfare.operators.summaries import global_window_stats, zone_window_stats
 from wayfare.plans import live
+from wayfare.session import STREAM_CONF
 from wayfare.sources.messages import parse_messages, rejected, usable
 from wayfare.sources.replay import replay_stream
 from wayfare.sources.sample import EVENTS_SCHEMA, as_messages, as_raw_trips, read_events, read_sample_trips
@@ -90,13 +91,13 @@ def test_updates_merge_to_the_batch_result(spark, sf_dir, files, tmp_path):
 
 def test_state_lives_in_rocksdb(spark, files, tmp_path):
     rows = stream_global_windows(with_event_time(stream(spark, files)), "1 day")
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    keys = ("spark.sql.shuffle.partitions", *STREAM_CONF)
+    before = [spark.conf.get(key, None) for key in keys]
     query = drain(spark, rows, tmp_path, parallelism=3)
     assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
-    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+    assert [spark.conf.get(key, None) for key in keys] == before
     metrics = [o["customMetrics"] for p in query.recentProgress for o in p["stateOperators"]]
     assert any("rocksdbPutCount" in m for m in metrics)
-    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
 
 
 def test_append_emits_closed_windows_once(spark, sf_dir, files, tmp_path):

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
-from wayfare.llm import mixing, quality
+from wayfare.llm import bpe, mixing, quality
 from wayfare.llm.text import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    pattern = public_tokenizers.PATTERN
+    docs = read_table(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, path, pattern, columns=["doc_id"])
+    decoded = bpe.decode(encoded, path, pattern)
+    return decoded.select(F.col("row.doc_id").alias("doc_id"), *bpe.digests(decoded))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return quality.judged(read_table(spark, sf_dir, "documents"), columns=["doc_id"]).select(
@@ -32,6 +43,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_mix_sources": op1_mix_sources,
+    "op3_byte_bpe": op3_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_STATES = 150_000  # states are dropped beyond this number and made anew
 MAX_UNITS = 300_000  # so many units are kept, which are the common ones; others are read again
@@ -334,7 +335,7 @@ def encode(
         F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"),
         F.col(text).alias("text"),
     )
-    schema = rows.select("row").schema.add("ids", "array<int>")
+    schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = _coder(path, pattern)

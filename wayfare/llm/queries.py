@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from wayfare.llm import bpe, mixing, quality
+from wayfare.llm import bpe, mixing, quality, token_counts
 from wayfare.llm.text import read_table
 
+TOKEN_LIMIT = 2048
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -29,6 +31,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(F.col("row.doc_id").alias("doc_id"), *bpe.digests(decoded))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count_tokens(docs, path, columns=["doc_id"]).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        "n_tokens",
+        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return quality.judged(read_table(spark, sf_dir, "documents"), columns=["doc_id"]).select(
@@ -44,6 +57,7 @@ LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_mix_sources": op1_mix_sources,
     "op3_byte_bpe": op3_byte_bpe,
+    "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }
 

@@ -20,16 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_STATES = 150_000  # states are dropped beyond this number and made anew
-MAX_UNITS = 300_000  # so many units are kept, which are the common ones; others are read again
-MAX_UNIT_CHARS = 64  # longer units are not kept
+MAX_STATES = 250_000  # states are dropped beyond this number and made anew
+MAX_KNOWN = 500_000  # pre-tokens kept, likewise
+MAX_KNOWN_CHARS = 64  # longer ones are not kept
+MARKS = ".,;:!?"
+SAME_LETTERS = "\u0500"  # below, str.isalpha and the pattern agree on what a letter is
 NEVER = 1 << 62  # above every rank
-ROWS = 256  # documents handled at once
+CHARS = 4 << 20  # characters of the texts handled at once
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -72,15 +75,17 @@ class Transducer:
                     self.ends.append(None)
             self.ends[node] = rank
         self.leaves = frozenset(range(len(self.ends))) - inner
+        self.alone = {rank: (rank,) for rank in self.tokens}
         self._edges: dict[bytes, tuple[list, list] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        start = (None, (((), 0),))
+        # A state: the last token written, the parts, and what waits in front of each.
+        start = (None, (0,), ((),))
         self.states = [start]
         self.number = {start: 0}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state and byte
-        self._side: dict[tuple[int | None, int], bool] = {}
+        self._side: dict[int, bool] = {}
 
     def edges(self, token: bytes) -> tuple[list, list] | None:
         """What stands at the left and at the right edge of a token while it is merged.
@@ -109,7 +114,7 @@ class Transducer:
         inside the left token, one inside the right token, and one across the border, which
         would part them. Of equal ranks the leftmost goes first.
         """
-        key = (left, right)
+        key = right if left is None else left + 1 << 32 | right
         if key not in self._side:
             after = self.edges(self.tokens[right])
             before = self.edges(self.tokens[left]) if left is not None else ((), ())
@@ -133,38 +138,43 @@ class Transducer:
         return self._side[key]
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, live = self.states[state]
-        step, ends, leaves, side = self.next.get, self.ends, self.leaves, self._side
-        after: list[tuple[tuple[int, ...], int]] = []
+        last, parts, waits = self.states[state]
+        step, ends, leaves, alone, side = self.next.get, self.ends, self.leaves, self.alone, self._side
+        nodes: list[int] = []
+        paths: list[tuple[int, ...]] = []
         whole = None
-        for waiting, node in live:
+        for node, waiting in zip(parts, waits):
             node = step(node << 8 | byte)
             if node is None:
                 continue
             token = ends[node]
             if token is not None and whole is None:
                 left = waiting[-1] if waiting else last
-                fits = side.get((left, token))
+                fits = side.get(token if left is None else left + 1 << 32 | token)
                 if self.side_by_side(left, token) if fits is None else fits:
-                    whole = (*waiting, token)
+                    whole = waiting + alone[token] if waiting else alone[token]
             if node not in leaves:
-                after.append((waiting, node))
+                nodes.append(node)
+                paths.append(waiting)
         # The order is that of the lengths of the parts; the prefix read as a whole comes last.
-        after.append((whole, 0))
-        first = after[0][0]
+        nodes.append(0)
+        paths.append(whole)
+        first = paths[0]
         shared = 0
-        if first:
-            for k, token in enumerate(first):
-                if any(len(waiting) <= k or waiting[k] != token for waiting, _ in after):
-                    break
-                shared = k + 1
+        for k, token in enumerate(first):
+            if any(len(waiting) <= k or waiting[k] != token for waiting in paths):
+                break
+            shared = k + 1
         written = first[:shared]
         if shared:
-            after = [(waiting[shared:], node) for waiting, node in after]
+            paths = [
+                alone[waiting[shared]] if len(waiting) == shared + 1 else waiting[shared:]
+                for waiting in paths
+            ]
             last = written[-1]
-        if after[0][0] and all(waiting for waiting, _ in after):
+        if all(paths):
             last = None  # it matters only to a path that has nothing waiting
-        key = (last, tuple(after))
+        key = (last, tuple(nodes), tuple(paths))
         target = self.number.setdefault(key, len(self.states))
         if target == len(self.states):
             self.states.append(key)
@@ -183,54 +193,88 @@ class Transducer:
             state, written = known(state << 8 | byte) or self._move(state, byte)
             if written:
                 out += written
-        out += self.states[state][1][-1][0]
+        out += self.states[state][2][-1]
         return out
 
 
 class Encoder:
-    """Encodes texts; remembers units, which repeat from text to text.
+    """Encodes texts; what repeats from text to text goes through the transducer once.
 
-    A unit is one blank and the run up to the next blank. Where such a run neither is empty nor
-    begins or ends with white space, no pre-token crosses its borders, so its tokens do not
-    depend on what is around. Other texts are cut by the pattern as a whole.
+    A unit is one blank and the run up to the next blank. Where no such run of a text is empty or
+    begins or ends with white space, no pre-token crosses their borders, so the tokens of a unit do
+    not depend on what is around. Other texts are cut by the pattern as a whole.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pieces = regex.compile(pattern).findall
-        self.units: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
-        self._odd = regex.compile(r"(?:^|[\s\x1c-\x1f\x85])[\s\x1c-\x1f\x85]|[\s\x1c-\x1f\x85]$").search
-
-    def _tokens(self, text: str) -> bytes:
-        out: list[bytes] = []
-        known = self.known
-        for piece in self.pieces(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = array("i", self.transducer.encode(piece.encode())).tobytes()
-                if len(known) < MAX_UNITS and len(piece) <= MAX_UNIT_CHARS:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def __call__(self, text: str) -> bytes:
-        """Token ids as 32-bit integers."""
-        if not text:
-            return b""
-        if self._odd(text):
-            return self._tokens(text)
-        first, *others = text.split(" ")
-        units = self.units
-        out = [self._tokens(first)]
-        for unit in others:
-            ids = units.get(unit)
-            if ids is None:
-                ids = self._tokens(" " + unit)
-                if len(units) < MAX_UNITS and len(unit) <= MAX_UNIT_CHARS:
-                    units[unit] = ids
-            out.append(ids)
-        return b"".join(out)
+        self._mark = {m: array("i", self.transducer.encode(m.encode())).tobytes() for m in MARKS}
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = array("i", self.transducer.encode(piece.encode())).tobytes()
+            if len(piece) <= MAX_KNOWN_CHARS:
+                if len(self.known) >= MAX_KNOWN:
+                    self.known.clear()
+                self.known[piece] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        """Token ids of a text, as 32-bit integers."""
+        return b"".join(map(self._piece, self.pieces(text)))
+
+    def unit(self, unit: str) -> bytes | None:
+        """Token ids of a blank and a unit; None if they depend on what is around.
+
+        Letters are one pre-token, a mark behind them another.
+        """
+        if not unit or unit[0].isspace() or unit[-1].isspace():
+            return None
+        if unit[-1] in self._mark:
+            body = unit[:-1]
+            if body.isalpha() and (body.isascii() or max(body) < SAME_LETTERS):
+                return self._piece(" " + body) + self._mark[unit[-1]]
+        elif unit.isalpha() and (unit.isascii() or max(unit) < SAME_LETTERS):
+            return self._piece(" " + unit)
+        return self.whole(" " + unit)
+
+    def batch(self, texts: pa.StringArray) -> pa.ListArray:
+        """Token ids of many texts; null texts have none.
+
+        Distinct units are found for all texts at once, and their ids dealt out again.
+        """
+        texts = texts.fill_null("")
+        split = pc.split_pattern(texts, " ")
+        at = split.offsets.to_numpy() - split.offsets[0].as_py()
+        firsts, count = at[:-1], len(texts)
+        units = split.flatten()
+        coded = units.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        ids = [self.unit(u) for u in coded.dictionary.to_pylist()]
+        distinct = len(ids)
+        # The first run of a text has no blank in front; texts with odd runs are done as a whole.
+        odd = np.array([x is None for x in ids] + [False], bool)
+        rest = codes.copy()
+        rest[firsts] = distinct
+        is_odd = np.logical_or.reduceat(odd[rest], firsts) if count else np.zeros(0, bool)
+        heads = units.take(pa.array(firsts)).to_pylist()
+        spaced = [h[-1:].isspace() for h in heads]
+        codes[firsts] = distinct + np.arange(count)
+        for k, head in enumerate(heads):
+            if is_odd[k] or spaced[k]:
+                codes[at[k] + 1 : at[k + 1]] = distinct + count
+                head = texts[k].as_py()
+            ids.append(self.whole(head))
+        pool = [x or b"" for x in ids] + [b""]
+        sizes = np.array([len(x) // 4 for x in pool], np.int64)
+        flat = np.frombuffer(b"".join(pool), np.int32)
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        where = np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], lengths)
+        return pa.ListArray.from_arrays(pa.array(ends[at].astype(np.int32)), pa.array(flat[where]))
 
 
 # Number of bytes of a character by its first byte, and the range of its second byte where that
@@ -316,10 +360,16 @@ def _coder(path: str, pattern: str) -> tuple[Encoder, Utf8Machine]:
     return _made[path, pattern]
 
 
-def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batched(batches: Iterator[pa.RecordBatch], sizes) -> Iterator[pa.RecordBatch]:
+    """Slices of limited size; one row at least."""
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            yield batch.slice(start, ROWS)
+        ends = np.cumsum(np.nan_to_num(np.asarray(sizes(batch.column(1)), float)))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + CHARS, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def encode(
@@ -339,15 +389,11 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = _coder(path, pattern)
-        for batch in _batched(batches):
+        for batch in _batched(batches, pc.binary_length):
             gc.disable()  # states are many small tuples without cycles
-            ids = [encoder(t) if t else b"" for t in batch.column(1).to_pylist()]
+            ids = encoder.batch(batch.column(1))
             gc.enable()
-            ends = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
-            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["row", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", "ids"])
 
     return rows.mapInArrow(run, schema)
 
@@ -358,7 +404,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, machine = _coder(path, pattern)
-        for batch in _batched(batches):
+        for batch in _batched(batches, pc.list_value_length):
             texts = [None if x is None else machine(x) for x in batch.column(1).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from wayfare.llm import bpe, mixing, quality, token_counts
+from wayfare.llm import bpe, mixing, ngram_join, quality, token_counts
 from wayfare.llm.text import read_table
 
 TOKEN_LIMIT = 2048
@@ -31,6 +31,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(F.col("row.doc_id").alias("doc_id"), *bpe.digests(decoded))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return ngram_join.jaccard_components(docs, width=3, similarity=(90, 100))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +62,7 @@ LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_mix_sources": op1_mix_sources,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }

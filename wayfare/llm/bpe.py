@@ -14,6 +14,7 @@ their joined bytes by rank gives the two back. This is what compiles the merge r
 from __future__ import annotations
 
 import base64
+import functools
 import gc
 from array import array
 from collections.abc import Iterator
@@ -26,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_STATES = 250_000  # states are dropped beyond this number and made anew
-MAX_KNOWN = 500_000  # pre-tokens kept, likewise
+MAX_STATES = 300_000  # states are dropped beyond this number and made anew
+MAX_KNOWN = 600_000  # pre-tokens kept, likewise
 MAX_KNOWN_CHARS = 64  # longer ones are not kept
 MARKS = ".,;:!?"
 SAME_LETTERS = "\u0500"  # below, str.isalpha and the pattern agree on what a letter is
 NEVER = 1 << 62  # above every rank
-CHARS = 4 << 20  # characters of the texts handled at once
+BYTES = 4 << 20  # bytes of the texts handled at once
+TOKENS = 1 << 19  # tokens decoded at once
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -84,7 +86,9 @@ class Transducer:
         start = (None, (0,), ((),))
         self.states = [start]
         self.number = {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state and byte
+        # By state and byte: the next state, or its complement where the move writes tokens.
+        self.moves: dict[int, int] = {}
+        self.writes: dict[int, tuple[int, ...]] = {}
         self._side: dict[int, bool] = {}
 
     def edges(self, token: bytes) -> tuple[list, list] | None:
@@ -137,7 +141,7 @@ class Transducer:
             self._side[key] = ok
         return self._side[key]
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _move(self, state: int, byte: int) -> int:
         last, parts, waits = self.states[state]
         step, ends, leaves, alone, side = self.next.get, self.ends, self.leaves, self.alone, self._side
         nodes: list[int] = []
@@ -178,8 +182,11 @@ class Transducer:
         target = self.number.setdefault(key, len(self.states))
         if target == len(self.states):
             self.states.append(key)
-        self.moves[state << 8 | byte] = move = (target, written)
-        return move
+        if written:
+            self.writes[state << 8 | byte] = written
+            target = ~target
+        self.moves[state << 8 | byte] = target
+        return target
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -189,13 +196,32 @@ class Transducer:
             self._reset()
         out: list[int] = []
         state, known = 0, self.moves.get
-        for byte in piece:
-            state, written = known(state << 8 | byte) or self._move(state, byte)
-            if written:
-                out += written
-        out += self.states[state][2][-1]
+        for byte in piece[:-1]:
+            at = state << 8 | byte
+            state = known(at)
+            if state is None:
+                state = self._move(at >> 8, byte)
+            if state < 0:
+                out += self.writes[at]
+                state = ~state
+        if piece:
+            out += self._finish(state, piece[-1])
         return out
 
+    def _finish(self, state: int, byte: int) -> tuple[int, ...]:
+        """What the last byte writes: only the path that ends with it matters, not a new state."""
+        last, parts, waits = self.states[state]
+        step, ends, side = self.next.get, self.ends, self._side
+        for node, waiting in zip(parts, waits):
+            node = step(node << 8 | byte)
+            token = ends[node] if node is not None else None
+            if token is not None:
+                left = waiting[-1] if waiting else last
+                fits = side.get(token if left is None else left + 1 << 32 | token)
+                if self.side_by_side(left, token) if fits is None else fits:
+                    return waiting + self.alone[token]
+        raise AssertionError("every prefix has an encoding")
+
 
 class Encoder:
     """Encodes texts; what repeats from text to text goes through the transducer once.
@@ -252,7 +278,12 @@ class Encoder:
         units = split.flatten()
         coded = units.dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
-        ids = [self.unit(u) for u in coded.dictionary.to_pylist()]
+        # In order, so that units with a common beginning meet states just used.
+        order = pc.array_sort_indices(coded.dictionary)
+        ids = [self.unit(u) for u in coded.dictionary.take(order).to_pylist()]
+        place = np.empty(len(ids), np.int64)
+        place[order.to_numpy()] = np.arange(len(ids))
+        codes = place[codes]
         distinct = len(ids)
         # The first run of a text has no blank in front; texts with odd runs are done as a whole.
         odd = np.array([x is None for x in ids] + [False], bool)
@@ -349,25 +380,25 @@ class Utf8Machine:
             return "".join(self.stream(ids))
 
 
-_made: dict[tuple, tuple[Encoder, Utf8Machine]] = {}
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str, pattern: str) -> Encoder:
+    """One for a worker process, which serves many tasks."""
+    return Encoder(load_ranks(path), pattern)
 
 
-def _coder(path: str, pattern: str) -> tuple[Encoder, Utf8Machine]:
-    """One for each worker process, which serves many tasks."""
-    if (path, pattern) not in _made:
-        ranks = load_ranks(path)
-        _made[path, pattern] = Encoder(ranks, pattern), Utf8Machine({r: t for t, r in ranks.items()})
-    return _made[path, pattern]
+@functools.lru_cache(maxsize=2)
+def _machine(path: str) -> Utf8Machine:
+    return Utf8Machine({rank: token for token, rank in load_ranks(path).items()})
 
 
-def _batched(batches: Iterator[pa.RecordBatch], sizes) -> Iterator[pa.RecordBatch]:
+def _batched(batches: Iterator[pa.RecordBatch], sizes, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of limited size; one row at least."""
     for batch in batches:
         ends = np.cumsum(np.nan_to_num(np.asarray(sizes(batch.column(1)), float)))
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + CHARS, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 
@@ -388,8 +419,8 @@ def encode(
     schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, _ = _coder(path, pattern)
-        for batch in _batched(batches, pc.binary_length):
+        encoder = _encoder(path, pattern)
+        for batch in _batched(batches, pc.binary_length, BYTES):
             gc.disable()  # states are many small tuples without cycles
             ids = encoder.batch(batch.column(1))
             gc.enable()
@@ -398,13 +429,13 @@ def encode(
     return rows.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded`` to ``row`` and ``ids``: the text of the tokens. Null ids give null."""
     schema = encoded.select("row", "ids").schema.add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, machine = _coder(path, pattern)
-        for batch in _batched(batches, pc.list_value_length):
+        machine = _machine(path)
+        for batch in _batched(batches, pc.list_value_length, TOKENS):
             texts = [None if x is None else machine(x) for x in batch.column(1).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"])

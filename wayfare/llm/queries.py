@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from wayfare.llm import bpe, mixing, ngram_join, quality, token_counts
+from wayfare.llm import bpe, embeddings, mixing, ngram_join, quality, token_counts
 from wayfare.llm.text import read_table
 
 TOKEN_LIMIT = 2048
@@ -27,7 +27,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = public_tokenizers.PATTERN
     docs = read_table(spark, sf_dir, "documents")
     encoded = bpe.encode(docs, path, pattern, columns=["doc_id"])
-    decoded = bpe.decode(encoded, path, pattern)
+    decoded = bpe.decode(encoded, path)
     return decoded.select(F.col("row.doc_id").alias("doc_id"), *bpe.digests(decoded))
 
 
@@ -36,6 +36,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(docs, width=3, similarity=(90, 100))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +67,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -431,7 +431,7 @@ def encode(
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded`` to ``row`` and ``ids``: the text of the tokens. Null ids give null."""
-    schema = encoded.select("row", "ids").schema.add("decoded", "string")
+    schema = encoded.select("row", "ids").schema.add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _machine(path)

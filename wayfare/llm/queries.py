@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from wayfare.llm import bpe, embeddings, mixing, ngram_join, quality, token_counts
+from wayfare.llm import bpe, embeddings, html_text, mixing, ngram_join, quality, token_counts
 from wayfare.llm.text import read_table
 
 TOKEN_LIMIT = 2048
@@ -22,6 +22,16 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract(pages, columns=["page_id", "url"]).select(
+        F.col("row.page_id").alias("page_id"),
+        F.col("row.url").alias("url"),
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     pattern = public_tokenizers.PATTERN
@@ -65,6 +75,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_mix_sources": op1_mix_sources,
+    "op2_main_text": op2_main_text,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_embedding_dedup": op5_embedding_dedup,

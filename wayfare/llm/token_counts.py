@@ -97,6 +97,23 @@ def with_pieces(runs: DataFrame, path: str) -> DataFrame:
     return runs.mapInArrow(run, "run binary, n long, pieces long")
 
 
+def frequent(runs: DataFrame, rows: int = FREQUENT) -> DataFrame:
+    """The most frequent runs, ``rows`` at most: those above a frequency found from a histogram.
+
+    The histogram has eight bins to a doubling, so a few hundred rows come to the driver.
+    """
+    short = runs.where(F.octet_length("run") <= MAX_FREQUENT_BYTES)
+    step = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    bins = short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    lowest, total = None, 0
+    for b in bins:
+        total += b["count"]
+        if total > rows:
+            break
+        lowest = b["step"]
+    return short.where(step >= F.lit(lowest)) if lowest is not None else short.where("false")
+
+
 def count_tokens(
     docs: DataFrame, path: str, text: str = "text", columns: list[str] | None = None
 ) -> DataFrame:
@@ -109,13 +126,7 @@ def count_tokens(
     columns pass through in ``row``.
     """
     runs = stored(with_pieces(distinct_runs(docs, text), path), "runs")
-    common = (
-        runs.where(F.octet_length("run") <= MAX_FREQUENT_BYTES)
-        .orderBy(F.desc("n"), "run")
-        .limit(FREQUENT)
-        .select("run", "pieces")
-        .collect()
-    )
+    common = frequent(runs).select("run", "pieces").collect()
     table = docs.sparkSession.sparkContext.broadcast({bytes(r): int(k) for r, k in common})
     # The numbers of the rows are written with them, so a task that is run again finds the same.
     counted = stored(_per_document(docs, table, text, columns or docs.columns), "run-counts")

@@ -201,12 +201,26 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def _own_texts(held: DataFrame, width: int) -> DataFrame:
+    """The rows (f, text) whose text has that set: a key may come with several texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            own = [fingerprint(shingle_set(text, width)) == f for f, text in rows]
+            yield batch.filter(pa.array(own, pa.bool_()))
+
+    return held.mapInArrow(run, "f long, text string")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, parts: tuple[int, int]) -> DataFrame:
     """The pairs (f, g) whose sets are similar enough, compared shingle by shingle."""
     num, den = parts
     left = texts.select("f", F.col("text").alias("a"))
     right = texts.select(F.col("f").alias("g"), F.col("text").alias("b"))
-    both = stored(pairs.join(left, "f"), "pair-texts").join(right, "g").select("f", "g", "a", "b")
+    # The same plan at every size: sorted joins, of stored tables, which Spark may split.
+    first = stored(pairs.join(left.hint("merge"), "f"), "pair-texts")
+    both = first.join(right.hint("merge"), "g").select("f", "g", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[int, np.ndarray] = {}
@@ -417,12 +431,22 @@ def jaccard_components(
     common = stored(
         keys.groupBy("part").agg(F.count("*").alias("rows")).where("rows > 1").select("part"), "common-parts"
     )
-    met = stored(keys.join(common, "part"), "met")
-    heads = stored(
+    # Copies of a set come from several tasks; each row is one set in one top node from here on.
+    met = stored(stored(keys.join(common, "part"), "met-raw").distinct(), "met")
+    tops = (
         met.groupBy("part")
-        .agg(F.min("f").alias("head"), F.max("f").alias("last"))
+        .agg(
+            F.min("f").alias("head"),
+            F.max("f").alias("last"),
+            F.count("*").alias("rows"),
+            F.bit_xor(F.xxhash64("f")).alias("x"),
+            F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"),
+        )
         .where("head < last")
-        .select("part", "head"),
+    )
+    # Sets that agree on much meet in many top nodes; of nodes that hold the same sets one is enough.
+    heads = stored(
+        tops.groupBy("head", "last", "rows", "x", "y").agg(F.min("part").alias("part")).select("part", "head"),
         "heads",
     )
     members = stored(met.join(heads, "part"), "members")
@@ -436,9 +460,8 @@ def jaccard_components(
         .join(wanted, "f")
         .select("f", "id")
     )
-    texts = stored(
-        named.join(stored(holder, "holders"), "id").dropDuplicates(["f"]).select("f", "text"), "texts"
-    )
+    held = named.join(stored(holder, "holders").hint("merge"), "id").select("f", "text")
+    texts = stored(_own_texts(held, width).dropDuplicates(["f"]), "texts")
     to_head = (
         members.where("f != head")
         .select(F.least("f", "head").alias("f"), F.greatest("f", "head").alias("g"))
@@ -451,7 +474,6 @@ def jaccard_components(
         members.join(heads_hung, "head", "left")
         .withColumn("head_comp", F.coalesce("head_comp", "head"))
         .select("part", "f", "n", "head_comp")
-        .distinct()
     )
     second = _verified(_opened(tagged, hung, texts, width, similarity), texts, width, similarity)
     # Sets that hang together hang on their smallest; the new links join these.

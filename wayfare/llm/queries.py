@@ -10,10 +10,22 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from wayfare.llm import bpe, embeddings, html_text, mixing, ngram_join, quality, token_counts
+from wayfare.llm import (
+    bpe,
+    embeddings,
+    html_text,
+    licenses,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    token_counts,
+)
 from wayfare.llm.text import read_table
 
 TOKEN_LIMIT = 2048
+# In production the key is a secret of the caller; the queries have to give the same each time.
+SURROGATE_KEY = "documents"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +62,30 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.anonymised(docs, key=SURROGATE_KEY, columns=["doc_id"]).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("clean").alias("text"),
+        F.size("found").cast("long").alias("n_found"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda m: m["kind"]))), ",").alias("kinds"),
+    )
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.license_scan(docs, columns=["doc_id"]).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "licence",
+        "start",
+        "end",
+        "gain",
+        "missing",
+        "added",
+        "wording",
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -79,6 +115,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_pii_surrogates": op6_pii_surrogates,
+    "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }

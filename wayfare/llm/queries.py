@@ -20,6 +20,7 @@ from wayfare.llm import (
     pii,
     quality,
     token_counts,
+    toxicity,
 )
 from wayfare.llm.text import read_table
 
@@ -108,6 +109,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = read_table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(toxicity.sampled(docs, labels, "doc_id", "text", "toxic"))
+    doc_id = F.col("row.doc_id")
+    return toxicity.scored(docs, model, columns=["doc_id"]).select(
+        doc_id.alias("doc_id"),
+        (F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_mix_sources": op1_mix_sources,
@@ -119,6 +135,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {}

@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_STATES = 300_000  # states are dropped beyond this number and made anew
-MAX_KNOWN = 600_000  # pre-tokens kept, likewise
+MAX_STATES = 250_000  # states are dropped beyond this number and made anew
+MAX_KNOWN = 500_000  # units kept: the first, and so the common ones; others are read again
 MAX_KNOWN_CHARS = 64  # longer ones are not kept
 MARKS = ".,;:!?"
+ODD = b"?"  # stands for the tokens of a unit that cannot be told alone
 SAME_LETTERS = "\u0500"  # below, str.isalpha and the pattern agree on what a letter is
 NEVER = 1 << 62  # above every rank
-BYTES = 4 << 20  # bytes of the texts handled at once
+BYTES = 8 << 20  # bytes of the texts handled at once
 TOKENS = 1 << 19  # tokens decoded at once
 
 
@@ -238,33 +239,32 @@ class Encoder:
         self._mark = {m: array("i", self.transducer.encode(m.encode())).tobytes() for m in MARKS}
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = array("i", self.transducer.encode(piece.encode())).tobytes()
-            if len(piece) <= MAX_KNOWN_CHARS:
-                if len(self.known) >= MAX_KNOWN:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
+        return array("i", self.transducer.encode(piece.encode())).tobytes()
 
     def whole(self, text: str) -> bytes:
         """Token ids of a text, as 32-bit integers."""
         return b"".join(map(self._piece, self.pieces(text)))
 
-    def unit(self, unit: str) -> bytes | None:
-        """Token ids of a blank and a unit; None if they depend on what is around.
+    def _new(self, unit: str) -> bytes:
+        """Token ids of a blank and a unit; ``ODD`` if they depend on what is around.
 
         Letters are one pre-token, a mark behind them another.
         """
         if not unit or unit[0].isspace() or unit[-1].isspace():
-            return None
-        if unit[-1] in self._mark:
-            body = unit[:-1]
-            if body.isalpha() and (body.isascii() or max(body) < SAME_LETTERS):
-                return self._piece(" " + body) + self._mark[unit[-1]]
+            ids = ODD
         elif unit.isalpha() and (unit.isascii() or max(unit) < SAME_LETTERS):
-            return self._piece(" " + unit)
-        return self.whole(" " + unit)
+            ids = self._piece(" " + unit)
+        elif unit[-1] in self._mark and unit[:-1].isalpha() and (unit.isascii() or max(unit) < SAME_LETTERS):
+            body = unit[:-1]
+            ids = (self.known.get(body) or self._piece(" " + body)) + self._mark[unit[-1]]
+        else:
+            ids = self.whole(" " + unit)
+        if len(self.known) < MAX_KNOWN and len(unit) <= MAX_KNOWN_CHARS:
+            self.known[unit] = ids
+        return ids
+
+    def units(self, units: list[str]) -> list[bytes]:
+        return [ids or self._new(unit) for unit, ids in zip(units, map(self.known.get, units))]
 
     def batch(self, texts: pa.StringArray) -> pa.ListArray:
         """Token ids of many texts; null texts have none.
@@ -277,16 +277,16 @@ class Encoder:
         firsts, count = at[:-1], len(texts)
         units = split.flatten()
         coded = units.dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
+        codes = coded.indices.to_numpy()
         # In order, so that units with a common beginning meet states just used.
         order = pc.array_sort_indices(coded.dictionary)
-        ids = [self.unit(u) for u in coded.dictionary.take(order).to_pylist()]
-        place = np.empty(len(ids), np.int64)
-        place[order.to_numpy()] = np.arange(len(ids))
+        ids = self.units(coded.dictionary.take(order).to_pylist())
+        place = np.empty(len(ids), np.int32)
+        place[order.to_numpy()] = np.arange(len(ids), dtype=np.int32)
         codes = place[codes]
         distinct = len(ids)
         # The first run of a text has no blank in front; texts with odd runs are done as a whole.
-        odd = np.array([x is None for x in ids] + [False], bool)
+        odd = np.array([x is ODD for x in ids] + [False], bool)
         rest = codes.copy()
         rest[firsts] = distinct
         is_odd = np.logical_or.reduceat(odd[rest], firsts) if count else np.zeros(0, bool)
@@ -298,13 +298,14 @@ class Encoder:
                 codes[at[k] + 1 : at[k + 1]] = distinct + count
                 head = texts[k].as_py()
             ids.append(self.whole(head))
-        pool = [x or b"" for x in ids] + [b""]
-        sizes = np.array([len(x) // 4 for x in pool], np.int64)
+        pool = [b"" if x is ODD else x for x in ids] + [b""]
+        sizes = np.array([len(x) // 4 for x in pool], np.int32)
         flat = np.frombuffer(b"".join(pool), np.int32)
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[codes]
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        where = np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], lengths)
+        ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+        where = np.arange(ends[-1], dtype=np.int32)
+        where += np.repeat((starts[codes] - ends[:-1]).astype(np.int32), lengths)
         return pa.ListArray.from_arrays(pa.array(ends[at].astype(np.int32)), pa.array(flat[where]))
 
 
@@ -404,10 +405,17 @@ def _batched(batches: Iterator[pa.RecordBatch], sizes, most: int) -> Iterator[pa
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", columns: list[str] | None = None
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text: str = "text",
+    columns: list[str] | None = None,
+    back: bool = False,
 ) -> DataFrame:
     """``row`` with the given columns (all by default) and ``ids``, the tokens of the whole text.
 
+    ``back`` adds ``decoded``, as ``decode`` does, in the same pass over the data.
+
     ``path`` names a file of ranks that every executor can open. Null and empty texts have no
     tokens. Special tokens are not known; their strings are ordinary text. Repeated rows give
     repeated rows, an empty table none; other columns pass through in ``row``.
@@ -417,6 +425,8 @@ def encode(
         F.col(text).alias("text"),
     )
     schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
+    if back:
+        schema = schema.add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
@@ -424,7 +434,10 @@ def encode(
             gc.disable()  # states are many small tuples without cycles
             ids = encoder.batch(batch.column(1))
             gc.enable()
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", "ids"])
+            columns = [batch.column(0), ids]
+            if back:
+                columns.append(_decoded(ids, _machine(path)))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -436,13 +449,16 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _machine(path)
         for batch in _batched(batches, pc.list_value_length, TOKENS):
-            texts = [None if x is None else machine(x) for x in batch.column(1).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
+            columns = [batch.column(0), batch.column(1), _decoded(batch.column(1), machine)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"])
 
     return encoded.select("row", "ids").mapInArrow(run, schema)
 
 
+def _decoded(ids: pa.ListArray, machine: Utf8Machine) -> pa.StringArray:
+    return pa.array((machine(x.values.to_pylist()) if x.is_valid else None for x in ids), pa.string())
+
+
 def digests(decoded: DataFrame) -> list:
     """Columns that stand for the results: number of tokens, hash of the ids, hash of the text."""
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")

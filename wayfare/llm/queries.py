@@ -25,8 +25,6 @@ from wayfare.llm import (
 from wayfare.llm.text import read_table
 
 TOKEN_LIMIT = 2048
-# In production the key is a secret of the caller; the queries have to give the same each time.
-SURROGATE_KEY = "documents"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,9 +47,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     pattern = public_tokenizers.PATTERN
     docs = read_table(spark, sf_dir, "documents")
-    encoded = bpe.encode(docs, path, pattern, columns=["doc_id"])
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(F.col("row.doc_id").alias("doc_id"), *bpe.digests(decoded))
+    coded = bpe.encode(docs, path, pattern, columns=["doc_id"], back=True)
+    return coded.select(F.col("row.doc_id").alias("doc_id"), *bpe.digests(coded))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +62,7 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return pii.anonymised(docs, key=SURROGATE_KEY, columns=["doc_id"]).select(
+    return pii.anonymised(docs, key=corpus_pipeline.SURROGATE_KEY, columns=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"),
         F.col("clean").alias("text"),
         F.size("found").cast("long").alias("n_found"),

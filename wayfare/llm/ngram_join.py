@@ -30,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm.components import connected
@@ -495,3 +495,24 @@ def jaccard_components(
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """The rows of which one of each group of near duplicates stays: that with the smallest key.
+
+    Of rows that agree in the key one stays. Rows without a key, and texts without words, are in no
+    group and stay. All columns come back as they were.
+    """
+    groups = jaccard_components(docs, text, key, **options).toDF("id", "n", "component_id")
+    heads = stored(groups.where("id = component_id").select("id").distinct(), "heads-of-groups")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("id")
+    )
+    first = Window.partitionBy("id").orderBy(F.col(f"row.`{text}`"))
+    kept = (
+        rows.join(heads.hint("merge"), "id")
+        .withColumn("place", F.row_number().over(first))
+        .where("place = 1")
+        .select("row.*")
+    )
+    return kept.union(rows.where("id is null").select("row.*"))

@@ -3,7 +3,6 @@
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from wayfare.llm import ngram_join
 from wayfare.llm.components import connected
@@ -113,14 +112,9 @@ def test_bounds_never_lose_a_pair():
     base = [[f"b{b}w{rng.randrange(10**5)}" for _ in range(200)] for b in range(12)]
     texts = [" ".join(changed(rng, words, rng.randint(0, 6))) for words in base for _ in range(8)]
     sets = [ngram_join.shingle_set(t, 3) for t in texts]
-    rows = pd.DataFrame(
-        {
-            "f": range(len(sets)),
-            "n": [len(s) for s in sets],
-            "comp": range(len(sets)),
-            "bits": [ngram_join.bitmap(s) for s in sets],
-        }
-    )
+    numbers = np.arange(len(sets))
+    bits = np.stack([ngram_join.bitmap(s) for s in sets]).view(np.uint64)
+    rows = ngram_join.Side(numbers, np.array([len(s) for s in sets]), numbers, bits)
     found = {tuple(sorted(p)) for p in ngram_join.may_link(rows, rows, (90, 100)).tolist()}
     linked = set()
     for i in range(len(sets)):
@@ -132,6 +126,15 @@ def test_bounds_never_lose_a_pair():
     assert len(found) < len(sets) ** 2 / 8
 
 
+def test_texts_hashed_together_or_alone():
+    texts = [t for _, t in made_texts()]
+    for width in (1, 3, 5):
+        alone = [ngram_join.shingle_set(t, width) for t in texts]
+        together = list(ngram_join.shingle_sets(texts, width))
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(alone, together))
+        assert [len(s) for s in alone] == [len(plain_set(t, width)) for t in texts]
+
+
 def test_long_words_and_segments(monkeypatch):
     text = "ab cd " * 500 + "x" * 5000 + " ef\tgh\nab cd"
     whole = ngram_join.word_hashes(text.encode())

@@ -26,9 +26,9 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +42,7 @@ WORDS64 = BITS // 64
 TILE = 512  # documents of a tile
 LEAF = 16  # documents of a smallest node
 SEGMENT = 1 << 20  # bytes hashed at once
+TOGETHER = 1 << 18  # bytes of short texts hashed together
 SEEN = 500_000  # copies that one task leaves out
 
 _SPACE = np.zeros(256, bool)
@@ -96,14 +97,57 @@ def word_hashes(data: bytes) -> np.ndarray:
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles; the whole sequence is one if words are fewer."""
-    words = word_hashes(text.encode("utf-8", "surrogatepass").lower()) if text else ()
+    return next(shingle_sets([text], width))
+
+
+def _combined(words: np.ndarray, n: int, width: int) -> np.ndarray:
+    """Hashes of the first ``n`` runs of ``width`` words."""
+    out = np.full(n, width, np.uint64)
+    for k in range(width):
+        out = mix64(out * np.uint64(_STEP) + words[k : k + n])
+    return out
+
+
+def _set_of(words: np.ndarray, width: int) -> np.ndarray:
     if not len(words):
         return np.zeros(0, np.uint64)
-    n = max(1, len(words) - width + 1)
-    out = np.full(n, min(width, len(words)), np.uint64)
-    for k in range(min(width, len(words))):
-        out = mix64(out * np.uint64(_STEP) + words[k : k + n])
-    return np.unique(out)
+    width = min(width, len(words))
+    return np.unique(_combined(words, len(words) - width + 1, width))
+
+
+def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
+    """The sets of many texts; short texts are hashed together."""
+    at = 0
+    while at < len(texts):
+        group: list[bytes] = []
+        size = 0
+        while at < len(texts) and size < TOGETHER:
+            data = (texts[at] or "").encode("utf-8", "surrogatepass").lower()
+            if len(data) > TOGETHER and group:
+                break
+            group.append(data)
+            size += len(data) + 1
+            at += 1
+        if len(group) == 1:
+            yield _set_of(word_hashes(group[0]), width)
+            continue
+        joined = b"\n".join(group)
+        words = word_hashes(joined)
+        # How many words begin in front of each text's end.
+        inside = ~_SPACE[np.frombuffer(joined, np.uint8)]
+        inside[1:] &= ~inside[:-1]
+        begun = np.concatenate(([0], np.cumsum(inside)))
+        ends = begun[np.cumsum([len(g) + 1 for g in group]) - 1]
+        counts = np.diff(ends, prepend=0)
+        n = max(0, len(words) - width + 1)
+        all_shingles = _combined(words, n, width)
+        start = 0
+        for count in counts.tolist():
+            if count >= width:
+                yield np.unique(all_shingles[start : start + count - width + 1])
+            else:
+                yield _set_of(words[start : start + count], width)
+            start += count
 
 
 def fingerprint(shingles: np.ndarray) -> int:
@@ -154,7 +198,7 @@ def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = (shingle_set(t, width) for t in batch.column(1).to_pylist())
+            sets = shingle_sets(batch.column(1).to_pylist(), width)
             made = [(len(s), fingerprint(s)) for s in sets]
             columns = [pa.array([m[k] for m in made], pa.int64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "f"])
@@ -169,8 +213,7 @@ def part_keys(docs: DataFrame, text: str, width: int, parts: tuple[int, int]) ->
         made, seen = Parts(*parts), set()
         for batch in batches:
             keys, prints, sizes = [], [], []
-            for t in batch.column(0).to_pylist():
-                shingles = shingle_set(t, width)
+            for shingles in shingle_sets(batch.column(0).to_pylist(), width):
                 f = fingerprint(shingles)
                 if not len(shingles) or f in seen:
                     continue
@@ -206,8 +249,8 @@ def _own_texts(held: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            own = [fingerprint(shingle_set(text, width)) == f for f, text in rows]
+            sets = shingle_sets(batch.column(1).to_pylist(), width)
+            own = [fingerprint(s) == f for f, s in zip(batch.column(0).to_pylist(), sets)]
             yield batch.filter(pa.array(own, pa.bool_()))
 
     return held.mapInArrow(run, "f long, text string")
@@ -247,32 +290,44 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, parts: tuple[int,
     return both.mapInArrow(run, "f long, g long")
 
 
-def may_link(a: pd.DataFrame, b: pd.DataFrame, parts: tuple[int, int]) -> np.ndarray:
-    """Pairs of rows (f of a, f of b) that may be similar enough and hang on different components.
+class Side(NamedTuple):
+    """Documents of a tile: set, size, component, bitmap."""
+
+    f: np.ndarray
+    n: np.ndarray
+    comp: np.ndarray
+    bits: np.ndarray
+
+
+def may_link(a: Side, b: Side, parts: tuple[int, int]) -> np.ndarray:
+    """Pairs (f of a, f of b) that may be similar enough and hang on different components.
 
     The dual traversal of two tiles: pairs of nodes first, then the documents below them. At most
     as many shingles are common as common bits are set, plus those of the smaller surplus of shingles
     over bits.
     """
     num, den = parts
+    few = len(a.f) * len(b.f) <= LEAF * LEAF
     sides = []
-    for rows in (a, b):
-        rows = rows.sort_values(["comp", "n", "f"])
-        bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
-        n = rows["n"].to_numpy(np.int64)
+    for side in (a, b):
+        if not few:
+            order = np.lexsort((side.f, side.n, side.comp))
+            side = Side(*(column[order] for column in side))
+        n, comp, bits = side.n, side.comp, side.bits
         surplus = n - np.bitwise_count(bits).sum(1, dtype=np.int64)
-        comp = rows["comp"].to_numpy(np.int64)
-        heads = np.arange(0, len(n), LEAF)
-        nodes = {
-            "bits": np.bitwise_or.reduceat(bits, heads),
-            "low": np.minimum.reduceat(n, heads),
-            "high": np.maximum.reduceat(n, heads),
-            "surplus": np.maximum.reduceat(surplus, heads),
-            "comp_low": np.minimum.reduceat(comp, heads),
-            "comp_high": np.maximum.reduceat(comp, heads),
-        }
         docs = {"bits": bits, "low": n, "high": n, "surplus": surplus, "comp_low": comp, "comp_high": comp}
-        sides.append((rows["f"].to_numpy(np.int64), docs, nodes))
+        nodes = docs
+        if not few:
+            heads = np.arange(0, len(n), LEAF)
+            nodes = {
+                "bits": np.bitwise_or.reduceat(bits, heads),
+                "low": np.minimum.reduceat(n, heads),
+                "high": np.maximum.reduceat(n, heads),
+                "surplus": np.maximum.reduceat(surplus, heads),
+                "comp_low": np.minimum.reduceat(comp, heads),
+                "comp_high": np.maximum.reduceat(comp, heads),
+            }
+        sides.append((side.f, docs, nodes))
 
     def possible(x: dict, y: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs (i, j) of nodes are worth opening."""
@@ -288,6 +343,10 @@ def may_link(a: pd.DataFrame, b: pd.DataFrame, parts: tuple[int, int]) -> np.nda
         return keep[(num + den) * most >= num * (x["low"][i] + y["low"][j])]
 
     (f, x, top_x), (g, y, top_y) = sides
+    if few:
+        p, q = np.repeat(np.arange(len(f)), len(g)), np.tile(np.arange(len(g)), len(f))
+        good = possible(x, y, p, q)
+        return np.stack([f[p[good]], g[q[good]]], 1)
     found = []
     for i in range(len(top_x["low"])):
         j = np.arange(len(top_y["low"]))
@@ -308,7 +367,7 @@ def _signatures(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [bitmap(shingle_set(t, width)).tolist() for t in batch.column(1).to_pylist()]
+            made = [bitmap(s).tolist() for s in shingle_sets(batch.column(1).to_pylist(), width)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["f", "bits"]
             )
@@ -316,6 +375,24 @@ def _signatures(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("f", "text").mapInArrow(run, "f long, bits array<long>")
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.Table]:
+    """Sorted rows again, in tables that no group runs across."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        keys = [held.column(c).to_numpy() for c in group]
+        same = np.all([k == k[-1] for k in keys], axis=0)
+        last = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if last:
+            yield held.slice(0, last)
+            held = held.slice(last)
+    if held is not None:
+        yield held
+
+
 def _opened(
     members: DataFrame, hung: DataFrame, texts: DataFrame, width: int, parts: tuple[int, int]
 ) -> DataFrame:
@@ -394,11 +471,34 @@ def _opened(
         other.select(*kept, F.lit(False).alias("own"))
     )
 
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = rows[rows["own"]], rows[~rows["own"]]
-        return pd.DataFrame(may_link(a, b, parts), columns=["f", "g"])
+    # The rows of a group lie together in one partition; a group is two tiles, so it is small.
+    dealt = both.repartition(*group).sortWithinPartitions(*group)
 
-    met = both.groupBy(group).applyInPandas(meet, "f long, g long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, group):
+            keys = [table.column(c).to_numpy() for c in group]
+            new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+            starts = [0, *(np.flatnonzero(new) + 1).tolist(), table.num_rows]
+            own = table.column("own").to_numpy()
+            bits = table.column("bits").combine_chunks().flatten().to_numpy()
+            rows = Side(
+                *(table.column(c).to_numpy() for c in ("f", "n", "comp")),
+                bits.reshape(-1, WORDS64).view(np.uint64),
+            )
+            found = []
+            for start, stop in zip(starts, starts[1:]):
+                group_rows = [column[start:stop] for column in rows]
+                mine = own[start:stop]
+                if mine.any() and not mine.all():
+                    a, b = (Side(*(column[side] for column in group_rows)) for side in (mine, ~mine))
+                    found.append(may_link(a, b, parts))
+            if found:
+                pairs = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["f", "g"]
+                )
+
+    met = dealt.mapInArrow(run, "f long, g long")
     return met.where("f != g").select(
         F.least("f", "g").alias("f"), F.greatest("f", "g").alias("g")
     ).distinct()

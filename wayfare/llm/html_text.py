@@ -60,6 +60,7 @@ GOOD = frozenset("article articlebody body content entry main page post story te
 PRIOR = {"article": 25, "main": 20, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3}
 PRIOR |= dict.fromkeys(("ul", "ol", "dl", "dd", "dt", "li", "address"), -3)
 PRIOR |= dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6", "th"), -5)
+MENU_LINKS = 4  # so many links make a menu, where little else is said
 MIN_BLOCK = 25  # characters of a block that gives points
 
 _TOKEN = re.compile(
@@ -76,8 +77,8 @@ _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 class Element:
     __slots__ = (
-        "tag", "attrs", "parent", "parts", "words", "role", "unseen", "own", "size", "linked", "commas",
-        "score", "gone",
+        "tag", "attrs", "parent", "parts", "words", "role", "unseen", "own", "size", "linked", "links",
+        "commas", "score", "gone",
     )
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
@@ -85,7 +86,7 @@ class Element:
         self.parts: list[Element | str] = []
         self.words: frozenset[str] = frozenset()
         self.role, self.unseen = "", False
-        self.own = self.size = self.linked = self.commas = 0
+        self.own = self.size = self.linked = self.links = self.commas = 0
         self.score, self.gone = 0.0, False
         if attrs and not attrs.isspace():
             words: set[str] = set()
@@ -201,10 +202,11 @@ def main_text(page: str | None) -> str:
                 block.own += size
     for element in reversed(elements):
         if element.tag == "a":
-            element.linked = element.size
+            element.linked, element.links = element.size, 1
         if element.parent and not element.gone:
             element.parent.size += element.size
             element.parent.linked += element.linked
+            element.parent.links += element.links
             element.parent.commas += element.commas
     candidates: dict[int, Element] = {}
 
@@ -235,11 +237,16 @@ def main_text(page: str | None) -> str:
     if not alive:
         return _text([e for e in elements if e.tag == "body" and not e.gone][:1] or [root])
     best = max(alive, key=lambda e: e.score)
-    node = best
+    node, marked = best, False
     while node:  # the article that it lies in is the whole of it
+        marked |= node.tag in ("article", "main")
         if node.tag == "article":
             best = node
         node = node.parent
+    if not marked:  # nothing says where the article ends: lists of links are menus
+        for element in elements:
+            menu = element.tag in ("ul", "ol", "div", "section", "table", "p") and element.links >= MENU_LINKS
+            element.gone |= menu and element.linked > 0.8 * element.size
     return _text(_with_siblings(best))
 
 

@@ -58,6 +58,29 @@ def test_large_and_non_finite_values_are_not_lost(spark):
     assert math.isnan(row.s) and math.isnan(row.a)
 
 
+def test_no_digit_is_lost_on_either_side_of_any_size(spark):
+    """Totals equal the exact sums of decimals, in every order and number of partitions."""
+    random.seed(5)
+    cases = {
+        "small": ["0.00004"] * 1000,
+        "million": ["999999.12345", "1000000.12345", "-999999.5", "1000000.5"] * 300,
+        "mixed": [f"{random.uniform(-3e6, 3e6):.5f}" for _ in range(2000)],
+        "tiny": ["0.000000000001"] * 500 + ["-0.25"],
+        "huge": ["4503599627370497.5", "1.5", "-4503599627370497.5", "1e20", "-1e20"],
+    }
+    wanted = (m.total("s", "v"),)
+    for name, texts in cases.items():
+        exact = float(sum(Fraction(t) for t in texts))
+        seen = set()
+        for parts in (1, 5):
+            random.shuffle(texts)
+            seen.add(direct(values_frame(spark, [float(t) for t in texts], parts), [], wanted).first().s)
+        assert len(seen) == 1
+        assert seen.pop() == pytest.approx(exact, rel=1e-14, abs=1e-12), name
+    thousand = direct(values_frame(spark, [0.00004] * 1000), [], wanted).first().s
+    assert thousand == 0.04
+
+
 def test_merged_parts_equal_direct_aggregation(spark):
     random.seed(11)
     values = [None if random.random() < 0.1 else round(random.gauss(0, 40), 2) for _ in range(400)]

@@ -5,10 +5,12 @@ turns them into its value. The parts of a fine grain can be stored and merged in
 coarser grain, and the same parts are what Spark combines map-side before a shuffle, so
 one hot key costs one row per task.
 
-Doubles are added as whole units (1/10,000 of an amount or a distance, one millisecond of
-a duration). Adding whole numbers gives the same total in every partition order, where
-adding doubles does not, and it stays inside generated code, where decimals do not. Values
-too large or not finite are added as plain doubles on the side, so nothing is lost.
+Doubles are added as whole numbers: a value is split into multiples of 2^40, its whole part below
+that, and two groups of six decimal digits, and each is summed as BIGINT. Whole numbers give the
+same total in every order of rows and partitions, where doubles do not, and stay inside generated
+code, where decimals do not. Twelve digits after the point are kept, at any size of the value. Only
+what is not finite, or above 2^92, is added as a plain double on the side. A sum that passes
+BIGINT fails; it takes 9 * 10^12 rows to get there.
 
 Expressions are SQL text: one call to the JVM each, however long they are.
 """
@@ -21,12 +23,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-AMOUNT_UNITS = 10_000
-DISTANCE_UNITS = 10_000
-MINUTE_UNITS = 60_000
+# Factor under which a value is added, where that makes it a whole number: seconds for minutes.
+PLAIN = 1
+MINUTE_UNITS = 60
 
-# Values up to this size are added as units: far from overflow for any real table.
-UNIT_LIMIT = "1e6D"
+HIGH = "1099511627776D"  # 2^40
+LARGEST = "4951760157141521099596496896D"  # 2^92
 
 
 @dataclass(frozen=True)
@@ -46,20 +48,31 @@ class Measure:
 ROWS = Part("part_rows", "count(1)")
 
 
-def _sum_parts(label: str, value: str, units: int) -> tuple[Part, Part]:
-    value = f"CAST({value} AS DOUBLE)"
-    whole = f"CAST(rint({value} * {units}) AS BIGINT)"
-    fits = f"abs({value}) < {UNIT_LIMIT}"
+def _sum_parts(label: str, value: str, units: int) -> tuple[Part, ...]:
+    value = f"CAST({value} AS DOUBLE)" + (f" * {units}" if units != 1 else "")
+    high = f"CAST({value} / {HIGH} AS BIGINT)"
+    low = f"({value} - {high} * {HIGH})"
+    whole = f"floor({low})"
+    millionths = f"(({low} - {whole}) * 1e6D)"
+    micro = f"floor({millionths})"
+    pico = f"CAST(rint(({millionths} - {micro}) * 1e6D) AS BIGINT)"
+    fits = f"abs({value}) < {LARGEST}"
+    limbs = {"high": high, "whole": whole, "micro": micro, "pico": pico}
     return (
-        Part(f"part_{label}_units", f"sum(CASE WHEN {fits} THEN {whole} END)"),
+        *[
+            Part(f"part_{label}_{name}", f"sum(CASE WHEN {fits} THEN {limb} END)")
+            for name, limb in limbs.items()
+        ],
         Part(f"part_{label}_rest", f"sum(CASE WHEN NOT ({fits}) THEN {value} END)"),
     )
 
 
 def _sum_value(label: str, units: int) -> str:
-    whole = f"part_{label}_units / {units}D"
-    rest = f"part_{label}_rest"
-    return f"coalesce({whole} + {rest}, {whole}, {rest})"
+    part = f"part_{label}"
+    exact = f"{part}_whole + {part}_micro * 0.000001 + {part}_pico * 0.000000000001"
+    total = f"(CAST({exact} AS DOUBLE) + {part}_high * {HIGH})"
+    total = f"coalesce({total} + {part}_rest, {total}, {part}_rest)"
+    return f"({total} / {units}D)" if units != 1 else total
 
 
 def rows(name: str) -> Measure:
@@ -73,7 +86,7 @@ def matches(name: str, condition: str) -> Measure:
     return Measure(name, (part,), part.name)
 
 
-def total(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip") -> Measure:
+def total(name: str, column: str, units: int = PLAIN, nulls: str = "skip") -> Measure:
     """Sum of a column; with ``nulls="zero"`` a group without values sums to zero."""
     value = _sum_value(column, units)
     if nulls == "zero":
@@ -81,7 +94,7 @@ def total(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip"
     return Measure(name, _sum_parts(column, column, units), value)
 
 
-def mean(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip") -> Measure:
+def mean(name: str, column: str, units: int = PLAIN, nulls: str = "skip") -> Measure:
     """Mean of a column.
 
     ``nulls="skip"`` divides by the number of values and is null without any;
@@ -98,7 +111,7 @@ def mean(name: str, column: str, units: int = AMOUNT_UNITS, nulls: str = "skip")
     return Measure(name, (*sums, count), by_values)
 
 
-def weighted_mean(name: str, column: str, weight: str, units: int = AMOUNT_UNITS) -> Measure:
+def weighted_mean(name: str, column: str, weight: str, units: int = PLAIN) -> Measure:
     """Mean of stored means, each counting as often as the rows behind it."""
     label = f"{column}_by_{weight}"
     sums = _sum_parts(label, f"{column} * {weight}", units)

@@ -16,9 +16,9 @@ DAILY = (
     m.rows("total_trips"),
     m.total("total_revenue", "total_amount"),
     m.mean("avg_fare", "fare_amount"),
-    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+    m.mean("avg_distance", "trip_distance"),
     m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
-    m.mean("avg_passengers", "passenger_count", 1),
+    m.mean("avg_passengers", "passenger_count"),
     m.matches("credit_card_trips", "is_credit"),
     m.matches("cash_trips", "is_cash"),
     m.mean("avg_tip", "tip_amount"),
@@ -29,14 +29,14 @@ HOURLY = (
     m.rows("trip_count"),
     m.total("total_revenue", "total_amount"),
     m.mean("avg_fare", "fare_amount"),
-    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+    m.mean("avg_distance", "trip_distance"),
     m.mean("avg_duration", "duration_minutes", m.MINUTE_UNITS),
-    m.mean("avg_passengers", "passenger_count", 1),
+    m.mean("avg_passengers", "passenger_count"),
 )
 ROUTE = (
     m.rows("route_count"),
     m.mean("avg_fare", "fare_amount"),
-    m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS),
+    m.mean("avg_distance", "trip_distance"),
     m.mean("avg_duration_minutes", "duration_minutes", m.MINUTE_UNITS),
     m.total("total_revenue", "total_amount"),
 )
@@ -47,8 +47,8 @@ def zone_window_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
         m.rows("trip_count"),
         m.total("total_revenue", "total_amount", nulls=nulls),
         m.mean("avg_fare", "fare_amount", nulls=nulls),
-        m.mean("avg_distance", "trip_distance", m.DISTANCE_UNITS, nulls=nulls),
-        m.mean("avg_passengers", "passenger_count", 1, nulls=nulls),
+        m.mean("avg_distance", "trip_distance", nulls=nulls),
+        m.mean("avg_passengers", "passenger_count", nulls=nulls),
         m.matches("payment_cash_count", "is_cash"),
         m.matches("payment_credit_count", "is_credit"),
     )
@@ -59,8 +59,8 @@ def global_measures(nulls: str = "zero") -> tuple[m.Measure, ...]:
         m.rows("total_trips"),
         m.total("total_revenue", "total_amount", nulls=nulls),
         m.mean("avg_fare", "fare_amount", nulls=nulls),
-        m.mean("avg_trip_distance", "trip_distance", m.DISTANCE_UNITS, nulls=nulls),
-        m.mean("avg_passengers", "passenger_count", 1, nulls=nulls),
+        m.mean("avg_trip_distance", "trip_distance", nulls=nulls),
+        m.mean("avg_passengers", "passenger_count", nulls=nulls),
     )
 
 
@@ -148,7 +148,7 @@ def daypart_profile(hourly: DataFrame) -> DataFrame:
         m.summed("trip_count", "trip_count"),
         m.total("total_revenue", "total_revenue"),
         m.weighted_mean("avg_fare", "avg_fare", "trip_count"),
-        m.weighted_mean("avg_distance", "avg_distance", "trip_count", m.DISTANCE_UNITS),
+        m.weighted_mean("avg_distance", "avg_distance", "trip_count"),
         m.weighted_mean("avg_duration", "avg_duration", "trip_count", m.MINUTE_UNITS),
     )
     hourly = hourly.withColumns(

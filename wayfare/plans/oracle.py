@@ -36,7 +36,8 @@ MINUTES = "seconds / 60.0 AS duration_minutes"
 
 
 def _sum(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(18, 4))) AS DOUBLE)"
+    """Through text, since a wide decimal is rounded twice on its way to a double."""
+    return f"CAST(CAST(SUM(CAST({column} AS DECIMAL(38, 12))) AS VARCHAR) AS DOUBLE)"
 
 
 def _avg(column: str) -> str:

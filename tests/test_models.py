@@ -50,6 +50,38 @@ def test_merges_follow_the_model(spark, seed):
     assert as_dict(merge_replace(t, b, keys, keep=["w"])) == partial
 
 
+def test_repeated_keys_end_as_one_row(spark):
+    """As if the rows of the batch came one by one, in the order of their sequence."""
+    rng = random.Random(9)
+    target = {(c, "a"): (1, "t") for c in range(0, 40, 2)}
+    batch = [(c, rng.choice("ab"), rng.randint(0, 9), "b", n) for n, c in enumerate(rng.choices(range(40), k=200))]
+    t = spark.createDataFrame([(*k, *v) for k, v in target.items()], SCHEMA)
+    b = spark.createDataFrame(batch, SCHEMA + ", seq int").repartition(5)
+    keys = ["case", "k"]
+    absent, replaced, partial = dict(target), dict(target), dict(target)
+    for case, k, n, w, _ in batch:
+        key = (case, k)
+        absent.setdefault(key, (n, w))
+        replaced[key] = (n, w)
+        partial[key] = (n, partial[key][1]) if key in partial else (n, w)
+    assert as_dict(merge_insert_absent(t, b, keys, "seq")) == absent
+    assert as_dict(merge_replace(t, b, keys, sequence="seq")) == replaced
+    assert as_dict(merge_partial(t, b, keys, ["n"], "seq")) == partial
+    assert len(as_dict(merge_replace(t, b.drop("seq"), keys))) == len(replaced)
+
+
+def test_merges_read_each_side_once(spark):
+    from helpers import plan_of
+
+    t = spark.range(5).selectExpr("cast(id as int) AS case", "'a' AS k", "id AS n", "'t' AS w")
+    for merged in (
+        merge_insert_absent(t, t, ["case", "k"]),
+        merge_replace(t, t, ["case", "k"]),
+        merge_partial(t, t, ["case", "k"], ["n"]),
+    ):
+        assert plan_of(merged).split("== Initial Plan ==")[0].count("Range (") <= 4
+
+
 def test_last_emission_follows_the_model(spark):
     rng = random.Random(5)
     rows = [(rng.randint(0, 20), rng.randint(0, 1000), i) for i in range(3000)]

@@ -1,7 +1,9 @@
 """Keyed merges of a batch into a table, as DataFrame -> DataFrame functions.
 
 Keys match null-safely, so merging a batch a second time changes nothing even where a key
-is null. Joins carry no hints: Spark broadcasts the batch only when its size allows.
+is null. A key repeated inside the batch ends as one row, as if its rows had come one by one.
+Every merge is one join that reads each side once. Joins carry no hints: Spark broadcasts the
+batch only when its size allows.
 """
 
 from __future__ import annotations
@@ -18,32 +20,35 @@ def _same_keys(keys: Sequence[str]) -> Column:
 
 
 def one_per_key(
-    batch: DataFrame, keys: Sequence[str], sequence: str, last: bool = True
+    batch: DataFrame, keys: Sequence[str], sequence: str | None = None, last: bool = True
 ) -> DataFrame:
     """One row per key: the one with the highest (or lowest) sequence.
 
     An aggregate over the row as a struct, combined before the shuffle: a key repeated many
-    times costs one row per task. Equal sequence numbers are settled by the other columns.
+    times costs one row per task. Equal sequence numbers, or rows without a sequence, are
+    settled by the other columns.
     """
+    first = [sequence] if sequence else []
     others = [c for c in batch.columns if c not in keys and c != sequence]
-    row = F.struct(sequence, *others)
+    if not first and not others:
+        return batch.distinct()
+    row = F.struct(*first, *others)
     pick = F.max(row) if last else F.min(row)
     chosen = batch.groupBy(*keys).agg(pick.alias("_row"))
     return chosen.select(*keys, "_row.*").select(*batch.columns)
 
 
-def merge_insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the batch rows whose key the target does not have."""
-    new = batch.alias("b").join(target.alias("t"), _same_keys(keys), "left_anti")
-    return target.unionByName(new)
-
-
-def merge_partial(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], replace: Sequence[str]
+def _merged(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    replace: Sequence[str],
+    sequence: str | None,
+    last: bool,
 ) -> DataFrame:
-    """Replace only the listed columns of rows present on both sides; add new rows whole."""
+    single = one_per_key(batch, keys, sequence, last)
     old = target.withColumn("_in_target", F.lit(True)).alias("t")
-    new = batch.withColumn("_in_batch", F.lit(True)).alias("b")
+    new = single.withColumn("_in_batch", F.lit(True)).alias("b")
     columns = []
     for c in target.columns:
         from_batch = "_in_batch" if c in replace else "_in_target IS NULL"
@@ -51,15 +56,37 @@ def merge_partial(
     return old.join(new, _same_keys(keys), "full_outer").selectExpr(*columns)
 
 
+def merge_insert_absent(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str | None = None
+) -> DataFrame:
+    """Add the batch rows whose key the target does not have; of a repeated key the first row."""
+    return _merged(target, batch, keys, (), sequence, last=False)
+
+
+def merge_partial(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    replace: Sequence[str],
+    sequence: str | None = None,
+) -> DataFrame:
+    """Replace only the listed columns of rows present on both sides; add new rows whole.
+
+    Of a repeated key the last row counts.
+    """
+    return _merged(target, batch, keys, replace, sequence, last=True)
+
+
 def merge_replace(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    keep: Sequence[str] = (),
+    sequence: str | None = None,
 ) -> DataFrame:
-    """Batch rows take the place of target rows with the same key.
+    """Batch rows take the place of target rows with the same key; of a repeated key the last.
 
     Columns in ``keep`` stay as they are on rows that exist already.
     """
-    if keep:
-        replace = [c for c in target.columns if c not in keys and c not in keep]
-        return merge_partial(target, batch, keys, replace)
-    untouched = target.alias("t").join(batch.alias("b"), _same_keys(keys), "left_anti")
-    return untouched.unionByName(batch)
+    replace = [c for c in target.columns if c not in keep]
+    return _merged(target, batch, keys, replace, sequence, last=True)

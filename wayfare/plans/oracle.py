@@ -287,6 +287,16 @@ UNION ALL SELECT 'top_active_zones', COUNT(*), CAST(SUM(trip_count) AS BIGINT) F
     "merge_insert_absent": _with(TRIPS, OLD_DAYS, NEW_DAYS)
     + """SELECT * FROM old UNION ALL BY NAME
 SELECT * FROM new WHERE "date" NOT IN (SELECT "date" FROM old)""",
+    "merge_insert_absent_repeated": _with(TRIPS, OLD_DAYS, NEW_DAYS)
+    + """SELECT * FROM old UNION ALL BY NAME SELECT * REPLACE (total_trips + 1 AS total_trips)
+FROM new WHERE "date" NOT IN (SELECT "date" FROM old)""",
+    "merge_partial_repeated": _with(TRIPS, OLD_DAYS, NEW_DAYS)
+    + """SELECT old.* REPLACE (coalesce(new.total_trips + 2, old.total_trips) AS total_trips,
+  coalesce(new.total_revenue, old.total_revenue) AS total_revenue,
+  coalesce(new.avg_fare, old.avg_fare) AS avg_fare)
+FROM old LEFT JOIN new ON old."date" = new."date" UNION ALL BY NAME
+SELECT * REPLACE (total_trips + 2 AS total_trips)
+FROM new WHERE "date" NOT IN (SELECT "date" FROM old)""",
     "merge_replace": _with(TRIPS, OLD_DAYS, NEW_DAYS)
     + """SELECT * FROM old WHERE "date" NOT IN (SELECT "date" FROM new) UNION ALL BY NAME
 SELECT * REPLACE (total_trips + 2 AS total_trips) FROM new""",

@@ -382,6 +382,12 @@ def _newer_days(spark, sf_dir):
     )
 
 
+def _emitted_days(spark, sf_dir):
+    """The corrected days, each emitted twice, with one and two trips more."""
+    emitted = _newer_days(spark, sf_dir).withColumn("emission", F.explode(F.array(F.lit(1), F.lit(2))))
+    return emitted.withColumn("total_trips", F.col("total_trips") + F.col("emission"))
+
+
 @query
 def merge_insert_absent(spark, sf_dir):
     return merge.merge_insert_absent(
@@ -392,10 +398,31 @@ def merge_insert_absent(spark, sf_dir):
 @query
 def merge_replace(spark, sf_dir):
     """The batch holds two emissions per day; the later one wins."""
-    emitted = _newer_days(spark, sf_dir).withColumn("emission", F.explode(F.array(F.lit(1), F.lit(2))))
-    emitted = emitted.withColumn("total_trips", F.col("total_trips") + F.col("emission"))
-    batch = merge.one_per_key(emitted, DAILY_SUMMARY.keys, "emission").drop("emission")
-    return merge.merge_replace(_stored_days(spark, sf_dir), batch, DAILY_SUMMARY.keys)
+    return merge.merge_replace(
+        _stored_days(spark, sf_dir),
+        _emitted_days(spark, sf_dir),
+        DAILY_SUMMARY.keys,
+        sequence="emission",
+    )
+
+
+@query
+def merge_insert_absent_repeated(spark, sf_dir):
+    """The batch holds two emissions per day; the first one is there when the second comes."""
+    return merge.merge_insert_absent(
+        _stored_days(spark, sf_dir), _emitted_days(spark, sf_dir), DAILY_SUMMARY.keys, "emission"
+    )
+
+
+@query
+def merge_partial_repeated(spark, sf_dir):
+    return merge.merge_partial(
+        _stored_days(spark, sf_dir),
+        _emitted_days(spark, sf_dir),
+        DAILY_SUMMARY.keys,
+        ["total_trips", "total_revenue", "avg_fare"],
+        "emission",
+    )
 
 
 @query

@@ -150,7 +150,7 @@ def test_job_for_one_day(spark, tmp_path, landed):
 def test_job_without_input_rows_writes_nothing(spark, tmp_path, landed):
     out = tmp_path / "daily"
     assert batch.run(spark, "daily_summary", [landed], str(out), "2020-01-01") == 0
-    assert not out.exists()
+    assert not list(out.rglob("*.parquet"))
 
 
 def test_job_days():

@@ -84,6 +84,18 @@ def route_analysis(trips: DataFrame, self_routes: bool = True) -> DataFrame:
     return m.finish(m.partials(trips, keys, ROUTE), keys, ROUTE)
 
 
+def route_parts(trips: DataFrame) -> DataFrame:
+    """Mergeable parts of the routes of each pickup date, to be stored and replaced by date."""
+    keys = [f"to_date({PICKUP}) AS date", "pickup_zone", "dropoff_zone"]
+    return m.partials(trips, keys, ROUTE)
+
+
+def routes_from_parts(parts: DataFrame) -> DataFrame:
+    """One row per route over all dates of the parts."""
+    keys = ["pickup_zone", "dropoff_zone"]
+    return m.finish(m.combine(parts, keys, ROUTE), keys, ROUTE)
+
+
 # Window bounds as zone-less timestamps; on streams the session zone is UTC.
 BOUNDS = (
     "CAST(window.start AS TIMESTAMP_NTZ) AS window_start",

@@ -6,8 +6,8 @@
         hourly_zone_stats --input PATH --output PATH --all-history
 
 Without a date the job takes yesterday. Each job aggregates and writes in one action; a run
-for a date replaces that date, so it can be repeated. Routes have no date and are replaced
-as a whole.
+for a date replaces that date, so it can be repeated. Routes have no date: what is stored are
+their mergeable parts for each date, which reading adds up.
 """
 
 from __future__ import annotations
@@ -20,17 +20,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators import summaries
-from wayfare.operators.filters import on_day
+from wayfare.operators.filters import on_day, split_invalid
 from wayfare.operators.ranking import top_active_zones
 from wayfare.session import build_session, use_utc
 from wayfare.sinks import jdbc
 from wayfare.sinks.parquet import write_by_date, write_partitioned, write_plain
 from wayfare.sinks.report import preview, write_counted
-from wayfare.sources.trips import enrich, has_rows, read_trips, read_trips_merged
+from wayfare.sources.trips import enrich, read_trips, read_trips_merged
 
 
-def _hourly_top(trips: DataFrame) -> DataFrame:
-    return top_active_zones(summaries.zone_window_stats(trips, "1 hour"), 10)
+TOP = 10
+
+
+def _hourly_top(trips: DataFrame, top: int = TOP) -> DataFrame:
+    return top_active_zones(summaries.zone_window_stats(trips, "1 hour"), top)
 
 
 SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -49,11 +52,24 @@ WINDOW_TABLES = {
 }
 
 
-def store(table: str, rows: DataFrame, path: str) -> None:
-    """Write a serving table in its layout, replacing the dates present in the rows."""
+def stored_rows(table: str, trips: DataFrame, top: int = TOP) -> DataFrame:
+    """The rows that a stored table holds for these trips."""
     if table == "route_analysis":
-        write_plain(rows, path, "overwrite")
-    elif table in WINDOW_TABLES:
+        return summaries.route_parts(trips)
+    if table == "top_active_zones":
+        return _hourly_top(trips, top)
+    return SUMMARIES[table](trips)
+
+
+def read_stored(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """A stored table as it is meant to be read."""
+    rows = spark.read.parquet(path)
+    return summaries.routes_from_parts(rows) if table == "route_analysis" else rows
+
+
+def store(table: str, rows: DataFrame, path: str) -> None:
+    """Write what ``stored_rows`` gives, replacing the dates present in the rows."""
+    if table in WINDOW_TABLES:
         day = F.to_date(WINDOW_TABLES[table])
         write_partitioned(rows, path, "window_date", day, "replace", (WINDOW_TABLES[table],))
     else:
@@ -78,15 +94,22 @@ def run(
     day: dt.date | str | None = None,
     target: jdbc.JdbcTarget | None = None,
     merge_schemas: bool = False,
+    rejects: str | None = None,
+    top: int = TOP,
 ) -> int:
-    """Compute one table, write it to Parquet or over JDBC, return the rows written."""
+    """Compute one table, write it to Parquet or over JDBC, return the rows written.
+
+    With ``rejects`` only valid trips count; the others are written there with the reason.
+    A run without trips writes nothing, and replaces nothing.
+    """
     trips = load(use_utc(spark), paths, day, merge_schemas)
-    if not has_rows(trips):
-        return 0
-    rows = SUMMARIES[table](trips)
+    if rejects:
+        trips, invalid = split_invalid(trips)
+        write_plain(invalid, rejects, "overwrite")
     if target:
+        rows = _hourly_top(trips, top) if table == "top_active_zones" else SUMMARIES[table](trips)
         return write_counted(rows, lambda df: jdbc.append(df, table, target))
-    return write_counted(rows, lambda df: store(table, df, output))
+    return write_counted(stored_rows(table, trips, top), lambda df: store(table, df, output))
 
 
 def parse_day(text: str | None, all_history: bool, today: dt.date) -> dt.date | None:
@@ -106,6 +129,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-property", nargs="*", default=[], help="name=value")
     parser.add_argument("--merge-schemas", action="store_true")
+    parser.add_argument("--filter-invalid", metavar="PATH", help="folder for trips that break a rule")
+    parser.add_argument("--top", type=int, default=TOP, help="zones of an hour in top_active_zones")
     args = parser.parse_args(argv)
     if bool(args.output) == bool(args.jdbc_url):
         parser.error("give either --output or --jdbc-url")
@@ -117,10 +142,20 @@ def main(argv: Sequence[str] | None = None) -> None:
     day = parse_day(args.day, args.all_history, dt.date.today())
     spark = build_session(f"wayfare {args.table}")
     try:
-        rows = run(spark, args.table, args.input, args.output, day, target, args.merge_schemas)
+        rows = run(
+            spark,
+            args.table,
+            args.input,
+            args.output,
+            day,
+            target,
+            args.merge_schemas,
+            args.filter_invalid,
+            args.top,
+        )
         print(f"{args.table}: {rows} rows written for {day or 'all history'}")
         if rows and args.output:
-            preview(spark.read.parquet(args.output))
+            preview(read_stored(spark, args.table, args.output))
     finally:
         spark.stop()
 

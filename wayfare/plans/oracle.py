@@ -208,6 +208,7 @@ FROM trips WHERE {JSON_OK}""",
     "zone_hour_from_minute_partials": _with(BUSY) + _windows("1 hour"),
     "global_window_1m": _with(TRIPS) + _global("1 minute"),
     "route_analysis": _with(TRIPS) + _routes(),
+    "route_analysis_by_days": _with(TRIPS) + _routes(),
     "route_analysis_no_self": _with(TRIPS) + _routes("pickup_zone IS DISTINCT FROM dropoff_zone"),
     "daypart_profile": f"""{_with(BUSY, f'stats AS ({_hourly()})')}
 SELECT zone_id,

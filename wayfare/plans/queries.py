@@ -68,7 +68,7 @@ def trips_enriched(spark, sf_dir):
 
 @query
 def trips_from_drifted_files(spark, sf_dir):
-    """Two folders whose column types differ from the wanted ones and from each other."""
+    """One folder of files whose column types differ from the wanted ones and from each other."""
     raw = sample.as_raw_trips(sample.read_events(spark, sf_dir)).drop("trip_id")
     base = new_workdir(spark, "drifted")
     early = until(raw, PICKUP, "2024-01-16").withColumns(
@@ -85,21 +85,22 @@ def trips_from_drifted_files(spark, sf_dir):
             "DOLocationID": F.col("DOLocationID").cast("int"),
         }
     )
-    write_plain(early, f"{base}/early")
-    write_plain(late, f"{base}/late")
-    return enrich(read_trips(spark, f"{base}/early", f"{base}/late")).select(
+    write_plain(early, base, "append")
+    write_plain(late, base, "append")
+    return enrich(read_trips(spark, base)).select(
         *[c for c in RAW_COLUMNS if c != "trip_id"], "duration_minutes"
     )
 
 
 @query
 def trips_from_merged_files(spark, sf_dir):
-    """Early files lack a column that later files have."""
+    """Early files lack a column that later files have, and store another as double."""
     raw = sample.as_raw_trips(sample.read_events(spark, sf_dir))
     base = new_workdir(spark, "merged")
-    write_plain(until(raw, PICKUP, "2024-01-16").drop("tip_amount"), f"{base}/early")
-    write_plain(since(raw, PICKUP, "2024-01-16"), f"{base}/late")
-    merged = read_trips_merged(spark, f"{base}/early", f"{base}/late")
+    early = until(raw, PICKUP, "2024-01-16").drop("tip_amount")
+    write_plain(early.withColumn("passenger_count", F.col("passenger_count").cast("double")), base, "append")
+    write_plain(since(raw, PICKUP, "2024-01-16"), base, "append")
+    merged = read_trips_merged(spark, base)
     return enrich(merged).select(*RAW_COLUMNS, "duration_minutes")
 
 
@@ -231,6 +232,16 @@ def route_analysis(spark, sf_dir):
     return summaries.route_analysis(_trips(spark, sf_dir))
 
 
+@query
+def route_analysis_by_days(spark, sf_dir):
+    """All days stored, then one of them again: the table still holds all of them."""
+    path = new_workdir(spark, "routes")
+    trips = _trips(spark, sf_dir)
+    for part in (trips, on_day(trips, DAY)):
+        batch.store("route_analysis", batch.stored_rows("route_analysis", part), path)
+    return batch.read_stored(spark, "route_analysis", path)
+
+
 @query
 def route_analysis_no_self(spark, sf_dir):
     return summaries.route_analysis(_trips(spark, sf_dir), self_routes=False)
@@ -333,7 +344,7 @@ def _stored(spark: SparkSession, sf_dir: str, *names: str) -> None:
     base = new_workdir(spark, "serving")
     trips = _busy_trips(spark, sf_dir)
     for name in names:
-        batch.store(name, batch.SUMMARIES[name](trips), f"{base}/{name}")
+        batch.store(name, batch.stored_rows(name, trips), f"{base}/{name}")
     serving.register_tables(spark, base, names)
 
 

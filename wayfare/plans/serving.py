@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from wayfare.operators.filters import last_hours
 from wayfare.operators.ranking import newest_first
+from wayfare.operators.summaries import routes_from_parts
 from wayfare.tables import TABLES
 
 RECENT_VIEW = "v_realtime_last_24h"
@@ -23,6 +24,10 @@ _STORED_DATE = T.StructField("window_date", T.DateType())
 def register_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES) -> None:
     """Temp views over ``<base>/<table>``, with the schema of the table."""
     for name in names:
+        if name == "route_analysis":  # stored in parts for each date
+            parts = spark.read.parquet(f"{base}/{name}")
+            routes_from_parts(parts).createOrReplaceTempView(name)
+            continue
         schema = TABLES[name].schema
         if "window_start" in schema.names or "update_time" in schema.names:
             schema = T.StructType([*schema.fields, _STORED_DATE])

@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from wayfare.operators.merge import one_per_key
-from wayfare.session import stream_settings
+from wayfare.operators.merge import merge_replace, one_per_key
+from wayfare.session import new_workdir, stream_settings
 
 EMISSION = "emission"
 WINDOW_DATE = "window_date"
@@ -92,26 +93,47 @@ def current_rows(emissions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest.drop(EMISSION)
 
 
+def _stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition()):
+            raise
+        return None
+
+
 def publish(
-    emissions: DataFrame, table_path: str, keys: Sequence[str], dates: Iterable[str] = ()
+    emissions: DataFrame, table_path: str, keys: Sequence[str], dates: Iterable[str] | None = None
 ) -> None:
-    """Store the current rows of some dates (all by default) in a table without history.
+    """Merge the current rows of some dates (all by default, none if empty) into a table.
 
-    Each date is computed from its emissions alone and replaces the stored date, so a
-    failed run is simply run again. Once a date is closed and published, its emission
-    folders may be removed.
+    Rows that the table holds already stay, unless the emissions have the same key: the
+    emissions of another path, or of folders removed since, are not lost. The dates concerned
+    are written beside the table first and replaced from there, so a run that fails is simply
+    run again. Once a date is closed and published, its emission folders may be removed.
     """
-    wanted = [F.lit(d).cast("date") for d in dates]
-    if wanted:
+    if dates is not None:
+        wanted = [F.lit(d).cast("date") for d in dates]
+        if not wanted:
+            return
         emissions = emissions.filter(F.col(WINDOW_DATE).isin(wanted))
-    (
-        current_rows(emissions, keys)
-        .hint("rebalance", WINDOW_DATE)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(WINDOW_DATE)
-        .parquet(table_path)
-    )
+    spark = emissions.sparkSession
+    rows = current_rows(emissions, keys)
+    stored = _stored_table(spark, table_path, rows.schema)
+    if stored is not None:
+        touched = emissions.select(F.col(WINDOW_DATE).alias("_date")).distinct()
+        same_date = stored.join(touched, F.col(WINDOW_DATE).eqNullSafe(F.col("_date")), "left_semi")
+        rows = merge_replace(same_date, rows, [WINDOW_DATE, *keys])
+    staged = new_workdir(spark, "publish")
+    for frame, path in ((rows, staged), (None, table_path)):
+        frame = spark.read.schema(rows.schema).parquet(staged) if frame is None else frame
+        (
+            frame.hint("rebalance", WINDOW_DATE)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(WINDOW_DATE)
+            .parquet(path)
+        )
 
 
 def published_and_open(

@@ -32,7 +32,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_workdir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

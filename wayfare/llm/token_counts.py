@@ -19,29 +19,31 @@ from pyspark.sql import types as T
 
 from wayfare.llm.text import stored, words_of
 
-FREQUENT = 100_000  # rows of the table every task gets
-MAX_FREQUENT_BYTES = 64  # longer runs are never in it: it stays below 10 MB
+FREQUENT = 200_000  # rows at most of the table every task gets
+MAX_FREQUENT_BYTES = 64  # longer runs are never in it: it stays below 15 MB
 HELD = 200_000  # distinct runs a task holds before it hands them on
 BATCH = 20_000
 ROWS = 1_000
 TAIL = b".,!"  # marks that are a pre-token of their own behind letters
 
 
-def split_tail(run: bytes) -> tuple[bytes, bytes]:
-    """A run of ASCII letters and a mark is counted as two: fewer distinct runs.
+def parts_of(run: bytes) -> tuple[bytes, bytes]:
+    """A run of ASCII letters, in lower case, and the mark behind it: fewer distinct runs.
 
-    Both parts are pre-tokens of their own: letters end where a mark begins, in any vocabulary
-    whose pattern keeps letters and marks apart. Letter case is left to the tokenizer.
+    Both are pre-tokens of their own, since letters end where a mark begins, and the tokenizer
+    ignores the case of letters. Other runs stay as they are.
     """
-    if len(run) > 1 and run[-1] in TAIL and run[:-1].isalpha():
-        return run[:-1], run[-1:]
+    if run.isalpha():
+        return run.lower(), b""
+    if run[-1] in TAIL and run[:-1].isalpha():
+        return run[:-1].lower(), run[-1:]
     return run, b""
 
 
 def runs_of(text: str | None) -> Counter:
     counts: Counter = Counter()
     for run, n in Counter(words_of(text)).items():
-        body, mark = split_tail(run)
+        body, mark = parts_of(run)
         counts[body] += n
         if mark:
             counts[mark] += n
@@ -119,8 +121,9 @@ def count_tokens(
 ) -> DataFrame:
     """``row`` with the given columns (all by default), ``n_bytes`` and ``n_tokens`` of its text.
 
-    ``path`` is a tokenizer file of the ``tokenizers`` library that every executor can open, whose
-    pre-tokens neither hold white space nor mix ASCII letters with other characters. Strings of
+    ``path`` is a tokenizer file of the ``tokenizers`` library that every executor can open, that
+    ignores the case of letters and whose pre-tokens neither hold white space nor mix ASCII letters
+    with other characters. Strings of
     special tokens count as the library takes them by default: as one token. Null and empty
     texts have none. Repeated rows stay repeated; an empty table gives an empty result; other
     columns pass through in ``row``.
@@ -148,7 +151,7 @@ def _per_document(docs: DataFrame, table, text: str, columns: list[str]) -> Data
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         F.col(text).alias("text"),
     )
-    pair = T.StructType().add("run", "binary").add("k", "long")
+    pair = T.StructType().add("run", T.BinaryType()).add("k", T.IntegerType())
     schema = numbered.select("at", "row", "n_bytes").schema
     schema = schema.add("known", "long").add("others", T.ArrayType(pair))
     names = ["at", "row", "n_bytes", "known", "others"]
@@ -174,7 +177,7 @@ def _per_document(docs: DataFrame, table, text: str, columns: list[str]) -> Data
                     known.append(tokens)
                     ends.append(len(runs))
                 pairs = pa.StructArray.from_arrays(
-                    [pa.array(runs, pa.binary()), pa.array(times, pa.int64())], ["run", "k"]
+                    [pa.array(runs, pa.binary()), pa.array(times, pa.int32())], ["run", "k"]
                 )
                 others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
                 columns = [*batch.columns[:3], pa.array(known, pa.int64()), others]

@@ -61,6 +61,18 @@ def test_merged_schemas_keep_every_column(spark, tmp_path):
     assert rows == {1: None, 2: 1.75}
 
 
+def test_one_folder_of_files_with_several_types(spark, tmp_path):
+    path = str(tmp_path / "mixed")
+    for k, kind in enumerate(["bigint", "double", "bigint", "string", "double", "int"]):
+        frame = raw_trips(spark, {"zone": k}).withColumn("passenger_count", F.lit(k).cast(kind))
+        frame.withColumn("extra", F.lit(k).cast(kind)).write.mode("append").parquet(path)
+    rows = read_trips(spark, path).collect()
+    assert sorted((r.PULocationID, r.passenger_count) for r in rows) == [(k, k) for k in range(6)]
+    merged = read_trips_merged(spark, path)
+    assert dict(merged.dtypes)["extra"] == "string" and dict(merged.dtypes)["passenger_count"] == "bigint"
+    assert sorted(float(r.extra) for r in merged.collect()) == [float(k) for k in range(6)]
+
+
 def test_enrich_renames_only_what_is_there(spark):
     df = raw_trips(spark, {"zone": 12})
     assert enrich(df).first().pickup_zone == "12"

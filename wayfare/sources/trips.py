@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,22 +51,84 @@ def _conform(
     return scan.withColumns(casts).select(*names)
 
 
+def _same_types(spark: SparkSession, base: str, files: list[str]) -> list[tuple[list[str], DataFrame]]:
+    """Files in groups whose column types agree, with a frame of all columns of the group.
+
+    Spark compares the footers in a job of its own. Where they conflict the files, in the
+    order of their names, are halved: types change from one delivery to the next, so a
+    folder with few changes takes few jobs.
+    """
+    reader = spark.read.option("mergeSchema", "true").option("basePath", base)
+    try:
+        return [(files, reader.parquet(*files))]
+    except (PySparkException, Py4JJavaError) as error:
+        if len(files) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    half = len(files) // 2
+    groups: dict[str, list[str]] = {}
+    for part in (files[:half], files[half:]):
+        for own, found in _same_types(spark, base, part):
+            types = {f.name: f.dataType for f in found.schema.fields}
+            groups.setdefault(repr(sorted(types.items(), key=lambda t: t[0])), []).extend(own)
+    return [(own, reader.parquet(*own)) for own in groups.values()]
+
+
+def _groups(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
+    files = sorted(spark.read.parquet(path).inputFiles())
+    if len(files) < 2:
+        return [([path], spark.read.parquet(path))]
+    groups = _same_types(spark, path, files)
+    return [([path], groups[0][1])] if len(groups) == 1 else groups
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _reader(spark: SparkSession, path: str, files: list[str]) -> DataFrameReader:
+    return spark.read if files == [path] else spark.read.option("basePath", path)
+
+
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     """The ten trip columns of one or more Parquet folders.
 
-    Each path is adapted on its own: a column stored with another type is cast, values that
-    do not convert become null, a missing column is null. Only these columns are scanned.
+    Files are adapted by their own types, also within a folder: a column stored with another
+    type is cast, values that do not convert become null, a missing column is null. Only
+    these columns are scanned.
     """
-    frames = [_conform(spark.read.parquet(p), spark.read, TRIP_SCHEMA, [p]) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return _union(
+        [
+            _conform(found, _reader(spark, path, files), TRIP_SCHEMA, files)
+            for path in paths
+            for files, found in _groups(spark, path)
+        ]
+    )
 
 
 def read_trips_merged(spark: SparkSession, *paths: str) -> DataFrame:
-    """All columns found in any file, with the trip columns in their wanted types."""
-    found = spark.read.option("mergeSchema", "true").parquet(*paths)
-    known = {f.name: f for f in TRIP_SCHEMA.fields}
-    wanted = T.StructType([known.get(f.name, f) for f in found.schema.fields])
-    return _conform(found, spark.read, wanted, paths)
+    """All columns found in any file, with the trip columns in their wanted types.
+
+    A further column that is stored with several types is read as text.
+    """
+    groups = [(path, *group) for path in paths for group in _groups(spark, path)]
+    wanted = {f.name: f for f in TRIP_SCHEMA.fields}
+    fields: dict[str, T.StructField] = {}
+    for _, _, found in groups:
+        for f in found.schema.fields:
+            known = fields.setdefault(f.name, wanted.get(f.name, f))
+            if f.name not in wanted and known.dataType != f.dataType:
+                fields[f.name] = T.StructField(f.name, T.StringType())
+    return _union(
+        [
+            _conform(
+                found,
+                _reader(spark, path, files),
+                T.StructType([fields[c] for c in found.columns]),
+                files,
+            )
+            for path, files, found in groups
+        ]
+    )
 
 
 def enrich(trips: DataFrame) -> DataFrame:

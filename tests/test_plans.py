@@ -12,7 +12,7 @@ WRITERS = {"partitioned_roundtrip", "monthly_windows_roundtrip", "view_last_24h"
            "trips_from_drifted_files", "trips_from_merged_files", "route_analysis_by_days"}
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream") and n not in WRITERS)
 # A merge has two inputs, an inventory several tables, and a replay looks up its start first.
-SINGLE_SCAN = [n for n in BATCH if not n.startswith(("merge_", "table_", "replay_"))]
+SINGLE_SCAN = [n for n in BATCH if not n.startswith(("merge_", "table_", "replay_", "message_fates"))]
 
 
 @pytest.fixture(scope="module")

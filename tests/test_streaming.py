@@ -112,7 +112,7 @@ def test_append_emits_closed_windows_once(spark, sf_dir, files, tmp_path):
 
 
 def test_top_zones_of_closed_hours(spark, sf_dir, files, tmp_path):
-    rows = stream_zone_windows(with_event_time(stream(spark, files)), "1 hour")
+    rows = stream_zone_windows(with_event_time(stream(spark, files), delay="10 seconds"), "1 hour")
     drain(spark, rows, tmp_path, output_mode="append", transform=lambda b: top_active_zones(b, 3), time="update_time")
     expected = top_active_zones(zone_window_stats(read_sample_trips(spark, sf_dir, coarse_zones=True), "1 hour"), 3)
     schema = expected.schema

@@ -22,19 +22,32 @@ from wayfare.sources.messages import (
     usable,
 )
 from wayfare.streaming.upsert import start_emissions
-from wayfare.streaming.windows import stream_zone_windows, with_event_time, with_processing_time
+from wayfare.streaming.windows import DELAYS, stream_zone_windows, with_event_time, with_processing_time
 
 
 def zone_windows(
     messages: DataFrame,
     width: str = "1 minute",
     event_column: str | None = None,
-    delay: str | None = "10 seconds",
+    delay: str | None = None,
 ) -> DataFrame:
-    """Zone windows of a message stream, by processing time unless an event column is named."""
-    trips = usable(parse_messages(messages))
-    timed = with_event_time(trips, event_column, delay) if event_column else with_processing_time(trips)
-    return stream_zone_windows(timed, width)
+    """Zone windows of a message stream, by processing time unless an event column is named.
+
+    Without a delay that of the column counts.
+    """
+    trips = usable(parse_messages(messages, event_column=event_column))
+    if not event_column:
+        return stream_zone_windows(with_processing_time(trips), width)
+    return stream_zone_windows(with_event_time(trips, event_column, delay or DELAYS[event_column]), width)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the progress of a query reports as dropped, being later than the delay."""
+    return sum(
+        operator.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
 
 
 def start_windows(
@@ -43,7 +56,7 @@ def start_windows(
     checkpoint: str,
     width: str = "1 minute",
     event_column: str | None = None,
-    delay: str | None = "10 seconds",
+    delay: str | None = None,
     interval: str | None = "5 seconds",
     parallelism: int | None = None,
 ) -> StreamingQuery:
@@ -55,11 +68,15 @@ def start_windows(
 
 
 def start_rejects(
-    messages: DataFrame, output: str, checkpoint: str, interval: str | None = "5 seconds"
+    messages: DataFrame,
+    output: str,
+    checkpoint: str,
+    interval: str | None = "5 seconds",
+    event_column: str | None = None,
 ) -> StreamingQuery:
     """Append unusable messages and their reasons to Parquet."""
     writer = (
-        rejected(parse_messages(messages))
+        rejected(parse_messages(messages, event_column=event_column))
         .writeStream.format("parquet")
         .option("path", output)
         .option("checkpointLocation", checkpoint)
@@ -77,8 +94,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--group", default="wayfare-zone-windows")
     parser.add_argument("--starting-offsets", default="latest")
     parser.add_argument("--width", default="1 minute")
-    parser.add_argument("--event-column", help="event time; default is processing time")
-    parser.add_argument("--delay", default="10 seconds")
+    parser.add_argument(
+        "--event-column", choices=sorted(DELAYS), help="event time; default is processing time"
+    )
+    parser.add_argument("--delay", help="default: 1 hour by pickup, 10 seconds by producer time")
+    parser.add_argument("--allow-data-loss", action="store_true", help="skip expired messages")
+    parser.add_argument("--per-trigger", type=int, help="files or messages a trigger takes at most")
     parser.add_argument("--interval", default="5 seconds")
     parser.add_argument("--once", action="store_true", help="stop when all input is read")
     parser.add_argument("--parallelism", type=int, help="state partitions of a new checkpoint")
@@ -92,8 +113,15 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     def messages(group: str) -> DataFrame:
         if args.files:
-            return read_message_files(spark, args.files)
-        options = kafka_options(args.brokers, args.topic, group, args.starting_offsets)
+            return read_message_files(spark, args.files, args.per_trigger)
+        options = kafka_options(
+            args.brokers,
+            args.topic,
+            group,
+            args.starting_offsets,
+            not args.allow_data_loss,
+            args.per_trigger,
+        )
         return read_kafka(spark, options)
 
     interval = None if args.once else args.interval
@@ -113,11 +141,13 @@ def main(argv: Sequence[str] | None = None) -> None:
             f"{args.output}/rejects",
             f"{args.checkpoint}/rejects",
             interval,
+            args.event_column,
         ),
     ]
     if args.once:
         for query in queries:
             query.awaitTermination()
+        print(f"late rows dropped: {sum(map(late_rows, queries))}")
     else:
         spark.streams.awaitAnyTermination()
 

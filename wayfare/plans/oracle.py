@@ -198,6 +198,12 @@ FROM trips WHERE {JSON_OK}""",
   'malformed_json' AS reject_reason FROM trips WHERE NOT ({JSON_OK})""",
     "payment_class_counts": f"""{_with(BUSY)} SELECT {JSON_CREDIT} AS is_credit,
   {JSON_CASH} AS is_cash, COUNT(*) AS trip_count FROM trips WHERE {JSON_OK} GROUP BY 1, 2""",
+    "message_fates": _with(BUSY)
+    + f"""SELECT CASE WHEN NOT ({JSON_OK}) THEN 'malformed_json'
+    WHEN trip_id % 103 = 0 THEN 'bad_event_time'
+    WHEN trip_id % 107 = 0 THEN 'missing_event_time'
+    WHEN pickup_zone IS NULL THEN 'no_zone' ELSE 'in_window' END AS fate, COUNT(*) AS messages
+FROM trips GROUP BY 1 UNION ALL SELECT 'all', COUNT(*) FROM trips""",
     "daily_summary": _with(TRIPS) + _daily(),
     "daily_summary_for_date": _with(TRIPS) + _daily(DAY),
     "hourly_zone_stats": _with(TRIPS) + _hourly(),
@@ -375,13 +381,13 @@ FROM chosen""",
     "stream_zone_window": _with(BUSY) + _windows(),
     "stream_zone_window_append": _with(BUSY, f"windows AS ({_windows()})")
     + """SELECT * FROM windows WHERE window_end <=
-  (SELECT date_trunc('milliseconds', MAX(pickup)) - INTERVAL 10 SECONDS FROM trips)""",
+  (SELECT date_trunc('milliseconds', MAX(pickup)) - INTERVAL 1 HOUR FROM trips)""",
     "stream_global_window": _with(BUSY) + _global("5 minutes"),
     "stream_top_zones": _with(BUSY, f"windows AS ({_windows('1 hour')})")
     + _ranked(
         "windows",
         """update_time + INTERVAL 1 HOUR <=
-  (SELECT date_trunc('milliseconds', MAX(pickup)) - INTERVAL 10 SECONDS FROM trips)""",
+  (SELECT date_trunc('milliseconds', MAX(pickup)) - INTERVAL 1 HOUR FROM trips)""",
     ),
     "stream_processing_time": _with(BUSY)
     + f"""SELECT pickup_zone AS zone_id, COUNT(*) AS trip_count FROM trips

@@ -178,6 +178,22 @@ def payment_class_counts(spark, sf_dir):
     return trips.groupBy("is_credit", "is_cash").agg(F.count(F.lit(1)).alias("trip_count"))
 
 
+@query
+def message_fates(spark, sf_dir):
+    """Where every message ends: in a window, rejected for a reason, or without a zone."""
+    texts = sample.as_messages(sample.read_events(spark, sf_dir), bad_times=True)
+    parsed = msg.parse_messages(texts, event_column=PICKUP)
+    counted = summaries.zone_window_stats(msg.usable(parsed), "1 hour")
+    rejects = msg.rejected(parsed).groupBy("reject_reason").agg(F.count("*").alias("messages"))
+    zone_less = msg.usable(parsed).where("pickup_zone IS NULL OR pickup_zone = ''")
+    return (
+        counted.agg(F.sum("trip_count").alias("messages")).select(F.lit("in_window").alias("fate"), "messages")
+        .union(rejects)
+        .union(zone_less.agg(F.count("*")).select(F.lit("no_zone"), "count(1)"))
+        .union(texts.agg(F.count("*")).select(F.lit("all"), "count(1)"))
+    )
+
+
 # --- summaries -----------------------------------------------------------------------
 
 

@@ -50,11 +50,15 @@ def _number(name: str, type_name: str) -> str:
     return number if type_name == "double" else f"try_cast({number} AS {type_name})"
 
 
-def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+def parse_messages(
+    messages: DataFrame, value: str = "value", event_column: str | None = None
+) -> DataFrame:
     """Add typed trip columns and ``reject_reason`` (null for a usable message).
 
-    Unknown fields are ignored; other input columns are kept. The JSON text is parsed once:
-    behind a generator Spark does not copy the parsing into every filter above it.
+    A message without a readable ``event_column`` (bad or absent time) is not usable where that
+    column is named, since no window can hold it. Unknown fields are ignored; other input
+    columns are kept. The JSON text is parsed once: behind a generator Spark does not copy
+    the parsing into every filter above it.
     """
     options = ", ".join(f"'{k}', '{v}'" for k, v in _OPTIONS.items())
     parsed = f"from_json({value}, '{_SCHEMA}', map({options}))"
@@ -64,6 +68,17 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     )
     pickup = "coalesce(_m.tpep_pickup_datetime, _m.pickup_datetime)"
     dropoff = "coalesce(_m.tpep_dropoff_datetime, _m.dropoff_datetime)"
+    times = {
+        "tpep_pickup_datetime": pickup,
+        "tpep_dropoff_datetime": dropoff,
+        "producer_timestamp": "_m.producer_timestamp",
+    }
+    bad_time = ""
+    if event_column:
+        text = times[event_column]
+        bad_time = f"""
+            WHEN {text} IS NULL OR trim({text}) = '' THEN 'missing_event_time'
+            WHEN {iso_timestamp(text)} IS NULL THEN 'bad_event_time'"""
     return messages.selectExpr("*", f"inline(array(named_struct('_m', {parsed})))").selectExpr(
         *messages.columns,
         f"{iso_timestamp(pickup)} AS tpep_pickup_datetime",
@@ -76,7 +91,7 @@ def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
         f"{iso_timestamp('_m.producer_timestamp')} AS producer_timestamp",
         f"""CASE WHEN {value} IS NULL OR trim({value}) = '' THEN 'empty_message'
             WHEN _m._malformed IS NOT NULL THEN 'malformed_json'
-            WHEN {bad_number} THEN 'bad_number' END AS reject_reason""",
+            WHEN {bad_number} THEN 'bad_number'{bad_time} END AS reject_reason""",
     )
 
 
@@ -105,14 +120,23 @@ def with_publish_fields(trips: DataFrame) -> DataFrame:
 
 
 def kafka_options(
-    brokers: str, topic: str, group: str, starting_offsets: str = "latest"
+    brokers: str,
+    topic: str,
+    group: str,
+    starting_offsets: str = "latest",
+    fail_on_data_loss: bool = True,
+    offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
+    """Options of the reader. Messages that expired before they were read fail the stream
+    unless ``fail_on_data_loss`` is off."""
+    limit = {"maxOffsetsPerTrigger": str(offsets_per_trigger)} if offsets_per_trigger else {}
     return {
+        **limit,
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "kafka.group.id": group,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
 
 

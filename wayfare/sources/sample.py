@@ -63,12 +63,19 @@ def with_coordinates(events: DataFrame) -> DataFrame:
     )
 
 
-def as_messages(events: DataFrame) -> DataFrame:
-    """Events as trip messages: one JSON text per row, payment types mixed, some cut off."""
+def as_messages(events: DataFrame, bad_times: bool = False) -> DataFrame:
+    """Events as trip messages: one JSON text per row, payment types mixed, some cut off.
+
+    With ``bad_times`` some pickup times are no times, and some are absent.
+    """
     iso = r"yyyy-MM-dd\'T\'HH:mm:ss.SSSSSS"
+    pickup = f"date_format(tpep_pickup_datetime, '{iso}')"
+    if bad_times:
+        pickup = f"""CASE WHEN trip_id % 103 = 0 THEN 'yesterday'
+            WHEN trip_id % 107 <> 0 THEN {pickup} END"""
     fields = f"""to_json(named_struct(
         'trip_id', trip_id,
-        'pickup_datetime', date_format(tpep_pickup_datetime, '{iso}'),
+        'pickup_datetime', {pickup},
         'tpep_dropoff_datetime', date_format(tpep_dropoff_datetime, '{iso}'),
         'passenger_count', passenger_count,
         'trip_distance', trip_distance,

@@ -9,7 +9,11 @@ from wayfare.operators.filters import PICKUP
 from wayfare.operators.summaries import global_window_stats, zone_window_stats
 
 
-def with_event_time(trips: DataFrame, time: str = PICKUP, delay: str | None = "10 seconds") -> DataFrame:
+# How late a row may come by each clock: pickups are sent up to an hour after the fact.
+DELAYS = {PICKUP: "1 hour", "producer_timestamp": "10 seconds"}
+
+
+def with_event_time(trips: DataFrame, time: str = PICKUP, delay: str | None = DELAYS[PICKUP]) -> DataFrame:
     """Use a column as event time; rows later than ``delay`` may be dropped.
 
     Watermarks need zoned timestamps; the session zone must be UTC. Without a delay nothing

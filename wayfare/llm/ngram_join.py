@@ -30,8 +30,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.llm.components import connected
 from wayfare.llm.text import stored
@@ -41,6 +42,7 @@ BITS = 1024
 WORDS64 = BITS // 64
 TILE = 512  # documents of a tile
 LEAF = 16  # documents of a smallest node
+ROWS = 512
 SEGMENT = 1 << 20  # bytes hashed at once
 TOGETHER = 1 << 18  # bytes of short texts hashed together
 SEEN = 500_000  # copies that one task leaves out
@@ -193,15 +195,28 @@ class Parts:
 
 
 def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
-    """(key, n, f) for every row: size of its set, and the value that stands for the set."""
-    schema = docs.select(F.col(key).alias("id")).schema.add("n", "long").add("f", "long")
+    """(id, n, f, surplus, bits) for every row: size of its set, the value that stands for the set,
+    its bitmap, and how many shingles it has beyond the bits set."""
+    schema = docs.select(F.col(key).alias("id")).schema
+    schema = schema.add("n", T.LongType()).add("f", T.LongType()).add("surplus", T.LongType())
+    schema = schema.add("bits", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column(1).to_pylist(), width)
-            made = [(len(s), fingerprint(s)) for s in sets]
-            columns = [pa.array([m[k] for m in made], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "f"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                sets = list(shingle_sets(batch.column(1).to_pylist(), width))
+                n = np.array([len(s) for s in sets], np.int64)
+                bits = np.stack([bitmap(s) for s in sets])
+                surplus = n - np.bitwise_count(bits.view(np.uint64)).sum(1, dtype=np.int64)
+                ends = np.arange(0, bits.size + 1, WORDS64, dtype=np.int32)
+                columns = [
+                    pa.array(n),
+                    pa.array([fingerprint(s) for s in sets], pa.int64()),
+                    pa.array(surplus),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.ravel())),
+                ]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names)
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
@@ -256,6 +271,35 @@ def _own_texts(held: DataFrame, width: int) -> DataFrame:
     return held.mapInArrow(run, "f long, text string")
 
 
+def _common_bits(x: str, y: str) -> Column:
+    both = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(q)).cast("long"))
+    return F.aggregate(both, F.lit(0).cast("long"), lambda s, k: s + k)
+
+
+def _plausible(pairs: DataFrame, signatures: DataFrame, parts: tuple[int, int]) -> DataFrame:
+    """The pairs (f, g) that sizes and bitmaps leave possible."""
+    num, den = parts
+    names = ["n", "surplus", "bits"]
+    left = signatures.select("f", *[F.col(c).alias(f"f_{c}") for c in names])
+    right = signatures.select(F.col("f").alias("g"), *[F.col(c).alias(f"g_{c}") for c in names])
+    both = stored(pairs.join(left.hint("merge"), "f"), "pair-bits").join(right.hint("merge"), "g")
+    most = _common_bits("f_bits", "g_bits") + F.least("f_surplus", "g_surplus")
+    return both.where(
+        (den * F.col("f_n") >= num * F.col("g_n"))
+        & (den * F.col("g_n") >= num * F.col("f_n"))
+        & ((num + den) * most >= num * (F.col("f_n") + F.col("g_n")))
+    ).select("f", "g")
+
+
+def _texts_of(pairs: DataFrame, named: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """(f, text) for every set in the pairs, from one of the rows that have it."""
+    wanted = pairs.select("f").union(pairs.select("g")).distinct()
+    holders = known.where("id is not null").groupBy("f").agg(F.min("id").alias("id"))
+    holders = stored(holders.join(wanted, "f"), "holders")
+    held = named.join(holders.hint("merge"), "id").select("f", "text")
+    return stored(_own_texts(held, width).dropDuplicates(["f"]), "texts")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, parts: tuple[int, int]) -> DataFrame:
     """The pairs (f, g) whose sets are similar enough, compared shingle by shingle."""
     num, den = parts
@@ -362,19 +406,6 @@ def may_link(a: Side, b: Side, parts: tuple[int, int]) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
-def _signatures(texts: DataFrame, width: int) -> DataFrame:
-    """(f, bits) of the given sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [bitmap(s).tolist() for s in shingle_sets(batch.column(1).to_pylist(), width)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["f", "bits"]
-            )
-
-    return texts.select("f", "text").mapInArrow(run, "f long, bits array<long>")
-
-
 def _whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.Table]:
     """Sorted rows again, in tables that no group runs across."""
     held: pa.Table | None = None
@@ -394,7 +425,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterat
 
 
 def _opened(
-    members: DataFrame, hung: DataFrame, texts: DataFrame, width: int, parts: tuple[int, int]
+    members: DataFrame, hung: DataFrame, signatures: DataFrame, parts: tuple[int, int]
 ) -> DataFrame:
     """Pairs (f, g) from the top nodes whose documents do not hang together yet."""
     num, den = parts
@@ -413,20 +444,17 @@ def _opened(
     # The component of the head usually holds nearly all; only the others need partners.
     rows = rows.withColumn("main", F.col("comp") == F.col("head_comp"))
     tile = F.pmod(F.xxhash64("f"), F.ceil(F.col("rows") / TILE).cast("long"))
-    rows = rows.join(_signatures(texts, width), "f").select(
-        "part", "f", "n", "comp", "main", "bits", tile.alias("tile")
+    rows = rows.join(signatures.drop("n").hint("merge"), "f").select(
+        "part", "f", "n", "comp", "main", "surplus", "bits", tile.alias("tile")
     )
     rows = stored(rows, "tiles")
-    surplus = F.col("n") - F.aggregate(
-        "bits", F.lit(0).cast("long"), lambda s, w: s + F.bit_count(w).cast("long")
-    )
     words = [F.bit_or(F.get("bits", F.lit(k))).alias(f"w{k}") for k in range(WORDS64)]
     nodes = (
         rows.groupBy("part", "main", "tile")
         .agg(
             F.min("n").alias("low"),
             F.max("n").alias("high"),
-            F.max(surplus).alias("surplus"),
+            F.max("surplus").alias("surplus"),
             *words,
         )
         .select(
@@ -436,11 +464,7 @@ def _opened(
     )
     nodes = stored(nodes, "tile-nodes")
     x, y = nodes.alias("x"), nodes.alias("y")
-    common = F.aggregate(
-        F.zip_with("x.bits", "y.bits", lambda p, q: F.bit_count(p.bitwiseAND(q)).cast("long")),
-        F.lit(0).cast("long"),
-        lambda s, k: s + k,
-    )
+    common = _common_bits("x.bits", "y.bits")
     pairs = x.where(~F.col("x.main")).join(
         y,
         (F.col("x.part") == F.col("y.part"))
@@ -525,7 +549,7 @@ def jaccard_components(
     if not 0 < num <= den:
         raise ValueError("similarity is a fraction num / den above 0 and at most 1")
     named = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null")
-    known = stored(fingerprints(docs, text, key, width), "fingerprints")
+    known = stored(fingerprints(docs, text, key, width), "fingerprints")  # the texts are read here
 
     keys = part_keys(named, "text", width, similarity)
     common = stored(
@@ -551,23 +575,20 @@ def jaccard_components(
     )
     members = stored(met.join(heads, "part"), "members")
 
-    # Texts of the sets that meet others, one for each set.
-    wanted = members.groupBy("f").agg(F.max("n").alias("n"))
-    holder = (
-        known.where("id is not null")
-        .groupBy("f")
-        .agg(F.min("id").alias("id"))
-        .join(wanted, "f")
-        .select("f", "id")
+    signatures = stored(
+        known.where("n > 0").select("f", "n", "surplus", "bits").dropDuplicates(["f"]), "signatures"
     )
-    held = named.join(stored(holder, "holders").hint("merge"), "id").select("f", "text")
-    texts = stored(_own_texts(held, width).dropDuplicates(["f"]), "texts")
     to_head = (
         members.where("f != head")
         .select(F.least("f", "head").alias("f"), F.greatest("f", "head").alias("g"))
         .distinct()
     )
-    first = stored(_verified(to_head, texts, width, similarity), "links-to-heads")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        texts = _texts_of(pairs, named, known, width)
+        return stored(_verified(pairs, texts, width, similarity), "set-links")
+
+    first = linked(stored(_plausible(to_head, signatures, similarity), "pairs-with-heads"))
     hung = stored(connected(first), "hung-together")
     heads_hung = hung.toDF("head", "head_comp")
     tagged = (
@@ -575,7 +596,7 @@ def jaccard_components(
         .withColumn("head_comp", F.coalesce("head_comp", "head"))
         .select("part", "f", "n", "head_comp")
     )
-    second = _verified(_opened(tagged, hung, texts, width, similarity), texts, width, similarity)
+    second = linked(stored(_opened(tagged, hung, signatures, similarity), "pairs-in-nodes"))
     # Sets that hang together hang on their smallest; the new links join these.
     links = hung.where("node != component").toDF("f", "g").union(second)
     groups = stored(connected(links), "set-components").toDF("f", "whole")

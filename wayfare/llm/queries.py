@@ -22,10 +22,13 @@ from wayfare.llm import (
     token_counts,
     toxicity,
 )
+from wayfare.llm.oracle import LLM_ORACLE_SQL
 from wayfare.llm.text import read_table
 
 TOKEN_LIMIT = 2048
 
+__all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -134,5 +137,3 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
-
-LLM_ORACLE_SQL: dict[str, str] = {}

@@ -12,7 +12,7 @@ from wayfare.operators.summaries import daily_summary, zone_window_stats
 from wayfare.plans import batch, serving
 from wayfare.session import build_session, new_workdir, shared_dir
 from wayfare.sinks import jdbc
-from wayfare.sinks.parquet import write_by_date, write_by_month, write_partitioned, write_plain
+from wayfare.sinks.parquet import drop_old_months, write_by_date, write_by_month, write_partitioned, write_plain
 from wayfare.sinks.report import preview, write_counted
 
 DAYS = [{"pickup": at(f"2024-01-0{d}T10:00:00")} for d in (5, 5, 6, 7)]
@@ -122,6 +122,9 @@ def test_jdbc_upsert_stages_then_merges():
     again = RecordingWriter()
     jdbc.upsert_writer("daily_summary", target, ["date"], ["total_trips"], run.append)(again, 7)
     assert again.calls == df.calls and run[0] == run[1]
+    own = RecordingWriter()
+    jdbc.upsert_writer("t", target, ["date"], ["total_trips"], run.append, "t_staging_live")(own, 1)
+    assert own.calls[1][1] == "t_staging_live" and "FROM t_staging_live" in run[2]
     assert jdbc.upsert_statement("t", "s", ["k"], ["k"], []).endswith("ON CONFLICT (k) DO NOTHING")
 
 
@@ -153,6 +156,34 @@ def test_job_without_input_rows_writes_nothing(spark, tmp_path, landed):
     assert not list(out.rglob("*.parquet"))
 
 
+def test_routes_of_one_day_leave_the_other_days(spark, tmp_path, landed):
+    out = str(tmp_path / "routes")
+    batch.run(spark, "route_analysis", [landed], out)
+    before = sorted(batch.read_stored(spark, "route_analysis", out).collect())
+    batch.run(spark, "route_analysis", [landed], out, "2024-01-05")
+    assert sorted(batch.read_stored(spark, "route_analysis", out).collect()) == before
+
+
+def test_invalid_trips_are_set_apart_and_ranks_chosen(spark, tmp_path, landed):
+    out, rejects = str(tmp_path / "hours"), str(tmp_path / "rejects")
+    assert batch.run(spark, "daily_summary", [landed], str(tmp_path / "d"), rejects=rejects) >= 0
+    assert "reject_reason" in spark.read.parquet(rejects).columns
+    batch.run(spark, "top_active_zones", [landed], out, top=1)
+    assert spark.read.parquet(out).agg({"zone_rank": "max"}).first()[0] == 1
+
+
+def test_old_months_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "months")
+    spark.sql(
+        "SELECT explode(sequence(DATE'2023-11-05', DATE'2024-02-05', INTERVAL 1 MONTH)) AS d"
+    ).selectExpr("CAST(d AS TIMESTAMP_NTZ) AS window_start", "1 AS n").transform(
+        lambda df: write_by_month(df, path) or df
+    )
+    assert drop_old_months(spark, path, "2024-01") == 2
+    assert spark.read.parquet(path).count() == 2
+    assert drop_old_months(spark, path, "2024-01") == 0
+
+
 def test_job_days():
     today = dt.date(2024, 3, 1)
     assert batch.parse_day(None, False, today) == dt.date(2024, 2, 29)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from wayfare.operators.ranking import top_active_zones
 from wayfare.operators.summaries import global_window_stats, zone_window_stats
 from wayfare.plans import live
+from wayfare.plans.live import late_rows
 from wayfare.session import STREAM_CONF
+from wayfare.sinks import jdbc
 from wayfare.sources.messages import parse_messages, rejected, usable
 from wayfare.sources.replay import replay_stream
 from wayfare.sources.sample import EVENTS_SCHEMA, as_messages, as_raw_trips, read_events, read_sample_trips
@@ -24,6 +26,7 @@ from wayfare.streaming.upsert import (
     publish,
     published_and_open,
     read_emissions,
+    remove_emissions,
     start_emissions,
 )
 from wayfare.streaming.windows import (
@@ -89,6 +92,39 @@ def test_updates_merge_to_the_batch_result(spark, sf_dir, files, tmp_path):
     assert plan_of(view).count("PartitionFilters: [isnotnull(window_date") == 2
 
 
+def test_publish_keeps_what_other_emissions_stored(spark, tmp_path):
+    table = f"{tmp_path}/table"
+    for name, zone in (("first", "A"), ("second", "B")):
+        trip_file(spark, tmp_path / name, (0, zone, 1.0), (1, "C", 2.0))
+        query, _ = run_live(spark, tmp_path / name, tmp_path / f"{name}-run")
+        schema = stream_zone_windows(with_event_time(replay_stream(spark, str(tmp_path / name), TRIP))).schema
+        emitted = read_emissions(spark, f"{tmp_path}/{name}-run/rows", schema)
+        publish(emitted, table, KEYS, [])
+        publish(emitted, table, KEYS)
+        assert late_rows(query) == 0
+    rows = {r.zone_id: r.trip_count for r in spark.read.parquet(table).collect()}
+    assert rows == {"A": 1, "B": 1, "C": 1}
+    assert remove_emissions(spark, f"{tmp_path}/first-run/rows", ["2024-01-05", "1999-01-01"]) == 1
+
+
+def test_live_upserts_stage_every_batch(spark, files, tmp_path, monkeypatch):
+    """No database here: the statements and the rows that would be staged are recorded."""
+    statements, staged = [], []
+
+    def record(df, table, target, keys, replace, execute, staging):
+        staged.append((table, staging, df.count()))
+        execute(jdbc.upsert_statement(table, staging, df.columns, keys, replace))
+
+    monkeypatch.setattr(jdbc, "upsert", record)
+    rows = stream_zone_windows(with_event_time(stream(spark, files)), "1 day")
+    target = jdbc.JdbcTarget("jdbc:x", batch_size=100)
+    query = live.start_upserts(rows, target, f"{tmp_path}/c", statements.append, "one", None)
+    query.awaitTermination()
+    assert len(staged) >= 5 and {s[:2] for s in staged} == {("real_time_zones", "real_time_zones_staging_one")}
+    assert all("ON CONFLICT (zone_id, window_start) DO UPDATE SET" in s for s in statements)
+    assert all("window_end = EXCLUDED" not in s for s in statements)
+
+
 def test_state_lives_in_rocksdb(spark, files, tmp_path):
     rows = stream_global_windows(with_event_time(stream(spark, files)), "1 day")
     keys = ("spark.sql.shuffle.partitions", *STREAM_CONF)

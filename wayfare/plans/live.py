@@ -7,12 +7,13 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from wayfare.session import build_session, use_utc
+from wayfare.session import build_session, stream_settings, use_utc
+from wayfare.sinks.jdbc import JdbcTarget, run_statement, upsert_writer
 from wayfare.sources.messages import (
     kafka_options,
     parse_messages,
@@ -23,6 +24,7 @@ from wayfare.sources.messages import (
 )
 from wayfare.streaming.upsert import start_emissions
 from wayfare.streaming.windows import DELAYS, stream_zone_windows, with_event_time, with_processing_time
+from wayfare.tables import REAL_TIME_ZONES
 
 
 def zone_windows(
@@ -67,6 +69,30 @@ def start_windows(
     )
 
 
+def start_upserts(
+    windows: DataFrame,
+    target: JdbcTarget,
+    checkpoint: str,
+    execute: Callable[[str], None],
+    stream: str = "live",
+    interval: str | None = "5 seconds",
+    parallelism: int | None = None,
+) -> StreamingQuery:
+    """Start upserting zone windows into ``real_time_zones``; the stored window end is kept.
+
+    Each stream stages in a table of its own, so two of them do not meet.
+    """
+    table = REAL_TIME_ZONES
+    replace = [c for c in table.schema.names if c not in (*table.keys, "window_end")]
+    writer = upsert_writer(
+        table.name, target, table.keys, replace, execute, f"{table.name}_staging_{stream}"
+    )
+    query = windows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    with stream_settings(windows.sparkSession, parallelism):
+        return query.foreachBatch(writer).trigger(**trigger).start()
+
+
 def start_rejects(
     messages: DataFrame,
     output: str,
@@ -103,6 +129,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--interval", default="5 seconds")
     parser.add_argument("--once", action="store_true", help="stop when all input is read")
     parser.add_argument("--parallelism", type=int, help="state partitions of a new checkpoint")
+    parser.add_argument("--jdbc-url", help="upsert windows there instead of below --output")
+    parser.add_argument("--jdbc-property", nargs="*", default=[], help="name=value")
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", required=True)
     args = parser.parse_args(argv)
@@ -125,8 +153,21 @@ def main(argv: Sequence[str] | None = None) -> None:
         return read_kafka(spark, options)
 
     interval = None if args.once else args.interval
-    queries = [
-        start_windows(
+    if args.jdbc_url:
+        properties = dict(p.split("=", 1) for p in args.jdbc_property)
+        # A flush of the sink takes 100 rows, or what came in an interval.
+        target = JdbcTarget(args.jdbc_url, properties, batch_size=100)
+        windows = start_upserts(
+            zone_windows(messages(args.group), args.width, args.event_column, args.delay),
+            target,
+            f"{args.checkpoint}/windows",
+            run_statement(spark, target),
+            args.group.replace("-", "_"),
+            interval,
+            args.parallelism,
+        )
+    else:
+        windows = start_windows(
             messages(args.group),
             f"{args.output}/windows",
             f"{args.checkpoint}/windows",
@@ -135,7 +176,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.delay,
             interval,
             args.parallelism,
-        ),
+        )
+    queries = [
+        windows,
         start_rejects(
             messages(f"{args.group}-rejects"),
             f"{args.output}/rejects",

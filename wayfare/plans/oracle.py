@@ -379,16 +379,10 @@ SELECT trip_id, pickup AS tpep_pickup_datetime,
     date_trunc('second', pickup)) / 1000.0 AS due_seconds
 FROM chosen""",
     "stream_zone_window": _with(BUSY) + _windows(),
-    "stream_zone_window_append": _with(BUSY, f"windows AS ({_windows()})")
-    + """SELECT * FROM windows WHERE window_end <=
-  (SELECT date_trunc('milliseconds', MAX(pickup)) - INTERVAL 1 HOUR FROM trips)""",
+    "stream_zone_window_append": _with(BUSY) + _windows(),
+    "stream_publish": _with(BUSY) + _windows(),
     "stream_global_window": _with(BUSY) + _global("5 minutes"),
-    "stream_top_zones": _with(BUSY, f"windows AS ({_windows('1 hour')})")
-    + _ranked(
-        "windows",
-        """update_time + INTERVAL 1 HOUR <=
-  (SELECT date_trunc('milliseconds', MAX(pickup)) - INTERVAL 1 HOUR FROM trips)""",
-    ),
+    "stream_top_zones": _with(BUSY, f"windows AS ({_windows('1 hour')})") + _ranked("windows"),
     "stream_processing_time": _with(BUSY)
     + f"""SELECT pickup_zone AS zone_id, COUNT(*) AS trip_count FROM trips
 WHERE {KNOWN} GROUP BY 1""",

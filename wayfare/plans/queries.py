@@ -18,7 +18,7 @@ from wayfare.sources import messages as msg
 from wayfare.sources import replay, sample
 from wayfare.sources.trips import enrich, read_trips, read_trips_merged
 from wayfare.streaming import windows as sw
-from wayfare.streaming.upsert import current_rows, read_emissions, start_emissions
+from wayfare.streaming.upsert import current_rows, publish, read_emissions, start_emissions
 from wayfare.tables import DAILY_SUMMARY, DECIMAL_TYPES, HOURLY_ZONE_STATS, REAL_TIME_ZONES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -527,8 +527,14 @@ def replay_schedule(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------
 
 
+def _streamed_events(spark, sf_dir):
+    """The events in five files, one per trigger."""
+    path = sample.split_events(spark, sf_dir, new_workdir(spark, "event-files"))
+    return sample.stream_events(spark, path)
+
+
 def _streamed_trips(spark, sf_dir, coarse_zones=True):
-    return enrich(sample.as_raw_trips(sample.stream_events(spark, sf_dir), coarse_zones))
+    return enrich(sample.as_raw_trips(_streamed_events(spark, sf_dir), coarse_zones))
 
 
 def _drain(spark, rows, purpose, output_mode="update", transform=None, time="window_start"):
@@ -557,7 +563,8 @@ def stream_zone_window(spark, sf_dir):
 @query
 def stream_zone_window_append(spark, sf_dir):
     rows = sw.stream_zone_windows(sw.with_event_time(_streamed_trips(spark, sf_dir)))
-    return _drain(spark, rows, "zone-window-append", "append").drop("window_date", "emission")
+    closed = _drain(spark, rows, "zone-window-append", "append").drop("window_date", "emission")
+    return sw.with_open_windows(closed, _busy_trips(spark, sf_dir), summaries.zone_window_stats)
 
 
 @query
@@ -576,7 +583,28 @@ def stream_top_zones(spark, sf_dir):
         return ranking.top_active_zones(batch, 5)
 
     emitted = _drain(spark, rows, "top-zones", "append", rank, "update_time")
-    return emitted.drop("window_date", "emission")
+    closed = emitted.drop("window_date", "emission").withColumn(
+        "window_end", F.expr("update_time + INTERVAL 1 HOUR")
+    )
+
+    def rank_open(trips: DataFrame) -> DataFrame:
+        ranked = rank(summaries.zone_window_stats(trips, "1 hour"))
+        return ranked.withColumn("window_end", F.expr("update_time + INTERVAL 1 HOUR"))
+
+    return sw.with_open_windows(closed, _busy_trips(spark, sf_dir), rank_open).drop("window_end")
+
+
+@query
+def stream_publish(spark, sf_dir):
+    """Two streams with a path each, published into one table that keeps the rows of both."""
+    table = new_workdir(spark, "published")
+    keys = ["zone_id", "window_start"]
+    for low, high in ((0, 10), (10, 20)):
+        trips = _streamed_trips(spark, sf_dir).where(f"CAST(pickup_zone AS INT) BETWEEN {low} AND {high - 1}")
+        emitted = _drain(spark, sw.stream_zone_windows(sw.with_event_time(trips)), f"publish-{low}")
+        publish(emitted, table, keys, [])
+        publish(emitted, table, keys)
+    return spark.read.parquet(table).drop("window_date")
 
 
 @query
@@ -591,7 +619,7 @@ def stream_processing_time(spark, sf_dir):
 @query
 def stream_messages(spark, sf_dir):
     """Message texts to five-minute zone windows: parse, drop rejects, aggregate, upsert."""
-    texts = sample.as_messages(sample.stream_events(spark, sf_dir)).select("value")
+    texts = sample.as_messages(_streamed_events(spark, sf_dir)).select("value")
     rows = live.zone_windows(texts, "5 minutes", PICKUP, "1 hour")
     emitted = _drain(spark, rows, "messages")
     return current_rows(emitted, ["zone_id", "window_start"]).drop("window_date")
@@ -599,7 +627,7 @@ def stream_messages(spark, sf_dir):
 
 @query
 def stream_rejects(spark, sf_dir):
-    texts = sample.as_messages(sample.stream_events(spark, sf_dir)).select("value")
+    texts = sample.as_messages(_streamed_events(spark, sf_dir)).select("value")
     base = new_workdir(spark, "rejects")
     live.start_rejects(texts, f"{base}/rows", f"{base}/checkpoint", None).awaitTermination()
     return spark.read.schema("value string, reject_reason string").parquet(f"{base}/rows")

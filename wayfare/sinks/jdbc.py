@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -57,14 +57,16 @@ def upsert(
     keys: Sequence[str],
     replace: Sequence[str],
     execute: Callable[[str], None],
+    staging: str | None = None,
 ) -> None:
-    """Stage the rows in ``<table>_staging``, then merge them in one statement.
+    """Stage the rows in ``<table>_staging``, or a table named for the stream, then merge them
+    in one statement.
 
     The staging table is emptied first, so a batch that is written again ends in the same
     state. ``execute`` runs the statement with the caller's database client; rows never
     pass through the driver.
     """
-    staging = f"{table}_staging"
+    staging = staging or f"{table}_staging"
     properties = {**target.write_properties(), "truncate": "true"}
     _few_writers(df, target).write.jdbc(
         target.url, staging, mode="overwrite", properties=properties
@@ -78,10 +80,27 @@ def upsert_writer(
     keys: Sequence[str],
     replace: Sequence[str],
     execute: Callable[[str], None],
+    staging: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that upserts what a micro-batch emitted."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, table, target, keys, replace, execute)
+        upsert(batch, table, target, keys, replace, execute, staging)
 
     return save
+
+
+def run_statement(spark: SparkSession, target: JdbcTarget) -> Callable[[str], None]:
+    """Runs a statement with the JDBC driver that the writers use, in a connection of its own."""
+
+    def execute(statement: str) -> None:
+        properties = spark._jvm.java.util.Properties()
+        for name, value in target.properties.items():
+            properties.setProperty(name, value)
+        connection = spark._jvm.java.sql.DriverManager.getConnection(target.url, properties)
+        try:
+            connection.createStatement().execute(statement)
+        finally:
+            connection.close()
+
+    return execute

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.times import month_key
@@ -68,3 +70,26 @@ def write_by_month(windows: DataFrame, path: str, mode: str = "append", **option
 
 def write_plain(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
+
+
+def remove_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[str]) -> int:
+    """Remove whole folders ``partition=value`` of a table; returns how many there were.
+
+    Works on any file system that Spark reads. Readers of the table should list it anew.
+    """
+    removed = 0
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        removed += bool(files.exists(folder) and files.delete(folder, True))
+    return removed
+
+
+def drop_old_months(spark: SparkSession, path: str, keep_from: str) -> int:
+    """Retention of a table written by :func:`write_by_month`: months before ``yyyy-MM`` go.
+
+    The months are read from the folders; no file is opened.
+    """
+    months = spark.read.parquet(path).select(F.col("month").cast("string").alias("m")).distinct()
+    old = [row["m"] for row in months.where(F.col("m") < keep_from).orderBy("m").collect()]
+    return remove_partitions(spark, path, "month", old)

@@ -5,7 +5,10 @@ Every column is a plain expression, so the same mapping serves tables and stream
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayfare.sources.trips import enrich
 from wayfare.tables import struct
@@ -24,10 +27,31 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
-    """The same files as a stream; the pattern lets the table be one file or a folder."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA).options(**options)
-    return reader.parquet(f"{sf_dir}/event[s].parquet")
+def stream_events(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Files of events as a stream, one at a time."""
+    options = {"maxFilesPerTrigger": "1", **options}
+    return spark.readStream.schema(EVENTS_SCHEMA).options(**options).parquet(path)
+
+
+def split_events(spark: SparkSession, sf_dir: str, path: str, files: int = 5) -> str:
+    """The events in files by time, written one after the other, as if they came in turn.
+
+    Some events of the last half hour of a file come with the next one, so their windows are
+    emitted again.
+    """
+    events = read_events(spark, sf_dir)
+    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    width = (bounds["b"] - bounds["a"]) / files
+    borders = [bounds["a"] + width * k for k in range(1, files)]
+    late = F.expr("event_id % 2 = 1")
+    number = F.lit(0)
+    for border in borders:
+        behind = F.col("ts") >= F.lit(border).cast("timestamp_ntz")
+        near = F.col("ts") >= F.lit(border - dt.timedelta(minutes=30)).cast("timestamp_ntz")
+        number = number + (behind | (near & late)).cast("int")
+    for k in range(files):
+        events.where(number == k).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
 def as_raw_trips(events: DataFrame, coarse_zones: bool = False) -> DataFrame:

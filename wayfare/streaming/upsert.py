@@ -20,6 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wayfare.operators.merge import merge_replace, one_per_key
 from wayfare.session import new_workdir, stream_settings
+from wayfare.sinks.parquet import remove_partitions
 
 EMISSION = "emission"
 WINDOW_DATE = "window_date"
@@ -30,12 +31,13 @@ def emission_writer(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     time: str = "window_start",
     writers_per_date: int = 2,
+    rows_per_file: int = 5_000_000,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores what a batch emitted, in a single action.
 
     Adaptive execution is off inside a stateful stream, so the rows of a date are spread
-    over a fixed number of writers; without that every state partition would write a file
-    for every date.
+    over ``writers_per_date`` tasks; without that every state partition would write a file
+    for every date. A backfill takes more writers; files hold ``rows_per_file`` at most.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -46,6 +48,7 @@ def emission_writer(
             .repartition(F.col(WINDOW_DATE), writer)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", rows_per_file)
             .partitionBy(WINDOW_DATE, EMISSION)
             .parquet(path)
         )
@@ -136,6 +139,11 @@ def publish(
         )
 
 
+def remove_emissions(spark: SparkSession, path: str, dates: Iterable[str]) -> int:
+    """Remove the emissions of closed dates once they are published; listings stay short."""
+    return remove_partitions(spark, path, WINDOW_DATE, dates)
+
+
 def published_and_open(
     table: DataFrame, emissions: DataFrame, keys: Sequence[str], open_from: str
 ) -> DataFrame:

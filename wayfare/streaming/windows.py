@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,23 @@ def with_processing_time(trips: DataFrame, delay: str = "1 minute") -> DataFrame
     return timed.withWatermark("event_time", delay)
 
 
+def with_open_windows(
+    closed: DataFrame,
+    trips: DataFrame,
+    summarise: Callable[[DataFrame], DataFrame],
+    time: str = PICKUP,
+    end: str = "window_end",
+) -> DataFrame:
+    """The closed windows that a bounded run in append mode has stored, and those still open.
+
+    Append mode gives a window once its end lies behind the watermark, so the last ones never
+    come. They begin where the closed ones end, and are taken from the trips since then.
+    """
+    border = closed.select(F.max(end)).scalar()
+    rest = trips.where(F.coalesce(F.col(time) >= border, border.isNull()))
+    return closed.unionByName(summarise(rest))
+
+
 def stream_zone_windows(trips: DataFrame, width: str = "1 minute", nulls: str = "zero") -> DataFrame:
     return zone_window_stats(trips, width, "event_time", nulls)
 

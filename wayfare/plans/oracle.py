@@ -348,6 +348,28 @@ FROM daily""",
     AS avg_duration_minutes,
   {_cents(_half_up('passengers', 'n_passengers'), 'DECIMAL(4, 2)')} AS avg_passengers
 FROM sums""",
+    "decimal_layouts": _with(
+        BUSY,
+        f"daily AS ({_daily()})",
+        f"hourly AS ({_hourly()})",
+        f"routes AS ({_routes()})",
+        f"zones AS ({_windows()})",
+        f"everywhere AS ({_global('1 minute')})",
+        f"hours AS ({_windows('1 hour')})",
+        f"active AS ({_ranked('hours', k=10)})",
+    )
+    + " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, COUNT(*) AS record_count,
+  CAST(SUM(CAST(total_revenue AS DECIMAL(12, 2))) AS DECIMAL(18, 2)) AS total_revenue FROM {rows}"""
+        for name, rows in (
+            ("real_time_zones", "zones"),
+            ("real_time_global", "everywhere"),
+            ("top_active_zones", "active"),
+            ("daily_summary", "daily"),
+            ("hourly_zone_stats", "hourly"),
+            ("route_analysis", "routes"),
+        )
+    ),
     "partitioned_roundtrip": f"""{_with(TRIPS)}
 SELECT {RAW}, CAST(pickup AS DATE) AS pickup_date FROM trips""",
     "monthly_windows_roundtrip": f"""{_with(BUSY, f'windows AS ({_windows()})')}

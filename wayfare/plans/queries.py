@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -328,14 +329,19 @@ def busiest_windows(spark, sf_dir):
 
 @query
 def table_inventory(spark, sf_dir):
+    """Over stored tables, which are small beside the trips."""
+    base = new_workdir(spark, "inventory")
     trips = _trips(spark, sf_dir)
+    times = {
+        "real_time_zones": "window_start",
+        "daily_summary": "date",
+        "hourly_zone_stats": "date",
+        "route_analysis": None,
+    }
+    for name in times:
+        batch.store(name, batch.stored_rows(name, trips), f"{base}/{name}")
     return inventory.table_inventory(
-        {
-            "real_time_zones": (summaries.zone_window_stats(trips), "window_start"),
-            "daily_summary": (summaries.daily_summary(trips), "date"),
-            "hourly_zone_stats": (summaries.hourly_zone_stats(trips), "date"),
-            "route_analysis": (summaries.route_analysis(trips), None),
-        }
+        {name: (batch.read_stored(spark, name, f"{base}/{name}"), time) for name, time in times.items()}
     )
 
 
@@ -504,6 +510,23 @@ def money_decimal_variant(spark, sf_dir):
     return as_decimals(days.select("date", "total_trips", *types), types)
 
 
+@query
+def decimal_layouts(spark, sf_dir):
+    """All six tables in their fixed-point layouts: rows and revenue to the cent."""
+    trips = _busy_trips(spark, sf_dir)
+    rows = []
+    for name, types in DECIMAL_TYPES.items():
+        table = as_decimals(batch.SUMMARIES[name](trips), types)
+        rows.append(
+            table.agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("record_count"),
+                F.sum("total_revenue").cast("decimal(18,2)").alias("total_revenue"),
+            )
+        )
+    return reduce(DataFrame.union, rows)
+
+
 @query
 def partitioned_roundtrip(spark, sf_dir):
     path = new_workdir(spark, "by-date")

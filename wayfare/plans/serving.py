@@ -35,16 +35,20 @@ def register_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLE
 
 
 def register_recent_view(spark: SparkSession, as_of: dt.datetime | str | None = None) -> None:
-    """The windows of the 24 hours before ``as_of``, by default the time of registration.
+    """The windows of the 24 hours before ``as_of``, by default of each query's own time.
 
     Newest and busiest first, so that a LIMIT takes the latest rows; Spark drops the sort
     under an aggregate. A condition on the stored date goes along, so only the folders of
     the last days are read.
     """
-    if as_of is None:
-        as_of = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-    moment = dt.datetime.fromisoformat(str(as_of))
-    first_date = (moment - dt.timedelta(hours=24)).date()
-    stored = spark.table("real_time_zones").filter(f"window_date >= DATE '{first_date}'")
-    recent = last_hours(stored, moment, 24).drop("window_date")
-    newest_first(recent).createOrReplaceTempView(RECENT_VIEW)
+    stored = spark.table("real_time_zones")
+    if as_of is None:  # Spark puts the time in when a query on the view starts
+        recent = stored.filter(
+            "window_date >= date_sub(current_date(), 1)"
+            " AND window_start >= localtimestamp() - INTERVAL 24 HOURS"
+        )
+    else:
+        moment = dt.datetime.fromisoformat(str(as_of))
+        first_date = (moment - dt.timedelta(hours=24)).date()
+        recent = last_hours(stored.filter(f"window_date >= DATE '{first_date}'"), moment, 24)
+    newest_first(recent.drop("window_date")).createOrReplaceTempView(RECENT_VIEW)

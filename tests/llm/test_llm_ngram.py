@@ -126,6 +126,21 @@ def test_bounds_never_lose_a_pair():
     assert len(found) < len(sets) ** 2 / 8
 
 
+def test_wide_maps_bound_the_overlap():
+    rng = random.Random(8)
+    for size in (1, 40, 700, 3000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size + 2)]
+        x = ngram_join.shingle_set(" ".join(base), 3)
+        for n in (0, 1, size // 20, size // 2, 4 * size):
+            y = ngram_join.shingle_set(" ".join(changed(rng, base, n)), 3)
+            maps = [ngram_join.wide_bitmap(s).view(np.uint64) for s in (x, y)]
+            most = ngram_join.most_common(maps[0], len(x), maps[1], len(y))
+            assert most >= len(np.intersect1d(x, y))
+        other = ngram_join.shingle_set(" ".join(f"v{k}" for k in range(size + 2)), 3)
+        most = ngram_join.most_common(maps[0], len(x), ngram_join.wide_bitmap(other).view(np.uint64), len(other))
+        assert size < 700 or most < 0.85 * size
+
+
 def test_texts_hashed_together_or_alone():
     texts = [t for _, t in made_texts()]
     for width in (1, 3, 5):

@@ -195,11 +195,11 @@ class Parts:
 
 
 def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
-    """(id, n, f, surplus, bits) for every row: size of its set, the value that stands for the set,
-    its bitmap, and how many shingles it has beyond the bits set."""
+    """(id, n, f, surplus, bits, wide) for every row: size of its set, the value that stands for the
+    set, its bitmap, how many shingles it has beyond the bits set, and a map that grows with the set."""
     schema = docs.select(F.col(key).alias("id")).schema
     schema = schema.add("n", T.LongType()).add("f", T.LongType()).add("surplus", T.LongType())
-    schema = schema.add("bits", T.ArrayType(T.LongType()))
+    schema = schema.add("bits", T.ArrayType(T.LongType())).add("wide", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -216,6 +216,9 @@ def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
                     pa.array(surplus),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.ravel())),
                 ]
+                wide = [wide_bitmap(s) for s in sets]
+                ends = np.concatenate(([0], np.cumsum([len(w) for w in wide]))).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide))))
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names)
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
@@ -252,23 +255,27 @@ def _key_rows(keys: list, prints: list, sizes: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "f", "n"])
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Bit of each shingle's hash; as signed 64-bit words."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(mix64(shingles) % np.uint64(BITS)).astype(np.int64)] = 1
+def bitmap(shingles: np.ndarray, size: int = BITS) -> np.ndarray:
+    """Bit of each shingle's hash; as signed 64-bit words. Sizes are powers of two: a map folds
+    onto a smaller one, its halves laid over each other."""
+    bits = np.zeros(size, np.uint8)
+    bits[(mix64(shingles) & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits).view(np.int64)
 
 
-def _own_texts(held: DataFrame, width: int) -> DataFrame:
-    """The rows (f, text) whose text has that set: a key may come with several texts."""
+def wide_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A map with a bit or two for each shingle, so that large sets differ in it as well."""
+    return bitmap(shingles, max(BITS, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else BITS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column(1).to_pylist(), width)
-            own = [fingerprint(s) == f for f, s in zip(batch.column(0).to_pylist(), sets)]
-            yield batch.filter(pa.array(own, pa.bool_()))
 
-    return held.mapInArrow(run, "f long, text string")
+def most_common(x: np.ndarray, n: int, y: np.ndarray, m: int) -> int:
+    """How many shingles two sets, of sizes n and m, have in common at most, by their maps."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    surplus = min(n - int(np.bitwise_count(x).sum()), m - int(np.bitwise_count(y).sum()))
+    return int(np.bitwise_count(x & y).sum()) + surplus
 
 
 def _common_bits(x: str, y: str) -> Column:
@@ -277,18 +284,41 @@ def _common_bits(x: str, y: str) -> Column:
 
 
 def _plausible(pairs: DataFrame, signatures: DataFrame, parts: tuple[int, int]) -> DataFrame:
-    """The pairs (f, g) that sizes and bitmaps leave possible."""
+    """The pairs (f, g) that sizes and wide bitmaps leave possible."""
     num, den = parts
-    names = ["n", "surplus", "bits"]
-    left = signatures.select("f", *[F.col(c).alias(f"f_{c}") for c in names])
-    right = signatures.select(F.col("f").alias("g"), *[F.col(c).alias(f"g_{c}") for c in names])
-    both = stored(pairs.join(left.hint("merge"), "f"), "pair-bits").join(right.hint("merge"), "g")
-    most = _common_bits("f_bits", "g_bits") + F.least("f_surplus", "g_surplus")
-    return both.where(
-        (den * F.col("f_n") >= num * F.col("g_n"))
-        & (den * F.col("g_n") >= num * F.col("f_n"))
-        & ((num + den) * most >= num * (F.col("f_n") + F.col("g_n")))
-    ).select("f", "g")
+    left = signatures.select("f", F.col("n").alias("f_n"), F.col("wide").alias("x"))
+    right = signatures.select(F.col("f").alias("g"), F.col("n").alias("g_n"), F.col("wide").alias("y"))
+    sizes = (den * F.col("f_n") >= num * F.col("g_n")) & (den * F.col("g_n") >= num * F.col("f_n"))
+    first = stored(pairs.join(left.hint("merge"), "f"), "pair-bits")
+    both = first.join(right.hint("merge"), "g").where(sizes).select("f", "g", "f_n", "g_n", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            maps, at = [], []
+            for k in (4, 5):
+                lists = batch.column(k)
+                maps.append(lists.values.to_numpy().view(np.uint64))
+                at.append(lists.offsets.to_pylist())
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = (maps[k][at[k][i] : at[k][i + 1]] for k in (0, 1))
+                keep.append((num + den) * most_common(x, n[i], y, m[i]) >= num * (n[i] + m[i]))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["f", "g"])
+
+    return both.mapInArrow(run, "f long, g long")
+
+
+def _own_texts(held: DataFrame, width: int) -> DataFrame:
+    """The rows (f, text) whose text has that set: a key may come with several texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(1).to_pylist(), width)
+            own = [fingerprint(s) == f for f, s in zip(batch.column(0).to_pylist(), sets)]
+            yield batch.filter(pa.array(own, pa.bool_()))
+
+    return held.mapInArrow(run, "f long, text string")
 
 
 def _texts_of(pairs: DataFrame, named: DataFrame, known: DataFrame, width: int) -> DataFrame:
@@ -444,7 +474,7 @@ def _opened(
     # The component of the head usually holds nearly all; only the others need partners.
     rows = rows.withColumn("main", F.col("comp") == F.col("head_comp"))
     tile = F.pmod(F.xxhash64("f"), F.ceil(F.col("rows") / TILE).cast("long"))
-    rows = rows.join(signatures.drop("n").hint("merge"), "f").select(
+    rows = rows.join(signatures.select("f", "surplus", "bits").hint("merge"), "f").select(
         "part", "f", "n", "comp", "main", "surplus", "bits", tile.alias("tile")
     )
     rows = stored(rows, "tiles")
@@ -576,7 +606,8 @@ def jaccard_components(
     members = stored(met.join(heads, "part"), "members")
 
     signatures = stored(
-        known.where("n > 0").select("f", "n", "surplus", "bits").dropDuplicates(["f"]), "signatures"
+        known.where("n > 0").select("f", "n", "surplus", "bits", "wide").dropDuplicates(["f"]),
+        "signatures",
     )
     to_head = (
         members.where("f != head")
@@ -584,11 +615,12 @@ def jaccard_components(
         .distinct()
     )
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def linked(found: DataFrame, purpose: str) -> DataFrame:
+        pairs = stored(_plausible(stored(found, purpose), signatures, similarity), "possible-pairs")
         texts = _texts_of(pairs, named, known, width)
         return stored(_verified(pairs, texts, width, similarity), "set-links")
 
-    first = linked(stored(_plausible(to_head, signatures, similarity), "pairs-with-heads"))
+    first = linked(to_head, "pairs-with-heads")
     hung = stored(connected(first), "hung-together")
     heads_hung = hung.toDF("head", "head_comp")
     tagged = (
@@ -596,7 +628,7 @@ def jaccard_components(
         .withColumn("head_comp", F.coalesce("head_comp", "head"))
         .select("part", "f", "n", "head_comp")
     )
-    second = linked(stored(_opened(tagged, hung, signatures, similarity), "pairs-in-nodes"))
+    second = linked(_opened(tagged, hung, signatures, similarity), "pairs-in-nodes")
     # Sets that hang together hang on their smallest; the new links join these.
     links = hung.where("node != component").toDF("f", "g").union(second)
     groups = stored(connected(links), "set-components").toDF("f", "whole")

@@ -18,7 +18,7 @@ from wayfare.llm.text import WORD, stored
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 HASH_BITS = 60
-LEVEL_BITS = 15  # a histogram has at most 2^15 buckets for each source
+LEVEL_BITS = 12  # a histogram has at most 2^12 buckets for each source
 
 
 def n_words(text: str | Column) -> Column:

@@ -26,7 +26,7 @@ from wayfare.llm.components import connected
 from wayfare.llm.text import stored
 
 BLOCK = 8  # dimensions of a block
-TILE = 1024  # vectors on each side of a tile
+TILE = 2048  # vectors on each side of a tile
 CELL = 4096  # vectors a cell should hold; a label with more is cut along more dimensions
 WIDTH = 4.0  # width of a cell, in radii of the ball that is sought
 SLACK = 1e-6  # added to squared distances, far above rounding

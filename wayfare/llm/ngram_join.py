@@ -43,6 +43,7 @@ WORDS64 = BITS // 64
 TILE = 512  # documents of a tile
 LEAF = 16  # documents of a smallest node
 ROWS = 512
+FILTER_BITS = 1 << 23  # of the map that thins out texts: 131,072 rows of 64 bits
 SEGMENT = 1 << 20  # bytes hashed at once
 TOGETHER = 1 << 18  # bytes of short texts hashed together
 SEEN = 500_000  # copies that one task leaves out
@@ -321,12 +322,34 @@ def _own_texts(held: DataFrame, width: int) -> DataFrame:
     return held.mapInArrow(run, "f long, text string")
 
 
+def _hit(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Adds ``hit``: whether the id of a row may be one of ``ids``. True for all of these, and for
+    others as far as their hashes meet.
+
+    The map has a fixed size and goes to every task. It keeps most texts out of the shuffle that
+    follows as long as few ids are wanted, and does no harm beyond.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
+    words = (
+        ids.select(place.alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(bit).alias("map"))
+    )
+    marked = rows.withColumn("place", place).join(
+        F.broadcast(stored(words, "filter")), F.shiftright("place", 6) == F.col("word"), "left"
+    )
+    hit = F.coalesce(F.col("map").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.withColumn("hit", hit).drop("place", "word", "map")
+
+
 def _texts_of(pairs: DataFrame, named: DataFrame, known: DataFrame, width: int) -> DataFrame:
     """(f, text) for every set in the pairs, from one of the rows that have it."""
     wanted = pairs.select("f").union(pairs.select("g")).distinct()
     holders = known.where("id is not null").groupBy("f").agg(F.min("id").alias("id"))
     holders = stored(holders.join(wanted, "f"), "holders")
-    held = named.join(holders.hint("merge"), "id").select("f", "text")
+    near = _hit(named, holders).where("hit").drop("hit")
+    held = near.join(holders.hint("merge"), "id").select("f", "text")
     return stored(_own_texts(held, width).dropDuplicates(["f"]), "texts")
 
 
@@ -657,15 +680,24 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **opti
     group and stay. All columns come back as they were.
     """
     groups = jaccard_components(docs, text, key, **options).toDF("id", "n", "component_id")
-    heads = stored(groups.where("id = component_id").select("id").distinct(), "heads-of-groups")
+    # Keys whose rows do not simply stay: those that give way, and those that come more than once.
+    special = stored(
+        groups.where("id is not null")
+        .groupBy("id")
+        .agg(F.count("*").alias("rows"), F.max(F.col("id") == F.col("component_id")).alias("head"))
+        .where("rows > 1 or not head")
+        .select("id", "head"),
+        "special-keys",
+    )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("id")
     )
+    marked = _hit(rows, special)
     first = Window.partitionBy("id").orderBy(F.col(f"row.`{text}`"))
-    kept = (
-        rows.join(heads.hint("merge"), "id")
+    checked = (
+        marked.where("hit")
+        .join(special.hint("merge"), "id", "left")
         .withColumn("place", F.row_number().over(first))
-        .where("place = 1")
-        .select("row.*")
+        .where("head is null or (head and place = 1)")
     )
-    return kept.union(rows.where("id is null").select("row.*"))
+    return marked.where("not hit").select("row.*").union(checked.select("row.*"))

@@ -64,8 +64,12 @@ def _term_counts(examples: DataFrame) -> DataFrame:
         bad: Counter = Counter()
 
         def hand_on() -> pa.RecordBatch:
-            columns = [pa.array(list(n)), pa.array(n.values()), pa.array([bad[t] for t in n])]
-            return pa.RecordBatch.from_arrays([c.cast(k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))], ["term", "n", "bad"])
+            columns = [
+                pa.array(list(n), pa.string()),
+                pa.array(n.values(), pa.int64()),
+                pa.array([bad[t] for t in n], pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["term", "n", "bad"])
 
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -27,14 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_STATES = 250_000  # states are dropped beyond this number and made anew
+MAX_STATES = 220_000  # states are dropped beyond this number and made anew
+MAX_EDGES = 16_000  # tokens taken apart, kept likewise
+MAX_SIDE = 200_000  # pairs of neighbours, likewise
 MAX_KNOWN = 500_000  # units kept: the first, and so the common ones; others are read again
 MAX_KNOWN_CHARS = 64  # longer ones are not kept
 MARKS = ".,;:!?"
 ODD = b"?"  # stands for the tokens of a unit that cannot be told alone
 SAME_LETTERS = "\u0500"  # below, str.isalpha and the pattern agree on what a letter is
 NEVER = 1 << 62  # above every rank
-BYTES = 8 << 20  # bytes of the texts handled at once
+BYTES = 4 << 20  # bytes of the texts handled at once
 TOKENS = 1 << 19  # tokens decoded at once
 
 
@@ -58,7 +60,8 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int], stop: int = 1) -> list[
 class Transducer:
     """Encodes one pre-token at a time; feed it bytes, it writes tokens."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], most_states: int | None = None):
+        self.most_states = most_states or MAX_STATES
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
@@ -99,6 +102,8 @@ class Transducer:
         token itself. None for a token that merging its bytes does not give.
         """
         if token not in self._edges:
+            if len(self._edges) > MAX_EDGES:
+                self._edges.clear()
             found: tuple[list, list] | None = ([(token, NEVER)], [(token, NEVER)])
             if len(token) > 1:
                 parts = merge_by_rank(token, self.ranks, stop=2)
@@ -110,6 +115,7 @@ class Transducer:
                 else:
                     found = None
             self._edges[token] = found
+            return found
         return self._edges[token]
 
     def side_by_side(self, left: int | None, right: int) -> bool:
@@ -121,6 +127,8 @@ class Transducer:
         """
         key = right if left is None else left + 1 << 32 | right
         if key not in self._side:
+            if len(self._side) > MAX_SIDE:
+                self._side.clear()
             after = self.edges(self.tokens[right])
             before = self.edges(self.tokens[left]) if left is not None else ((), ())
             ok = after is not None and before is not None
@@ -193,7 +201,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # a pre-token that is a token stands for itself
             return [whole]
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > self.most_states:
             self._reset()
         out: list[int] = []
         state, known = 0, self.moves.get
@@ -232,8 +240,15 @@ class Encoder:
     not depend on what is around. Other texts are cut by the pattern as a whole.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(
+        self,
+        ranks: dict[bytes, int],
+        pattern: str,
+        most_known: int | None = None,
+        most_states: int | None = None,
+    ):
+        self.most_known = most_known or MAX_KNOWN
+        self.transducer = Transducer(ranks, most_states)
         self.pieces = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
         self._mark = {m: array("i", self.transducer.encode(m.encode())).tobytes() for m in MARKS}
@@ -259,7 +274,7 @@ class Encoder:
             ids = (self.known.get(body) or self._piece(" " + body)) + self._mark[unit[-1]]
         else:
             ids = self.whole(" " + unit)
-        if len(self.known) < MAX_KNOWN and len(unit) <= MAX_KNOWN_CHARS:
+        if len(self.known) < self.most_known and len(unit) <= MAX_KNOWN_CHARS:
             self.known[unit] = ids
         return ids
 
@@ -382,9 +397,9 @@ class Utf8Machine:
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Encoder:
+def _encoder(path: str, pattern: str, most_known: int, most_states: int) -> Encoder:
     """One for a worker process, which serves many tasks."""
-    return Encoder(load_ranks(path), pattern)
+    return Encoder(load_ranks(path), pattern, most_known, most_states)
 
 
 @functools.lru_cache(maxsize=2)
@@ -411,10 +426,13 @@ def encode(
     text: str = "text",
     columns: list[str] | None = None,
     back: bool = False,
+    most_known: int = MAX_KNOWN,
+    most_states: int = MAX_STATES,
 ) -> DataFrame:
     """``row`` with the given columns (all by default) and ``ids``, the tokens of the whole text.
 
-    ``back`` adds ``decoded``, as ``decode`` does, in the same pass over the data.
+    ``back`` adds ``decoded``, as ``decode`` does, in the same pass over the data. The last two
+    bound what a worker keeps from text to text, about 400 bytes each; less costs time.
 
     ``path`` names a file of ranks that every executor can open. Null and empty texts have no
     tokens. Special tokens are not known; their strings are ordinary text. Repeated rows give
@@ -429,7 +447,7 @@ def encode(
         schema = schema.add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, pattern)
+        encoder = _encoder(path, pattern, most_known, most_states)
         for batch in _batched(batches, pc.binary_length, BYTES):
             gc.disable()  # states are many small tuples without cycles
             ids = encoder.batch(batch.column(1))

@@ -482,7 +482,7 @@ def _opened(
 ) -> DataFrame:
     """Pairs (f, g) from the top nodes whose documents do not hang together yet."""
     num, den = parts
-    on = members.join(hung.toDF("f", "comp"), "f", "left").withColumn(
+    on = members.join(hung.toDF("f", "comp").hint("merge"), "f", "left").withColumn(
         "comp", F.coalesce("comp", "f")
     )
     on = stored(on, "hung")
@@ -493,7 +493,7 @@ def _opened(
         .select("part", "rows"),
         "open-nodes",
     )
-    rows = on.join(broken, "part")
+    rows = on.join(broken.hint("merge"), "part")
     # The component of the head usually holds nearly all; only the others need partners.
     rows = rows.withColumn("main", F.col("comp") == F.col("head_comp"))
     tile = F.pmod(F.xxhash64("f"), F.ceil(F.col("rows") / TILE).cast("long"))
@@ -538,6 +538,7 @@ def _opened(
         ),
         "tile-pairs",
     )
+    pairs = pairs.hint("merge")
     own = rows.where(~F.col("main")).join(pairs, ["part", "tile"])
     other = rows.withColumnsRenamed({"main": "other_main", "tile": "other_tile"}).join(
         pairs, ["part", "other_main", "other_tile"]
@@ -609,7 +610,7 @@ def jaccard_components(
         keys.groupBy("part").agg(F.count("*").alias("rows")).where("rows > 1").select("part"), "common-parts"
     )
     # Copies of a set come from several tasks; each row is one set in one top node from here on.
-    met = stored(stored(keys.join(common, "part"), "met-raw").distinct(), "met")
+    met = stored(stored(keys.join(common.hint("merge"), "part"), "met-raw").distinct(), "met")
     tops = (
         met.groupBy("part")
         .agg(
@@ -626,7 +627,7 @@ def jaccard_components(
         tops.groupBy("head", "last", "rows", "x", "y").agg(F.min("part").alias("part")).select("part", "head"),
         "heads",
     )
-    members = stored(met.join(heads, "part"), "members")
+    members = stored(met.join(heads.hint("merge"), "part"), "members")
 
     signatures = stored(
         known.where("n > 0").select("f", "n", "surplus", "bits", "wide").dropDuplicates(["f"]),
@@ -647,7 +648,7 @@ def jaccard_components(
     hung = stored(connected(first), "hung-together")
     heads_hung = hung.toDF("head", "head_comp")
     tagged = (
-        members.join(heads_hung, "head", "left")
+        members.join(heads_hung.hint("merge"), "head", "left")
         .withColumn("head_comp", F.coalesce("head_comp", "head"))
         .select("part", "f", "n", "head_comp")
     )
@@ -656,7 +657,7 @@ def jaccard_components(
     links = hung.where("node != component").toDF("f", "g").union(second)
     groups = stored(connected(links), "set-components").toDF("f", "whole")
     grouped = stored(
-        known.join(groups, "f", "left").select(
+        known.join(groups.hint("merge"), "f", "left").select(
             "id", "n", F.when(F.col("n") > 0, F.coalesce("whole", "f")).alias("whole")
         ),
         "grouped",
@@ -666,7 +667,7 @@ def jaccard_components(
         .groupBy("whole")
         .agg(F.min("id").alias("component_id"))
     )
-    return grouped.join(stored(smallest, "smallest"), "whole", "left").select(
+    return grouped.join(stored(smallest, "smallest").hint("merge"), "whole", "left").select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),

@@ -497,8 +497,8 @@ def _opened(
     # The component of the head usually holds nearly all; only the others need partners.
     rows = rows.withColumn("main", F.col("comp") == F.col("head_comp"))
     tile = F.pmod(F.xxhash64("f"), F.ceil(F.col("rows") / TILE).cast("long"))
-    rows = rows.join(signatures.select("f", "surplus", "bits").hint("merge"), "f").select(
-        "part", "f", "n", "comp", "main", "surplus", "bits", tile.alias("tile")
+    rows = rows.join(signatures.select("f", "surplus", "bits", "wide").hint("merge"), "f").select(
+        "part", "f", "n", "comp", "main", "surplus", "bits", "wide", tile.alias("tile")
     )
     rows = stored(rows, "tiles")
     words = [F.bit_or(F.get("bits", F.lit(k))).alias(f"w{k}") for k in range(WORDS64)]
@@ -544,7 +544,7 @@ def _opened(
         pairs, ["part", "other_main", "other_tile"]
     )
     group = ["part", "tile", "other_main", "other_tile"]
-    kept = [*group, "f", "n", "comp", "bits"]
+    kept = [*group, "f", "n", "comp", "bits", "wide"]
     both = own.select(*kept, F.lit(True).alias("own")).union(
         other.select(*kept, F.lit(False).alias("own"))
     )
@@ -563,13 +563,25 @@ def _opened(
                 *(table.column(c).to_numpy() for c in ("f", "n", "comp")),
                 bits.reshape(-1, WORDS64).view(np.uint64),
             )
+            lists = table.column("wide").combine_chunks()
+            wide, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_pylist()
+
+            def near(i: int, j: int) -> bool:
+                x, y = (wide[ends[k] : ends[k + 1]] for k in (i, j))
+                n, m = int(rows.n[i]), int(rows.n[j])
+                return (num + den) * most_common(x, n, y, m) >= num * (n + m)
+
             found = []
             for start, stop in zip(starts, starts[1:]):
                 group_rows = [column[start:stop] for column in rows]
                 mine = own[start:stop]
                 if mine.any() and not mine.all():
                     a, b = (Side(*(column[side] for column in group_rows)) for side in (mine, ~mine))
-                    found.append(may_link(a, b, parts))
+                    pairs = may_link(a, b, parts)
+                    # The wide maps decide here, so that few pairs leave the task.
+                    at = {f: start + k for k, f in enumerate(group_rows[0].tolist())}
+                    keep = np.array([near(at[f], at[g]) for f, g in pairs.tolist()], bool)
+                    found.append(pairs[keep])
             if found:
                 pairs = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays(

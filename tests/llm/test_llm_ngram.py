@@ -181,3 +181,10 @@ def test_components(spark, seed):
     alone = {x for x in parent if x not in got}
     assert all(not any(x in (a, b) and a != b for a, b in links if a is not None) for x in alone)
     assert got == {x: find(x) for x in got}
+
+
+@pytest.mark.parametrize("chain", [[2, 5, 4, 3, 1], [1, 2, 5, 4, 6, 3], [1, 3, 4, 6, 5, 2]])
+def test_components_of_small_chains(spark, chain):
+    # Each alone: a longer one beside it would bring more rounds.
+    got = connected(spark.createDataFrame(list(zip(chain, chain[1:])), "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((node, min(chain)) for node in chain)

@@ -2,7 +2,7 @@
 
 Each round hangs every node of a component on ever smaller nodes: first all larger neighbours of a
 node on its smallest neighbour, then all smaller ones. The number of links never grows. It ends
-when every link leads to a node without a smaller neighbour.
+when every node has one link at most to a smaller one, and that leads to a node without any.
 """
 
 from __future__ import annotations
@@ -46,7 +46,9 @@ def connected(links: DataFrame) -> DataFrame:
         )
         edges = stored(down, "links")
         inner = edges.select(F.col("v").alias("u")).distinct().join(edges, "u", "left_semi")
-        if inner.isEmpty():
+        # A node on two roots joins them: another round must hang one on the other.
+        forked = edges.groupBy("u").count().where("count > 1")
+        if inner.isEmpty() and forked.isEmpty():
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.toDF("node", "component").union(roots)

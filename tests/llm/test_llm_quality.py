@@ -90,3 +90,11 @@ def test_empty_table_and_no_bad_documents(spark):
     data = [(k, "".join(words[k : k + 10]) + clean, "", "", "") for k in range(200)]
     assert all(r.kept for r in quality.judged(spark.createDataFrame(data, SCHEMA)).collect())
     assert quality.kept_rows(spark.createDataFrame(data, SCHEMA)).columns == ["doc_id", "text", "words", "votes", "kept"]
+
+
+def test_function_words_of_other_scripts(spark):
+    data = [(k, text, "", "", "") for k, text in enumerate(["дом стоит у реки. " * 20, "房子在河边 " * 20, "σπίτι δίπλα στο ποτάμι. " * 20, "house river town dog. " * 20, "1 2 3 4 5 " * 20])]
+    voted = quality.with_votes(quality.with_measures(spark.createDataFrame(data, SCHEMA)))
+    at = list(quality.RULES).index("function_words")
+    votes = {r.row.doc_id: r.votes[at] for r in voted.collect()}
+    assert votes == {0: quality.ABSTAIN, 1: quality.ABSTAIN, 2: quality.ABSTAIN, 3: quality.REJECT, 4: quality.REJECT}

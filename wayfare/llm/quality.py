@@ -41,7 +41,11 @@ RULES: dict[str, tuple[str, str]] = {
     "shouting": ("100 * n_shouts > 10 * n_words", "false"),
     "repeated_words": ("100 * n_repeat_words > 30 * n_words", "false"),
     "repeated_lines": ("100 * n_dup_lines > 30 * n_lines", "false"),
-    "function_words": ("100 * n_function < 4 * n_words", "100 * n_function > 10 * n_words"),
+    # Says nothing where most letters are of a script that none of the four languages is written in.
+    "function_words": (
+        "100 * n_function < 4 * n_words and 2 * n_other_script <= n_letters",
+        "100 * n_function > 10 * n_words",
+    ),
     "sentences": ("80 * n_stops < n_words", "40 * n_stops > n_words"),
     "word_length": (
         "word_chars < 2.5 * n_words or word_chars > 14 * n_words",
@@ -82,6 +86,8 @@ def with_measures(docs: DataFrame, text: str = "text", columns: list[str] | None
         F.regexp_count("body", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("body", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         F.regexp_count("body", F.lit(r"[.!?](?=\s|$)")).cast("long").alias("n_stops"),
+        F.regexp_count("body", F.lit(r"\p{L}")).cast("long").alias("n_letters"),
+        F.regexp_count("body", F.lit(r"[\p{L}&&[^\p{IsLatin}]]")).cast("long").alias("n_other_script"),
         F.regexp_count("body", F.lit("!!")).cast("long").alias("n_shouts"),
         F.size(F.filter("words", lambda w: w.isin(*sorted(function_words)))).cast("long").alias("n_function"),
         F.regexp_count("body", F.lit(r"(?<!\S)[^\s\p{L}\p{N}]+(?!\S)")).cast("long").alias("n_bare"),
@@ -126,7 +132,7 @@ def with_measures(docs: DataFrame, text: str = "text", columns: list[str] | None
         lambda acc: acc["n"],
     )
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_upper", "n_stops", "n_shouts"]
-    names += ["n_function", "n_bare"]
+    names += ["n_function", "n_bare", "n_letters", "n_other_script"]
     return placed.select(
         "row",
         *names,

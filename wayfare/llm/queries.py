@@ -19,6 +19,7 @@ from wayfare.llm import (
     ngram_join,
     pii,
     quality,
+    token_alignment,
     token_counts,
     toxicity,
 )
@@ -124,6 +125,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = token_alignment.align(docs, *paths, columns=["doc_id"]).select(
+        F.col("row.doc_id").alias("doc_id"),
+        *["n_a", "n_b", "n_groups", "n_links", "links"],
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+    return token_alignment.counted(aligned)
+
+
 LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_mix_sources": op1_mix_sources,
@@ -136,4 +148,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op13_token_alignment": op13_token_alignment,
 }

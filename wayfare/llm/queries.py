@@ -12,6 +12,7 @@ import public_tokenizers
 import corpus_pipeline
 from wayfare.llm import (
     bpe,
+    conversations,
     embeddings,
     html_text,
     licenses,
@@ -125,6 +126,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    return conversations.summary(turns, conversations.damaged(turns))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
@@ -148,5 +154,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_token_alignment": op13_token_alignment,
 }

@@ -15,6 +15,7 @@ from wayfare.llm import (
     conversations,
     embeddings,
     html_text,
+    language,
     licenses,
     mixing,
     ngram_join,
@@ -126,6 +127,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    profiles = language.fit(docs.where(~held_out))
+    return language.identified(docs.withColumn("held_out", held_out), profiles, columns=["doc_id", "held_out"]).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("row.held_out").alias("held_out"),
+        F.col("language").alias("lang_pred"),
+        "score",
+    )
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations")
     return conversations.summary(turns, conversations.damaged(turns))
@@ -154,6 +167,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_language_id": op11_language_id,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_token_alignment": op13_token_alignment,
 }

@@ -1,10 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from helpers import NOON, at, plan_of, raw_trips, trips
 from pyspark.sql import functions as F
 
 from wayfare.operators.filters import on_day
+from wayfare.sources.replay import limited_schedule
 from wayfare.sources.trips import enrich, has_rows, read_trips, read_trips_merged
 from wayfare.tables import TRIP_SCHEMA
 
@@ -138,3 +140,37 @@ def test_profiles(spark, tmp_path):
     (only,) = file_profile(spark.read.parquet(path)).collect()
     size = next((tmp_path / "t").glob("*.parquet")).stat().st_size
     assert (only.bytes, only.row_count) == (size, 3)
+
+
+def queue(dues, per_second):
+    """Plain sender: (due, key) in order, each sent when due or one slot after the one before."""
+    free = None
+    for due, key in sorted(dues, key=lambda d: (d[0], d[1] % 64, d[1])):
+        sent = due * per_second if free is None else max(due * per_second, free)
+        free = sent + 1_000_000
+        yield key, sent // per_second
+
+
+@pytest.mark.parametrize("per_second, speed", [(1, 1.0), (3, 1.0), (7, 10.0), (1000, 1000.0), (2, 0.1)])
+def test_limited_schedule_is_a_queue(spark, per_second, speed):
+    """Ties, bursts of a hundred records in a second, gaps of days, and a queue carried over midnight."""
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1, 23, 59, 0)
+    offsets = [rng.choice([0, 30, 30, 59, 61, 90_000, 90_001, 300_000]) + rng.randint(0, 20) for _ in range(300)]
+    offsets += [45] * 150 + [200_000] * 3
+    data = [(k, start + dt.timedelta(seconds=s, milliseconds=300)) for k, s in enumerate(offsets)]
+    trips = spark.createDataFrame(data + [(9999, None)], "trip_id long, tpep_pickup_datetime timestamp_ntz")
+    got = limited_schedule(trips, "trip_id", per_second, speed).collect()
+    first = min(offsets)
+    dues = [(round((s - first) * 1_000_000 / speed), k) for k, s in enumerate(offsets)]
+    assert {r.trip_id: r.due_micros for r in got} == {k: d for d, k in dues}
+    assert {r.trip_id: r.sent_micros for r in got} == dict(queue(dues, per_second))
+
+
+def test_limited_schedule_orders_counts_not_records(spark):
+    """The only window without partitions is over days; records are ranked inside a turn of a time."""
+    trips = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "trip_id long, tpep_pickup_datetime timestamp_ntz")
+    plan = plan_of(limited_schedule(trips, "trip_id", 10))
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
+    assert plan.count("SinglePartition") >= 1 and "CartesianProduct" not in plan
+    assert limited_schedule(trips.where("false"), "trip_id", 10).collect() == []

@@ -400,6 +400,14 @@ SELECT trip_id, pickup AS tpep_pickup_datetime,
   date_diff('second', (SELECT date_trunc('second', MIN(pickup)) FROM chosen),
     date_trunc('second', pickup)) / 1000.0 AS due_seconds
 FROM chosen""",
+    "replay_schedule_limited": _with(TRIPS)
+    + """, due AS (
+  SELECT trip_id, pickup, CAST(round(date_diff('second', (SELECT date_trunc('second', MIN(pickup)) FROM trips),
+    date_trunc('second', pickup)) * 1000000 / 100000.0) AS BIGINT) AS due_micros FROM trips),
+queue AS (SELECT *, row_number() OVER (ORDER BY due_micros, trip_id % 64, trip_id) AS i FROM due)
+SELECT trip_id, pickup AS tpep_pickup_datetime, due_micros, CAST((i * 1000000
+  + MAX(due_micros * 40 - i * 1000000) OVER (ORDER BY i)) // 40 AS BIGINT) AS sent_micros
+FROM queue""",
     "stream_zone_window": _with(BUSY) + _windows(),
     "stream_zone_window_append": _with(BUSY) + _windows(),
     "stream_publish": _with(BUSY) + _windows(),

@@ -547,6 +547,13 @@ def replay_schedule(spark, sf_dir):
     return replay.replay_schedule(period, 1000.0).select("trip_id", PICKUP, "due_seconds")
 
 
+@query
+def replay_schedule_limited(spark, sf_dir):
+    """A cap that the sender falls behind at times: 40 records a second at speed 100,000."""
+    schedule = replay.limited_schedule(_trips(spark, sf_dir), "trip_id", 40, 100_000.0)
+    return schedule.select("trip_id", PICKUP, "due_micros", "sent_micros")
+
+
 # --- streams -------------------------------------------------------------------------
 
 

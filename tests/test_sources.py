@@ -6,6 +6,7 @@ from helpers import NOON, at, plan_of, raw_trips, trips
 from pyspark.sql import functions as F
 
 from wayfare.operators.filters import on_day
+from wayfare.sources.footers import by_signature, footers, profile
 from wayfare.sources.replay import limited_schedule
 from wayfare.sources.trips import enrich, has_rows, read_trips, read_trips_merged
 from wayfare.tables import TRIP_SCHEMA
@@ -174,3 +175,59 @@ def test_limited_schedule_orders_counts_not_records(spark):
     assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
     assert plan.count("SinglePartition") >= 1 and "CartesianProduct" not in plan
     assert limited_schedule(trips.where("false"), "trip_id", 10).collect() == []
+
+
+def jobs_of(spark, run):
+    """How many jobs Spark starts for a call."""
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def alternating_files(spark, folder, n):
+    """Files that change the type of one column from each to the next, of three kinds."""
+    kinds = [F.lit(2.0), F.lit("2"), F.lit(2).cast("int")]
+    for k, value in enumerate(kinds):
+        rows = raw_trips(spark, *[{"zone": z} for z in range(3)]).withColumn("passenger_count", value)
+        rows.coalesce(1).write.parquet(str(folder / f"kind-{k}"))
+    (folder / "all").mkdir()
+    for k in range(n):
+        source = next((folder / f"kind-{k % 3}").glob("part-*.parquet"))
+        (folder / "all" / f"part-{k:05d}.parquet").write_bytes(source.read_bytes())
+    return str(folder / "all")
+
+
+def test_jobs_go_with_types_not_with_files(spark, tmp_path):
+    few, many = (tmp_path / name for name in ("few", "many"))
+    few.mkdir(), many.mkdir()
+    # Spark lists more than 32 files of a group in a job; both folders have more.
+    small, large = alternating_files(spark, few, 120), alternating_files(spark, many, 1000)
+    assert jobs_of(spark, lambda: read_trips(spark, large)) == jobs_of(spark, lambda: read_trips(spark, small)) < 12
+    df = read_trips(spark, large)
+    assert plan_of(df).count("Location: ") == 3
+    assert df.count() == 3000 and {r.passenger_count for r in df.select("passenger_count").distinct().collect()} == {2}
+
+
+def test_footers_tell_rows_and_bytes(spark, tmp_path):
+    path = alternating_files(spark, tmp_path, 5)
+    found = footers(spark, path).collect()
+    sizes = {f.name: f.stat().st_size for f in (tmp_path / "all").glob("part-*.parquet")}
+    assert {r.file_path.rsplit("/", 1)[1]: r.bytes for r in found} == sizes
+    assert [r.row_count for r in found] == [3] * 5 and all(0 < r.column_bytes < r.bytes for r in found)
+    summary = profile(footers(spark, path)).first()
+    assert summary.asDict() == {
+        "file_count": 5, "total_bytes": sum(sizes.values()), "largest_bytes": max(sizes.values()), "row_count": 15, "signatures": 3
+    }
+
+
+def test_stores_that_tasks_cannot_open(spark, tmp_path, monkeypatch):
+    """Spark's own comparison of footers takes over, with the same result."""
+    path = alternating_files(spark, tmp_path, 5)
+    expected = sorted(read_trips(spark, path).collect())
+    monkeypatch.setattr("wayfare.sources.trips.by_signature", lambda s, p: [(None, [f for _, own in by_signature(s, p) for f in own])])
+    assert sorted(read_trips(spark, path).collect()) == expected and len(expected) == 15
+    assert profile(footers(spark, path).withColumn("row_count", F.lit(None))).first().file_count == 5

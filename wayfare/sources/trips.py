@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.times import duration_minutes
+from wayfare.sources.footers import by_signature
 from wayfare.tables import LANDING_DATE, TRIP_SCHEMA
 
 # File type -> wanted type pairs the Parquet reader converts by itself. Any other
@@ -52,7 +53,7 @@ def _conform(
 
 
 def _same_types(spark: SparkSession, base: str, files: list[str]) -> list[tuple[list[str], DataFrame]]:
-    """Files in groups whose column types agree, with a frame of all columns of the group.
+    """Files in groups whose column types agree, where no footer can be read by the tasks.
 
     Spark compares the footers in a job of its own. Where they conflict the files, in the
     order of their names, are halved: types change from one delivery to the next, so a
@@ -74,10 +75,20 @@ def _same_types(spark: SparkSession, base: str, files: list[str]) -> list[tuple[
 
 
 def _groups(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
-    files = sorted(spark.read.parquet(path).inputFiles())
-    if len(files) < 2:
+    """Files in groups whose types agree, each with a frame of all its columns.
+
+    The tasks read all footers once; after that every group is one listing and one footer, so the
+    number of jobs goes with the number of different types, not with the files.
+    """
+    found = by_signature(spark, path)
+    if len(found) == 1 and found[0][0] is not None:
+        return [([path], spark.read.parquet(path))]
+    reader = spark.read.option("basePath", path)
+    groups = []
+    for signature, files in found:
+        groups += [(files, reader.parquet(*files))] if signature else _same_types(spark, path, files)
+    if not groups:  # no file: let Spark say so
         return [([path], spark.read.parquet(path))]
-    groups = _same_types(spark, path, files)
     return [([path], groups[0][1])] if len(groups) == 1 else groups
 
 

@@ -31,9 +31,9 @@ from pyspark.sql import types as T
 
 from wayfare.llm.text import stored
 
-MAX_UNITS = 400_000  # units a worker keeps, about 400 bytes each
+MAX_UNITS = 300_000  # units a worker keeps, about 500 bytes each
 CHUNK = 400  # units the libraries read at once
-BYTES = 2 << 20  # of text that is worked on at once, or one text
+BYTES = 1 << 20  # of text that is worked on at once, or one text
 WIDE = 1 << 16  # links of a group above which equal ones are counted, not listed
 FREQUENT = 200_000  # rows at most of the table every task gets
 MARKS = ".,!?;:"
@@ -169,6 +169,7 @@ class Aligner:
         self.ends = np.zeros(1, np.int64)  # of each base unit's links in the next two
         self.links = np.zeros(0, np.int64)
         self.times = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int64)
         self.fresh: list[list[np.ndarray]] = []
         if self.cuts:
             self._keep(["\n"], self._alone("\n"))
@@ -240,8 +241,11 @@ class Aligner:
             byte_at = np.concatenate([[0], np.cumsum(width)])
         ends_a = byte_ends(ids_a, spans_a, self.len_a, byte_at)
         ends_b = byte_ends(ids_b, spans_b, self.len_b, byte_at)
-        common = np.intersect1d(ends_a, ends_b)
-        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        marks = np.zeros((2, 1 + max(byte_at[-1], ends_a.max(initial=0), ends_b.max(initial=0))), bool)
+        marks[0, ends_a] = marks[1, ends_b] = True
+        group_of = np.cumsum(marks[0] & marks[1])
+        group_of[1:] = group_of[:-1].copy()  # what ends at a common end belongs to the group before it
+        group_a, group_b = group_of[ends_a], group_of[ends_b]
 
         if units is None:
             line_a, line_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
@@ -258,10 +262,12 @@ class Aligner:
 
         wrong = self._given_back(units, ids_a, line_a, ids_b, line_b)
         # Numbers of the groups without gaps; both sides have a token in each, unless a unit is wrong.
-        groups = np.union1d(group_a, group_b)
-        group_a, group_b = np.searchsorted(groups, group_a), np.searchsorted(groups, group_b)
-        n_a, n_b = (np.bincount(g, minlength=len(groups)) for g in (group_a, group_b))
-        line = np.zeros(len(groups), np.int64)
+        held = np.zeros(group_of[-1] + 1, bool)
+        held[group_a] = held[group_b] = True
+        place, n_groups = np.cumsum(held) - 1, int(held.sum())
+        group_a, group_b = place[group_a], place[group_b]
+        n_a, n_b = (np.bincount(g, minlength=n_groups) for g in (group_a, group_b))
+        line = np.zeros(n_groups, np.int64)
         line[group_a], line[group_b] = line_a, line_b
 
         texts_a = np.where(np.diff(group_a, prepend=-1) > 0, self.first[ids_a], self.later[ids_a])
@@ -279,7 +285,10 @@ class Aligner:
 
     def _given_back(self, units, ids_a, line_a, ids_b, line_b) -> dict[int, tuple[bytes, bytes]]:
         """Joined bytes of both sides, for the units that they differ from."""
-        sides = [([self.a.bytes[k] for k in ids_a], line_a), ([self.b.bytes[k] for k in ids_b], line_b)]
+        sides = [
+            (list(map(self.a.bytes.__getitem__, ids_a.tolist())), line_a),
+            (list(map(self.b.bytes.__getitem__, ids_b.tolist())), line_b),
+        ]
         code = "".join(units).encode()
         if all(b"".join(tokens) == code for tokens, _ in sides):
             return {}
@@ -328,14 +337,38 @@ class Aligner:
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
             self.links = np.concatenate([self.links, links])
             self.times = np.concatenate([self.times, times])
+            self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int64)])
             self.fresh = []
 
+    def _shrink(self) -> None:
+        """Keep the base units that were used twice at least, or the more frequent half of the limit.
+        Most words occur once; the others are not read again."""
+        kept = self.uses >= 2
+        if kept.sum() > self.most // 2:
+            kept = self.uses > np.sort(self.uses)[-(self.most // 2)]
+        if self.cuts:
+            kept[self.number["\n"]] = True
+        renumbered = np.where(kept, np.cumsum(kept) - 1, -1).tolist()
+        rows = np.repeat(kept, np.diff(self.ends))
+        lengths = np.diff(self.ends)[kept]
+        self.sizes, self.uses = self.sizes[kept], self.uses[kept] // 2
+        self.links, self.times = self.links[rows], self.times[rows]
+        self.ends = np.concatenate([[0], np.cumsum(lengths)])
+        self.units = [u for u, k in zip(self.units, renumbered) if k >= 0]
+        self.groups = [g for g, k in zip(self.groups, renumbered) if k >= 0]
+        self.number = {u: k for k, u in enumerate(self.units)}
+        self.wrong = {renumbered[k]: pair for k, pair in self.wrong.items() if renumbered[k] >= 0}
+        parts = ((key, tuple([renumbered[x] for x in own])) for key, own in self.parts.items())
+        self.parts = {key: own for key, own in parts if min(own) >= 0}
+        if len(self.parts) > self.most // 2:
+            self.parts = {}  # quickly put together again
+
     # Documents
 
     def documents(self, texts: list[str | None]) -> dict[str, object]:
         """Columns of the result for some texts."""
         if len(self.parts) > self.most:
-            self.forget()
+            self._shrink()
         pieces = [self.pieces(t) if t else [] for t in texts]
         self.learn(set().union(*pieces))
         self._settle()
@@ -348,6 +381,7 @@ class Aligner:
                     numbers[k], lengths[k] = [], 0
         document = np.repeat(np.arange(len(texts)), lengths)
         units = np.fromiter(chain.from_iterable(numbers), np.int64, int(lengths.sum()))
+        self.uses += np.bincount(units, minlength=len(self.units))
         sizes = np.zeros((len(texts), 4), np.int64)
         for column in range(4):
             sizes[:, column] = np.bincount(document, self.sizes[units, column], len(texts))

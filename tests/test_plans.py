@@ -50,3 +50,10 @@ def test_entry_module_imports_without_a_session():
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
     queries, with_sql = map(int, done.stdout.split())
     assert queries >= with_sql >= len(QUERIES)
+
+
+def test_entry_module_without_a_library_of_the_llm_package():
+    """The engine's queries do not depend on what only the training-data queries need."""
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(len(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert int(done.stdout) == len(QUERIES)

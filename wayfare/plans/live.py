@@ -22,8 +22,15 @@ from wayfare.sources.messages import (
     rejected,
     usable,
 )
+from wayfare.streaming.progress import late_rows
 from wayfare.streaming.upsert import start_emissions
-from wayfare.streaming.windows import DELAYS, stream_zone_windows, with_event_time, with_processing_time
+from wayfare.streaming.windows import (
+    DELAYS,
+    stream_zone_windows,
+    with_event_time,
+    with_heartbeats,
+    with_processing_time,
+)
 from wayfare.tables import REAL_TIME_ZONES
 
 
@@ -32,26 +39,20 @@ def zone_windows(
     width: str = "1 minute",
     event_column: str | None = None,
     delay: str | None = None,
+    heartbeats: bool = False,
 ) -> DataFrame:
     """Zone windows of a message stream, by processing time unless an event column is named.
 
-    Without a delay that of the column counts.
+    Without a delay that of the column counts. With ``heartbeats`` the clock closes windows by
+    processing time, also where no messages come.
     """
     trips = usable(parse_messages(messages, event_column=event_column))
     if not event_column:
-        return stream_zone_windows(with_processing_time(trips), width)
+        timed = with_heartbeats(trips, delay or "1 minute") if heartbeats else with_processing_time(trips)
+        return stream_zone_windows(timed, width)
     return stream_zone_windows(with_event_time(trips, event_column, delay or DELAYS[event_column]), width)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the progress of a query reports as dropped, being later than the delay."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
-
-
 def start_windows(
     messages: DataFrame,
     output: str,
@@ -61,11 +62,24 @@ def start_windows(
     delay: str | None = None,
     interval: str | None = "5 seconds",
     parallelism: int | None = None,
+    closed_only: bool = False,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Start storing zone windows, every ``interval`` or over everything available."""
-    windows = zone_windows(messages, width, event_column, delay)
+    """Start storing zone windows, every ``interval`` or over everything available.
+
+    ``closed_only`` stores each window once, when it is over: by the clock, unless an event column is
+    named. ``compact_every`` so many batches the emissions are folded together.
+    """
+    windows = zone_windows(messages, width, event_column, delay, closed_only)
     return start_emissions(
-        windows, output, checkpoint, interval=interval, parallelism=parallelism
+        windows,
+        output,
+        checkpoint,
+        "append" if closed_only else "update",
+        interval=interval,
+        parallelism=parallelism,
+        keys=REAL_TIME_ZONES.keys,
+        compact_every=compact_every,
     )
 
 
@@ -128,6 +142,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--per-trigger", type=int, help="files or messages a trigger takes at most")
     parser.add_argument("--interval", default="5 seconds")
     parser.add_argument("--once", action="store_true", help="stop when all input is read")
+    parser.add_argument("--closed-only", action="store_true", help="store a window once, when it is over")
+    parser.add_argument("--compact-every", type=int, help="batches after which emissions are folded")
     parser.add_argument("--parallelism", type=int, help="state partitions of a new checkpoint")
     parser.add_argument("--jdbc-url", help="upsert windows there instead of below --output")
     parser.add_argument("--jdbc-property", nargs="*", default=[], help="name=value")
@@ -136,6 +152,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if args.brokers and not args.topic:
         parser.error("--brokers needs --topic")
+    if args.closed_only and args.once and not args.event_column:
+        parser.error("--closed-only by processing time needs a running clock: not with --once")
+    if args.jdbc_url and (args.closed_only or args.compact_every):
+        parser.error("--closed-only and --compact-every are for Parquet output")
 
     spark = use_utc(build_session("wayfare live"))
 
@@ -153,46 +173,49 @@ def main(argv: Sequence[str] | None = None) -> None:
         return read_kafka(spark, options)
 
     interval = None if args.once else args.interval
-    if args.jdbc_url:
-        properties = dict(p.split("=", 1) for p in args.jdbc_property)
-        # A flush of the sink takes 100 rows, or what came in an interval.
-        target = JdbcTarget(args.jdbc_url, properties, batch_size=100)
-        windows = start_upserts(
-            zone_windows(messages(args.group), args.width, args.event_column, args.delay),
-            target,
-            f"{args.checkpoint}/windows",
-            run_statement(spark, target),
-            args.group.replace("-", "_"),
-            interval,
-            args.parallelism,
-        )
-    else:
-        windows = start_windows(
-            messages(args.group),
-            f"{args.output}/windows",
-            f"{args.checkpoint}/windows",
-            args.width,
-            args.event_column,
-            args.delay,
-            interval,
-            args.parallelism,
-        )
-    queries = [
-        windows,
-        start_rejects(
-            messages(f"{args.group}-rejects"),
-            f"{args.output}/rejects",
-            f"{args.checkpoint}/rejects",
-            interval,
-            args.event_column,
-        ),
-    ]
-    if args.once:
-        for query in queries:
-            query.awaitTermination()
-        print(f"late rows dropped: {sum(map(late_rows, queries))}")
-    else:
-        spark.streams.awaitAnyTermination()
+    with late_rows(spark, None if args.once else print) as late:
+        if args.jdbc_url:
+            properties = dict(p.split("=", 1) for p in args.jdbc_property)
+            # A flush of the sink takes 100 rows, or what came in an interval.
+            target = JdbcTarget(args.jdbc_url, properties, batch_size=100)
+            windows = start_upserts(
+                zone_windows(messages(args.group), args.width, args.event_column, args.delay),
+                target,
+                f"{args.checkpoint}/windows",
+                run_statement(spark, target),
+                args.group.replace("-", "_"),
+                interval,
+                args.parallelism,
+            )
+        else:
+            windows = start_windows(
+                messages(args.group),
+                f"{args.output}/windows",
+                f"{args.checkpoint}/windows",
+                args.width,
+                args.event_column,
+                args.delay,
+                interval,
+                args.parallelism,
+                args.closed_only,
+                args.compact_every,
+            )
+        queries = [
+            windows,
+            start_rejects(
+                messages(f"{args.group}-rejects"),
+                f"{args.output}/rejects",
+                f"{args.checkpoint}/rejects",
+                interval,
+                args.event_column,
+            ),
+        ]
+        if args.once:
+            for query in queries:
+                query.awaitTermination()
+            print(f"late rows dropped: {sum(map(late.total, queries))}")
+        else:
+            spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

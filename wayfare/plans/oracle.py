@@ -415,6 +415,9 @@ FROM queue""",
     "stream_top_zones": _with(BUSY, f"windows AS ({_windows('1 hour')})") + _ranked("windows"),
     "stream_processing_time": _with(BUSY)
     + f"""SELECT pickup_zone AS zone_id, COUNT(*) AS trip_count FROM trips
+WHERE {KNOWN} GROUP BY 1""",
+    "stream_closed_by_clock": _with(BUSY)
+    + f"""SELECT pickup_zone AS zone_id, COUNT(*) AS trip_count FROM trips
 WHERE {KNOWN} GROUP BY 1""",
     "stream_messages": _with(
         BUSY.replace("trips AS (", "all_trips AS ("),

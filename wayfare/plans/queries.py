@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wayfare.functions.numbers import as_decimals, rounded, zero_if_null
 from wayfare.functions.zones import grid_zone
 from wayfare.operators import inventory, merge, migration, quality, ranking, summaries
-from wayfare.operators.filters import PICKUP, last_hours, on_day, retained, since, split_invalid, until
+from wayfare.operators.filters import PICKUP, known_zone, last_hours, on_day, retained, since, split_invalid, until
 from wayfare.plans import batch, live, serving
 from wayfare.session import new_workdir, use_utc
 from wayfare.sinks.parquet import land_by_date, write_by_month, write_plain
@@ -557,14 +557,15 @@ def replay_schedule_limited(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------
 
 
-def _streamed_events(spark, sf_dir):
-    """The events in five files, one per trigger."""
-    path = sample.split_events(spark, sf_dir, new_workdir(spark, "event-files"))
-    return sample.stream_events(spark, path)
+def _streamed_events(spark, sf_dir, sentinels=0):
+    """The events in five slices, one per trigger; sentinels are for streams in append mode."""
+    path = new_workdir(spark, "event-files")
+    files = sample.split_events(spark, sf_dir, path, sentinels=sentinels)
+    return sample.stream_events(spark, path, maxFilesPerTrigger=str(files))
 
 
-def _streamed_trips(spark, sf_dir, coarse_zones=True):
-    return enrich(sample.as_raw_trips(_streamed_events(spark, sf_dir), coarse_zones))
+def _streamed_trips(spark, sf_dir, coarse_zones=True, sentinels=0):
+    return enrich(sample.as_raw_trips(_streamed_events(spark, sf_dir, sentinels), coarse_zones))
 
 
 def _drain(spark, rows, purpose, output_mode="update", transform=None, time="window_start"):
@@ -592,9 +593,10 @@ def stream_zone_window(spark, sf_dir):
 
 @query
 def stream_zone_window_append(spark, sf_dir):
-    rows = sw.stream_zone_windows(sw.with_event_time(_streamed_trips(spark, sf_dir)))
-    closed = _drain(spark, rows, "zone-window-append", "append").drop("window_date", "emission")
-    return sw.with_open_windows(closed, _busy_trips(spark, sf_dir), summaries.zone_window_stats)
+    """Every window comes once, after the sentinel has closed it."""
+    trips = _streamed_trips(spark, sf_dir, sentinels=1)
+    rows = sw.stream_zone_windows(sw.with_event_time(trips))
+    return _drain(spark, rows, "zone-window-append", "append").drop("window_date", "emission")
 
 
 @query
@@ -606,22 +608,11 @@ def stream_global_window(spark, sf_dir):
 
 @query
 def stream_top_zones(spark, sf_dir):
-    """Closed hours arrive whole in append mode, so each batch can rank its own windows."""
-    rows = sw.stream_zone_windows(sw.with_event_time(_streamed_trips(spark, sf_dir)), "1 hour")
-
-    def rank(batch: DataFrame) -> DataFrame:
-        return ranking.top_active_zones(batch, 5)
-
-    emitted = _drain(spark, rows, "top-zones", "append", rank, "update_time")
-    closed = emitted.drop("window_date", "emission").withColumn(
-        "window_end", F.expr("update_time + INTERVAL 1 HOUR")
-    )
-
-    def rank_open(trips: DataFrame) -> DataFrame:
-        ranked = rank(summaries.zone_window_stats(trips, "1 hour"))
-        return ranked.withColumn("window_end", F.expr("update_time + INTERVAL 1 HOUR"))
-
-    return sw.with_open_windows(closed, _busy_trips(spark, sf_dir), rank_open).drop("window_end")
+    """The ranking is state of the stream, and comes when the second sentinel moves the watermark on."""
+    trips = sw.with_event_time(_streamed_trips(spark, sf_dir, sentinels=2))
+    rows = sw.stream_top_zones(trips, 5)
+    emitted = _drain(spark, rows, "top-zones", "append", time="update_time")
+    return emitted.drop("window_date", "emission")
 
 
 @query
@@ -646,6 +637,22 @@ def stream_processing_time(spark, sf_dir):
     return windows.groupBy("zone_id").agg(F.sum("trip_count").alias("trip_count"))
 
 
+@query
+def stream_closed_by_clock(spark, sf_dir):
+    """Windows by processing time, each stored once it is over, which the clock alone decides after the
+    last trip. The query ends when every trip of a known zone lies in a closed window."""
+    trips = sw.with_heartbeats(_streamed_trips(spark, sf_dir), "0 seconds")
+    rows = sw.stream_zone_windows(trips, "2 seconds")
+    wanted = known_zone(_busy_trips(spark, sf_dir)).count()
+    base = new_workdir(spark, "closed-by-clock")
+    running = start_emissions(
+        rows, f"{base}/rows", f"{base}/checkpoint", "append", interval="1 second",
+        parallelism=spark.sparkContext.defaultParallelism,
+    )
+    stored = sw.wait_for_trips(running, lambda: read_emissions(spark, f"{base}/rows", rows.schema), wanted)
+    return stored.groupBy("zone_id").agg(F.sum("trip_count").alias("trip_count"))
+
+
 @query
 def stream_messages(spark, sf_dir):
     """Message texts to five-minute zone windows: parse, drop rejects, aggregate, upsert."""

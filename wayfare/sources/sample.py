@@ -28,30 +28,44 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Files of events as a stream, one at a time."""
+    """Files of events as a stream; ``split_events`` says how many make one slice."""
     options = {"maxFilesPerTrigger": "1", **options}
     return spark.readStream.schema(EVENTS_SCHEMA).options(**options).parquet(path)
 
 
-def split_events(spark: SparkSession, sf_dir: str, path: str, files: int = 5) -> str:
-    """The events in files by time, written one after the other, as if they came in turn.
+def split_events(spark: SparkSession, sf_dir: str, path: str, slices: int = 5, sentinels: int = 2) -> int:
+    """The events in slices by time, written one after the other, as if they came in turn. All tasks
+    write a slice; the number of files of a slice is returned, for a trigger to take just one.
 
-    Some events of the last half hour of a file come with the next one, so their windows are
-    emitted again.
+    Some events of the last half hour of a slice come with the next one, so their windows are
+    emitted again. Sentinels come last, days behind the events, each a slice of its own: they move the
+    watermark past all windows of the events, and in append mode their own windows stay open.
     """
     events = read_events(spark, sf_dir)
     bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    width = (bounds["b"] - bounds["a"]) / files
-    borders = [bounds["a"] + width * k for k in range(1, files)]
+    width = (bounds["b"] - bounds["a"]) / slices
+    borders = [bounds["a"] + width * k for k in range(1, slices)]
     late = F.expr("event_id % 2 = 1")
+    near = dt.timedelta(minutes=30)
     number = F.lit(0)
     for border in borders:
         behind = F.col("ts") >= F.lit(border).cast("timestamp_ntz")
-        near = F.col("ts") >= F.lit(border - dt.timedelta(minutes=30)).cast("timestamp_ntz")
-        number = number + (behind | (near & late)).cast("int")
-    for k in range(files):
-        events.where(number == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+        late_ones = (F.col("ts") >= F.lit(border - near).cast("timestamp_ntz")) & late
+        number = number + (behind | late_ones).cast("int")
+    files = spark.sparkContext.defaultParallelism
+    for k in range(slices):
+        own = events.where(number == k)  # with a range of times that reaches the scan
+        if k:
+            own = own.where(F.col("ts") >= F.lit(borders[k - 1] - near).cast("timestamp_ntz"))
+        if k < slices - 1:
+            own = own.where(F.col("ts") < F.lit(borders[k]).cast("timestamp_ntz"))
+        own.repartition(files).write.mode("append").parquet(path)
+    for k in range(sentinels):
+        at = bounds["b"] + dt.timedelta(days=3 * (k + 1))
+        row = ["1L AS event_id", "1L AS user_id", "'view' AS event_type", "0D AS value", "'{\"k\": 1}' AS props"]
+        sentinel = spark.range(0, files, 1, files).selectExpr(*row).withColumn("ts", F.lit(at).cast("timestamp_ntz"))
+        sentinel.select(*EVENTS_SCHEMA.names).write.mode("append").parquet(path)
+    return files
 
 
 def as_raw_trips(events: DataFrame, coarse_zones: bool = False) -> DataFrame:

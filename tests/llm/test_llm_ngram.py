@@ -188,3 +188,77 @@ def test_components_of_small_chains(spark, chain):
     # Each alone: a longer one beside it would bring more rounds.
     got = connected(spark.createDataFrame(list(zip(chain, chain[1:])), "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((node, min(chain)) for node in chain)
+
+
+def test_parts_meet_for_every_linked_pair():
+    """Sets just at the threshold, with their differences anywhere, share a key; also small ones, whose
+    only common parts may be empty."""
+    rng = np.random.default_rng(11)
+    for num, den in ((80, 100), (90, 100), (50, 100)):
+        made = ngram_join.Parts(num, den)
+        for _ in range(400):
+            n = int(rng.integers(1, 200))
+            x = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            n = len(x)
+            drop = int(rng.integers(0, n * (den - num) // den + 1))
+            y = x[np.sort(rng.permutation(n)[: n - drop])]
+            grow = max(0, den * len(y) // num - n)  # as many as the threshold leaves
+            y = np.unique(np.concatenate([y, rng.integers(0, 2**64, int(rng.integers(0, grow + 1)), dtype=np.uint64)]))
+            common = len(np.intersect1d(x, y))
+            if den * common >= num * (len(x) + len(y) - common) and not np.array_equal(x, y):
+                assert len(np.intersect1d(made.keys(x), made.keys(y)))
+
+
+def test_unrelated_sets_do_not_meet_in_empty_parts():
+    rng = np.random.default_rng(12)
+    made, met = ngram_join.Parts(80, 100), 0
+    keys = [made.keys(np.unique(rng.integers(0, 2**64, 60 + k % 30, dtype=np.uint64))) for k in range(200)]
+    for i in range(200):
+        for j in range(i):
+            met += bool(len(np.intersect1d(keys[i], keys[j])))
+    assert met < 200  # of 19,900 pairs; with empty parts nearly all of them met
+
+
+def test_short_hashes_bound_the_overlap(monkeypatch):
+    """Never below the true overlap, also between sets of either kind, and close to it."""
+    rng = np.random.default_rng(13)
+    monkeypatch.setattr(ngram_join, "SHORT", 300)
+    sets = []
+    for size in (20, 250, 290, 310, 330, 900):
+        base = rng.integers(0, 2**64, size, dtype=np.uint64)
+        for share in (0.5, 0.8, 0.85, 0.9, 0.95, 1.0):
+            keep = base[: int(size * share)]
+            sets.append(np.unique(np.concatenate([keep, rng.integers(0, 2**64, size - len(keep), dtype=np.uint64)])))
+    fine = [ngram_join.short_hashes(s).tobytes() for s in sets]
+    n = np.array([len(s) for s in sets])
+    pairs = np.array([(i, j) for i in range(len(sets)) for j in range(len(sets)) if i != j])
+    for num, den in ((80, 100), (90, 100)):
+        got = ngram_join.near_by_hashes(pairs, fine, n, (num, den))
+        true = []
+        for i, j in pairs:
+            common = len(np.intersect1d(sets[i], sets[j]))
+            true.append(den * common >= num * (n[i] + n[j] - common))
+        true = np.array(true)
+        assert got[true].all() and (got & ~true).sum() <= 0.02 * len(pairs)
+
+
+def test_families_below_the_threshold_cost_nothing(spark):
+    """A hundred copies with similarity 0.84 of each other give no candidate at 0.9."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(100):
+        own = list(words)
+        for k in rng.sample(range(400), 9):
+            own[k] = f"x{rng.random()}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    original = ngram_join._opened
+    ngram_join._opened = lambda *a: found.setdefault("pairs", original(*a))
+    try:
+        got = ngram_join.jaccard_components(docs, width=3, similarity=(90, 100)).collect()
+    finally:
+        ngram_join._opened = original
+    assert len({r.component_id for r in got}) >= 95
+    assert found["pairs"].count() <= 20

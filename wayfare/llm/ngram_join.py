@@ -7,10 +7,13 @@ threshold are never opened. One tree over unrelated documents would be useless,
 of them has every bit set. So the top of the tree is dealt by the tokens themselves:
 
 * Two sets of similarity ``t`` whose smaller one has ``a`` members differ in at most
-  ``d = a * (1 - t) / t`` members. The hash range is cut into ``d + 1`` parts; then the sets agree
-  on one part at least. A top node holds the documents of one range of sizes that agree on one
+  ``d = a * (1 - t) / t`` members. The hash range is cut into ``m > d`` parts; then the sets agree
+  on ``m - d`` parts at least. A top node holds the documents of one range of sizes that agree on one
   part: for any two top nodes of a part the overlap in it is short of whole, and if that
   holds in all parts, the pair cannot link. Linked documents therefore meet in a top node.
+* Unrelated documents would meet in parts that are empty in both. There are a quarter more parts than
+  the bound asks for, so nearly every set has fewer empty parts than it shares with a linked one, and
+  is in no top node for them. If two sets share empty parts alone, both have that many, and both are.
 * In a top node every document is first compared with one head. What links hangs together.
 * Nodes whose documents hang together already are closed. The others are opened: tiles of documents
   with their bitmaps and sizes, pairs of tiles, and within a pair of tiles smaller nodes, down to
@@ -46,6 +49,7 @@ ROWS = 512
 FILTER_BITS = 1 << 23  # of the map that thins out texts: 131,072 rows of 64 bits
 SEGMENT = 1 << 20  # bytes hashed at once
 TOGETHER = 1 << 18  # bytes of short texts hashed together
+SHORT = 2048  # shingles of a set whose short hashes have 16 bits
 SEEN = 500_000  # copies that one task leaves out
 
 _SPACE = np.zeros(256, bool)
@@ -172,13 +176,16 @@ class Parts:
         return bisect_right(self.starts, size) - 1
 
     @lru_cache(maxsize=256)
-    def cuts(self, band: int) -> np.ndarray | None:
-        """Borders of the parts; None where only equal sets can link."""
+    def cuts(self, band: int) -> tuple[np.ndarray, int] | None:
+        """Borders of the parts, and on how many linked sets agree at least; None where only equal
+        sets can link."""
         largest = self.starts[band + 1] - 1
         differ = largest * (self.den - self.num) // self.num
         if not differ:
             return None
-        return np.array([-(-(i << 64) // (differ + 1)) for i in range(1, differ + 1)], np.uint64)
+        agree = 1 + (differ + 3) // 4
+        n = differ + agree
+        return np.array([-(-(i << 64) // n) for i in range(1, n)], np.uint64), agree
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         n = len(shingles)
@@ -189,18 +196,21 @@ class Parts:
         for band in range(self.band(max(1, smallest)), self.band(n) + 1):
             cuts = self.cuts(band)
             if cuts is not None:
-                at = np.concatenate(([0], np.searchsorted(shingles, cuts), [n]))
+                at = np.concatenate(([0], np.searchsorted(shingles, cuts[0]), [n]))
                 part = np.arange(len(at) - 1, dtype=np.uint64) + np.uint64(band << 32)
-                found.append(mix64(sums[at[1:]] - sums[at[:-1]] + mix64(part)))
+                keys = mix64(sums[at[1:]] - sums[at[:-1]] + mix64(part))
+                held = at[1:] > at[:-1]
+                found.append(keys[held] if len(held) - held.sum() < cuts[1] else keys)
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
 def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
-    """(id, n, f, surplus, bits, wide) for every row: size of its set, the value that stands for the
-    set, its bitmap, how many shingles it has beyond the bits set, and a map that grows with the set."""
+    """(id, n, f, surplus, bits, wide, fine) for every row: size of its set, the value that stands for
+    the set, its bitmap, how many shingles it has beyond the bits set, a map that grows with the set,
+    and its shingles by short hashes."""
     schema = docs.select(F.col(key).alias("id")).schema
     schema = schema.add("n", T.LongType()).add("f", T.LongType()).add("surplus", T.LongType())
-    schema = schema.add("bits", T.ArrayType(T.LongType())).add("wide", T.ArrayType(T.LongType()))
+    schema = schema.add("bits", T.ArrayType(T.LongType())).add("wide", T.ArrayType(T.LongType())).add("fine", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -220,6 +230,7 @@ def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
                 wide = [wide_bitmap(s) for s in sets]
                 ends = np.concatenate(([0], np.cumsum([len(w) for w in wide]))).astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide))))
+                columns.append(pa.array([short_hashes(s).tobytes() for s in sets], pa.binary()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names)
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
@@ -269,6 +280,44 @@ def wide_bitmap(shingles: np.ndarray) -> np.ndarray:
     return bitmap(shingles, max(BITS, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else BITS)
 
 
+def short_hashes(shingles: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes of 16 bits, or of 32 for large sets: few shingles of two sets meet by
+    chance, and what is lost inside a set is known from its size."""
+    kind = np.uint16 if len(shingles) <= SHORT else np.uint32
+    return np.unique(mix64(shingles).astype(kind))
+
+
+def near_by_hashes(
+    pairs: np.ndarray, fine: list[bytes], n: np.ndarray, parts: tuple[int, int]
+) -> np.ndarray:
+    """Which pairs (i, j) may be similar enough: at most as many shingles are common as short hashes
+    are, and as many more as both sets lost to equal hashes."""
+    num, den = parts
+    keep = np.zeros(len(pairs), bool)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    mark, marked, last = np.zeros(1 << 16, bool), np.zeros(0, np.int64), -1
+    own = np.zeros(0, np.uint16)
+
+    def hashes(k: int) -> np.ndarray:
+        return np.frombuffer(fine[k], np.uint16 if n[k] <= SHORT else np.uint32)
+
+    for at in order.tolist():
+        i, j = pairs[at].tolist()
+        if i != last:
+            mark[marked] = False
+            own = hashes(i)
+            marked, last = (own & 0xFFFF).astype(np.int64), i
+            mark[marked] = True
+        other = hashes(j)
+        lost_i, lost_j = int(n[i]) - len(own), int(n[j]) - len(other)
+        if own.dtype == other.dtype == np.uint32:
+            most = len(np.intersect1d(own, other, assume_unique=True)) + min(lost_i, lost_j)
+        else:  # a hash of 16 bits is the end of that of 32, and several of these may end alike
+            most = int(mark[other & 0xFFFF].sum()) + (min(lost_i, lost_j) if own.dtype == other.dtype else lost_j)
+        keep[at] = (num + den) * most >= num * (int(n[i]) + int(n[j]))
+    return keep
+
+
 def most_common(x: np.ndarray, n: int, y: np.ndarray, m: int) -> int:
     """How many shingles two sets, of sizes n and m, have in common at most, by their maps."""
     while len(x) > len(y):
@@ -477,8 +526,15 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterat
         yield held
 
 
+def _short_hashes_of(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """(f, fine) of the given sets; only they are shuffled, and those whose hashes meet theirs."""
+    wanted = stored(sets.select(F.col("f").alias("id")).distinct(), "open-sets")
+    near = _hit(known.where("n > 0").select(F.col("f").alias("id"), "fine"), wanted).where("hit")
+    return near.join(wanted.hint("merge"), "id").select(F.col("id").alias("f"), "fine").dropDuplicates(["f"])
+
+
 def _opened(
-    members: DataFrame, hung: DataFrame, signatures: DataFrame, parts: tuple[int, int]
+    members: DataFrame, hung: DataFrame, signatures: DataFrame, known: DataFrame, parts: tuple[int, int]
 ) -> DataFrame:
     """Pairs (f, g) from the top nodes whose documents do not hang together yet."""
     num, den = parts
@@ -497,8 +553,10 @@ def _opened(
     # The component of the head usually holds nearly all; only the others need partners.
     rows = rows.withColumn("main", F.col("comp") == F.col("head_comp"))
     tile = F.pmod(F.xxhash64("f"), F.ceil(F.col("rows") / TILE).cast("long"))
-    rows = rows.join(signatures.select("f", "surplus", "bits", "wide").hint("merge"), "f").select(
-        "part", "f", "n", "comp", "main", "surplus", "bits", "wide", tile.alias("tile")
+    rows = stored(rows.withColumn("tile", tile), "open-rows")
+    maps = signatures.select("f", "surplus", "bits").join(_short_hashes_of(rows, known), "f")
+    rows = rows.join(maps.hint("merge"), "f").select(
+        "part", "f", "n", "comp", "main", "surplus", "bits", "fine", "tile"
     )
     rows = stored(rows, "tiles")
     words = [F.bit_or(F.get("bits", F.lit(k))).alias(f"w{k}") for k in range(WORDS64)]
@@ -544,7 +602,7 @@ def _opened(
         pairs, ["part", "other_main", "other_tile"]
     )
     group = ["part", "tile", "other_main", "other_tile"]
-    kept = [*group, "f", "n", "comp", "bits", "wide"]
+    kept = [*group, "f", "n", "comp", "bits", "fine"]
     both = own.select(*kept, F.lit(True).alias("own")).union(
         other.select(*kept, F.lit(False).alias("own"))
     )
@@ -563,13 +621,7 @@ def _opened(
                 *(table.column(c).to_numpy() for c in ("f", "n", "comp")),
                 bits.reshape(-1, WORDS64).view(np.uint64),
             )
-            lists = table.column("wide").combine_chunks()
-            wide, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_pylist()
-
-            def near(i: int, j: int) -> bool:
-                x, y = (wide[ends[k] : ends[k + 1]] for k in (i, j))
-                n, m = int(rows.n[i]), int(rows.n[j])
-                return (num + den) * most_common(x, n, y, m) >= num * (n + m)
+            fine = table.column("fine").to_pylist()
 
             found = []
             for start, stop in zip(starts, starts[1:]):
@@ -578,10 +630,10 @@ def _opened(
                 if mine.any() and not mine.all():
                     a, b = (Side(*(column[side] for column in group_rows)) for side in (mine, ~mine))
                     pairs = may_link(a, b, parts)
-                    # The wide maps decide here, so that few pairs leave the task.
+                    # Short hashes decide here, so that hardly more than links leaves the task.
                     at = {f: start + k for k, f in enumerate(group_rows[0].tolist())}
-                    keep = np.array([near(at[f], at[g]) for f, g in pairs.tolist()], bool)
-                    found.append(pairs[keep])
+                    places = np.array([(at[f], at[g]) for f, g in pairs.tolist()], np.int64).reshape(-1, 2)
+                    found.append(pairs[near_by_hashes(places, fine, rows.n, parts)])
             if found:
                 pairs = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays(
@@ -652,11 +704,12 @@ def jaccard_components(
     )
 
     def linked(found: DataFrame, purpose: str) -> DataFrame:
-        pairs = stored(_plausible(stored(found, purpose), signatures, similarity), "possible-pairs")
+        pairs = stored(found, purpose)
         texts = _texts_of(pairs, named, known, width)
         return stored(_verified(pairs, texts, width, similarity), "set-links")
 
-    first = linked(to_head, "pairs-with-heads")
+    to_head = stored(to_head, "pairs-with-heads")
+    first = linked(_plausible(to_head, signatures, similarity), "possible-pairs")
     hung = stored(connected(first), "hung-together")
     heads_hung = hung.toDF("head", "head_comp")
     tagged = (
@@ -664,7 +717,7 @@ def jaccard_components(
         .withColumn("head_comp", F.coalesce("head_comp", "head"))
         .select("part", "f", "n", "head_comp")
     )
-    second = linked(_opened(tagged, hung, signatures, similarity), "pairs-in-nodes")
+    second = linked(_opened(tagged, hung, signatures, known, similarity), "pairs-in-nodes")
     # Sets that hang together hang on their smallest; the new links join these.
     links = hung.where("node != component").toDF("f", "g").union(second)
     groups = stored(connected(links), "set-components").toDF("f", "whole")

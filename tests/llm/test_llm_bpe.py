@@ -21,7 +21,9 @@ LETTERS = st.characters(max_codepoint=0x2FF) | st.sampled_from("漢字かな가
 
 
 def check(texts):
-    got = ENCODER.batch(pa.array(texts, pa.string())).to_pylist()
+    ids, decoded = ENCODER.batch(pa.array(texts, pa.string()), MACHINE)
+    got = ids.to_pylist()
+    assert decoded == [t or "" for t in texts]
     for text, ids in zip(texts, got):
         assert ids == LIBRARY.encode_ordinary(text or ""), repr(text)
         assert MACHINE(ids) == (text or "")

@@ -281,10 +281,11 @@ class Encoder:
     def units(self, units: list[str]) -> list[bytes]:
         return [ids or self._new(unit) for unit, ids in zip(units, map(self.known.get, units))]
 
-    def batch(self, texts: pa.StringArray) -> pa.ListArray:
-        """Token ids of many texts; null texts have none.
+    def batch(self, texts: pa.StringArray, machine: Utf8Machine | None = None) -> tuple[pa.ListArray, list[str] | None]:
+        """Token ids of many texts, and with a machine what they decode to; null texts have none.
 
-        Distinct units are found for all texts at once, and their ids dealt out again.
+        Distinct units are found for all texts at once, and their ids dealt out again. A unit is made
+        of whole characters, so its ids are decoded once as well.
         """
         texts = texts.fill_null("")
         split = pc.split_pattern(texts, " ")
@@ -321,7 +322,11 @@ class Encoder:
         ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
         where = np.arange(ends[-1], dtype=np.int32)
         where += np.repeat((starts[codes] - ends[:-1]).astype(np.int32), lengths)
-        return pa.ListArray.from_arrays(pa.array(ends[at].astype(np.int32)), pa.array(flat[where]))
+        found = pa.ListArray.from_arrays(pa.array(ends[at].astype(np.int32)), pa.array(flat[where]))
+        if machine is None:
+            return found, None
+        runs, dealt = machine.runs(flat.tolist(), np.cumsum(sizes).tolist()), codes.tolist()
+        return found, ["".join([runs[c] for c in dealt[s:e]]) for s, e in zip(at.tolist(), at[1:].tolist())]
 
 
 # Number of bytes of a character by its first byte, and the range of its second byte where that
@@ -351,6 +356,22 @@ class Utf8Machine:
         self.moves: dict[bytes, dict[int, tuple[bytes, str]]] = {}
         self.plain: dict[int, str] = {}  # tokens made of whole characters
 
+    def runs(self, ids: list[int], ends: list[int]) -> list[str]:
+        """Texts of many runs of tokens, each from the empty state."""
+        if not self.plain:
+            for token, data in self.tokens.items():
+                state, text = self.push(b"", data)
+                if not state:
+                    self.plain[token] = text
+        texts, found, start = list(map(self.plain.get, ids)), [], 0
+        for end in ends:
+            try:
+                found.append("".join(texts[start:end]))
+            except TypeError:  # a token with a part of a character
+                found.append("".join(self.stream(ids[start:end])))
+            start = end
+        return found
+
     @staticmethod
     def push(state: bytes, data: bytes) -> tuple[bytes, str]:
         out: list[str] = []
@@ -450,11 +471,11 @@ def encode(
         encoder = _encoder(path, pattern, most_known, most_states)
         for batch in _batched(batches, pc.binary_length, BYTES):
             gc.disable()  # states are many small tuples without cycles
-            ids = encoder.batch(batch.column(1))
+            ids, decoded = encoder.batch(batch.column(1), _machine(path) if back else None)
             gc.enable()
             columns = [batch.column(0), ids]
             if back:
-                columns.append(_decoded(ids, _machine(path)))
+                columns.append(pa.array(decoded, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -110,3 +110,13 @@ def test_aggregates_combine_before_the_shuffle(spark):
     df = values_frame(spark, [1.0, 2.0])
     plan = plan_of(direct(df, ["g"], (m.total("s", "v"), m.mean("a", "v"))))
     assert "partial_sum" in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("value", ["1.0e12D", "2.5e27D", "-1048576.25D", "9.5e15D"])
+def test_many_large_values_do_not_overflow(spark, value):
+    """Ten million rows of one group; the digits behind the point are kept beside large wholes."""
+    rows = spark.range(10_000_000).selectExpr("1 AS g", f"{value} AS v")
+    measures = [m.total("total", "v"), m.mean("mean", "v")]
+    got = m.finish(m.partials(rows, ["g"], measures), ["g"], measures).first()
+    one = float(value[:-1])
+    assert got.total == one * 10_000_000 and got.mean == one

@@ -5,12 +5,12 @@ turns them into its value. The parts of a fine grain can be stored and merged in
 coarser grain, and the same parts are what Spark combines map-side before a shuffle, so
 one hot key costs one row per task.
 
-Doubles are added as whole numbers: a value is split into multiples of 2^40, its whole part below
-that, and two groups of six decimal digits, and each is summed as BIGINT. Whole numbers give the
-same total in every order of rows and partitions, where doubles do not, and stay inside generated
-code, where decimals do not. Twelve digits after the point are kept, at any size of the value. Only
-what is not finite, or above 2^92, is added as a plain double on the side. A sum that passes
-BIGINT fails; it takes 9 * 10^12 rows to get there.
+Doubles are added as whole numbers: a value is split into its whole part and two groups of six
+decimal digits, and each is summed. Whole numbers give the same total in every order of rows and
+partitions, where doubles do not. Whole parts below 2^20 and the digits are summed as BIGINT, which
+stays inside generated code and has room for 8 * 10^12 rows of a group; larger ones as decimals of 38
+digits. Twelve digits after the point are kept, at any size of the value. Only what is not finite, or
+above 2^92, is added as a plain double on the side.
 
 Expressions are SQL text: one call to the JVM each, however long they are.
 """
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 PLAIN = 1
 MINUTE_UNITS = 60
 
-HIGH = "1099511627776D"  # 2^40
+SMALL = "1048576D"  # 2^20
+HIGH = "1099511627776"  # 2^40
 LARGEST = "4951760157141521099596496896D"  # 2^92
 
 
@@ -50,27 +51,28 @@ ROWS = Part("part_rows", "count(1)")
 
 def _sum_parts(label: str, value: str, units: int) -> tuple[Part, ...]:
     value = f"CAST({value} AS DOUBLE)" + (f" * {units}" if units != 1 else "")
-    high = f"CAST({value} / {HIGH} AS BIGINT)"
-    low = f"({value} - {high} * {HIGH})"
+    high = f"CAST({value} / {HIGH}D AS BIGINT)"
+    low = f"({value} - {high} * {HIGH}D)"
     whole = f"floor({low})"
     millionths = f"(({low} - {whole}) * 1e6D)"
     micro = f"floor({millionths})"
     pico = f"CAST(rint(({millionths} - {micro}) * 1e6D) AS BIGINT)"
+    big = f"CAST({high} AS DECIMAL(16, 0)) * {HIGH} + CAST({whole} AS DECIMAL(14, 0))"
     fits = f"abs({value}) < {LARGEST}"
-    limbs = {"high": high, "whole": whole, "micro": micro, "pico": pico}
+    is_small = f"abs({value}) < {SMALL}"
     return (
-        *[
-            Part(f"part_{label}_{name}", f"sum(CASE WHEN {fits} THEN {limb} END)")
-            for name, limb in limbs.items()
-        ],
+        Part(f"part_{label}_whole", f"sum(CASE WHEN {is_small} THEN {whole} END)"),
+        Part(f"part_{label}_big", f"sum(CASE WHEN {fits} AND NOT ({is_small}) THEN {big} END)"),
+        Part(f"part_{label}_micro", f"sum(CASE WHEN {fits} THEN {micro} END)"),
+        Part(f"part_{label}_pico", f"sum(CASE WHEN {fits} THEN {pico} END)"),
         Part(f"part_{label}_rest", f"sum(CASE WHEN NOT ({fits}) THEN {value} END)"),
     )
 
 
 def _sum_value(label: str, units: int) -> str:
     part = f"part_{label}"
-    exact = f"{part}_whole + {part}_micro * 0.000001 + {part}_pico * 0.000000000001"
-    total = f"(CAST({exact} AS DOUBLE) + {part}_high * {HIGH})"
+    exact = f"coalesce({part}_whole, 0L) + {part}_micro * 0.000001 + {part}_pico * 0.000000000001"
+    total = f"(CAST({exact} AS DOUBLE) + coalesce(CAST({part}_big AS DOUBLE), 0D))"
     total = f"coalesce({total} + {part}_rest, {total}, {part}_rest)"
     return f"({total} / {units}D)" if units != 1 else total
 

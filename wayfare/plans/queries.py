@@ -12,7 +12,7 @@ from wayfare.functions.numbers import as_decimals, rounded, zero_if_null
 from wayfare.functions.zones import grid_zone
 from wayfare.operators import inventory, merge, migration, quality, ranking, summaries
 from wayfare.operators.filters import PICKUP, known_zone, last_hours, on_day, retained, since, split_invalid, until
-from wayfare.plans import batch, live, serving
+from wayfare.plans import batch, live, rollups, serving
 from wayfare.session import new_workdir, use_utc
 from wayfare.sinks.parquet import land_by_date, write_by_month, write_plain
 from wayfare.sources import messages as msg
@@ -534,6 +534,29 @@ def partitioned_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _rolled_up(spark, sf_dir, table):
+    """Three loads; the last one is late for all dates but one, and only its dates are merged again."""
+    base = new_workdir(spark, "rollups")
+    trips = _busy_trips(spark, sf_dir)
+    late = F.dayofmonth(PICKUP) == 9
+    for load, chosen in (("a", "trip_id % 2 = 0"), ("b", "trip_id % 2 = 1")):
+        rollups.add_load(trips.where(chosen).where(~late), base, load)
+    rollups.refresh(spark, base)
+    rollups.add_load(trips.where(late), base, "late")
+    rollups.refresh(spark, base)
+    return rollups.windows(spark, base, table)
+
+
+@query
+def rolled_up_hours(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, rollups.HOURS)
+
+
+@query
+def rolled_up_days(spark, sf_dir):
+    return _rolled_up(spark, sf_dir, rollups.DAYS)
+
+
 @query
 def monthly_windows_roundtrip(spark, sf_dir):
     path = new_workdir(spark, "by-month")

@@ -408,6 +408,9 @@ queue AS (SELECT *, row_number() OVER (ORDER BY due_micros, trip_id % 64, trip_i
 SELECT trip_id, pickup AS tpep_pickup_datetime, due_micros, CAST((i * 1000000
   + MAX(due_micros * 40 - i * 1000000) OVER (ORDER BY i)) // 40 AS BIGINT) AS sent_micros
 FROM queue""",
+    "append_violations": f"""{_with(TRIPS, f'hours AS ({_hourly()})')}
+SELECT date, hour, zone_id, CAST(2 AS BIGINT) AS rows FROM hours
+WHERE date BETWEEN DATE '2024-01-18' AND DATE '2024-01-20'""",
     "rolled_up_hours": _with(BUSY) + _windows("1 hour"),
     "rolled_up_days": _with(BUSY) + _windows("1 day"),
     "stream_zone_window": _with(BUSY) + _windows(),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.numbers import as_decimals, rounded, zero_if_null
 from wayfare.functions.zones import grid_zone
-from wayfare.operators import inventory, merge, migration, quality, ranking, summaries
+from wayfare.operators import inventory, merge, migration, quality, ranking, summaries, uniqueness
 from wayfare.operators.filters import PICKUP, known_zone, last_hours, on_day, retained, since, split_invalid, until
 from wayfare.plans import batch, live, rollups, serving
 from wayfare.session import new_workdir, use_utc
@@ -534,6 +534,15 @@ def partitioned_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def append_violations(spark, sf_dir):
+    """Hours up to the 20th are stored; of those from the 18th on, three days are there already."""
+    hours = summaries.hourly_zone_stats(_trips(spark, sf_dir))
+    path, keys = new_workdir(spark, "unique"), list(HOURLY_ZONE_STATS.keys)
+    uniqueness.append_unique(hours.where("date <= DATE'2024-01-20'"), path, keys)
+    return uniqueness.violations(hours.where("date >= DATE'2024-01-18'"), path, keys, "date")
+
+
 def _rolled_up(spark, sf_dir, table):
     """Three loads; the last one is late for all dates but one, and only its dates are merged again."""
     base = new_workdir(spark, "rollups")

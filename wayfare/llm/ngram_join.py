@@ -49,7 +49,7 @@ ROWS = 512
 FILTER_BITS = 1 << 23  # of the map that thins out texts: 131,072 rows of 64 bits
 SEGMENT = 1 << 20  # bytes hashed at once
 TOGETHER = 1 << 18  # bytes of short texts hashed together
-SHORT = 2048  # shingles of a set whose short hashes have 16 bits
+SPARE = 6  # bits of a short hash beyond those that number the shingles of a set
 SEEN = 500_000  # copies that one task leaves out
 
 _SPACE = np.zeros(256, bool)
@@ -280,40 +280,49 @@ def wide_bitmap(shingles: np.ndarray) -> np.ndarray:
     return bitmap(shingles, max(BITS, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else BITS)
 
 
+def hash_bits(n: int) -> int:
+    """Of a short hash in a set of n: so many that a hash is free with a chance of a hundredth or so."""
+    return max(8, n.bit_length() + SPARE)
+
+
 def short_hashes(shingles: np.ndarray) -> np.ndarray:
-    """Sorted distinct hashes of 16 bits, or of 32 for large sets: few shingles of two sets meet by
-    chance, and what is lost inside a set is known from its size."""
-    kind = np.uint16 if len(shingles) <= SHORT else np.uint32
-    return np.unique(mix64(shingles).astype(kind))
+    """Distinct hashes of ``hash_bits`` bits in order, as bytes: the differences, where 255 says that
+    the difference goes on in the next byte. A byte and a bit for each shingle."""
+    short = np.unique(mix64(shingles) & np.uint64((1 << hash_bits(len(shingles))) - 1)).astype(np.int64)
+    steps = np.diff(short, prepend=0)
+    ends = np.cumsum(steps // 255 + 1)
+    coded = np.full(ends[-1] if len(ends) else 0, 255, np.uint8)
+    coded[ends - 1] = steps % 255
+    return coded
+
+
+def read_hashes(coded: bytes) -> np.ndarray:
+    steps = np.frombuffer(coded, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
 
 
 def near_by_hashes(
     pairs: np.ndarray, fine: list[bytes], n: np.ndarray, parts: tuple[int, int]
 ) -> np.ndarray:
     """Which pairs (i, j) may be similar enough: at most as many shingles are common as short hashes
-    are, and as many more as both sets lost to equal hashes."""
+    are, and as many more as a set lost to equal hashes."""
     num, den = parts
     keep = np.zeros(len(pairs), bool)
+    read: dict[int, np.ndarray] = {}
     order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    mark, marked, last = np.zeros(1 << 16, bool), np.zeros(0, np.int64), -1
-    own = np.zeros(0, np.uint16)
-
-    def hashes(k: int) -> np.ndarray:
-        return np.frombuffer(fine[k], np.uint16 if n[k] <= SHORT else np.uint32)
-
+    mark, last = np.zeros(0, bool), -1
     for at in order.tolist():
         i, j = pairs[at].tolist()
-        if i != last:
-            mark[marked] = False
-            own = hashes(i)
-            marked, last = (own & 0xFFFF).astype(np.int64), i
-            mark[marked] = True
-        other = hashes(j)
-        lost_i, lost_j = int(n[i]) - len(own), int(n[j]) - len(other)
-        if own.dtype == other.dtype == np.uint32:
-            most = len(np.intersect1d(own, other, assume_unique=True)) + min(lost_i, lost_j)
-        else:  # a hash of 16 bits is the end of that of 32, and several of these may end alike
-            most = int(mark[other & 0xFFFF].sum()) + (min(lost_i, lost_j) if own.dtype == other.dtype else lost_j)
+        for k in (i, j):
+            if k not in read:
+                read[k] = read_hashes(fine[k])
+        own, other = read[i], read[j]
+        bits = min(hash_bits(int(n[i])), hash_bits(int(n[j])))
+        if i != last or len(mark) != 1 << bits:  # a shorter hash is the end of a longer one
+            mark, last = np.zeros(1 << bits, bool), i
+            mark[own & (len(mark) - 1)] = True
+        # Hashes of j that i has too, and the shingles of j that have no hash of their own.
+        most = int(mark[other & (len(mark) - 1)].sum()) + int(n[j]) - len(other)
         keep[at] = (num + den) * most >= num * (int(n[i]) + int(n[j]))
     return keep
 

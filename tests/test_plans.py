@@ -10,7 +10,8 @@ from helpers import plan_of
 
 WRITERS = {"partitioned_roundtrip", "monthly_windows_roundtrip", "view_last_24h", "stored_tables_sql",
            "trips_from_drifted_files", "trips_from_merged_files", "route_analysis_by_days", "table_inventory",
-           "rolled_up_hours", "rolled_up_days", "append_violations"}
+           "rolled_up_hours", "rolled_up_days", "append_violations",
+           "latest_windows_ordered", "busiest_windows_ordered"}
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream") and n not in WRITERS)
 # A merge has two inputs, an inventory several tables, and a replay looks up its start first.
 SINGLE_SCAN = [n for n in BATCH if not n.startswith(("merge_", "table_", "replay_", "message_fates", "decimal_"))]

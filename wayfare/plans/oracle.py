@@ -251,6 +251,10 @@ GROUP BY 1, 2""",
     + "SELECT * FROM windows ORDER BY window_start DESC, trip_count DESC, zone_id LIMIT 100",
     "busiest_windows": _with(BUSY, f"windows AS ({_windows('1 hour')})")
     + "SELECT * FROM windows ORDER BY trip_count DESC, window_start DESC, zone_id LIMIT 100",
+    "latest_windows_ordered": _with(BUSY, f"windows AS ({_windows()})")
+    + "SELECT * FROM windows ORDER BY window_start DESC, trip_count DESC, zone_id LIMIT 100",
+    "busiest_windows_ordered": _with(BUSY, f"windows AS ({_windows('1 hour')})")
+    + "SELECT * FROM windows ORDER BY trip_count DESC, window_start DESC, zone_id LIMIT 100",
     "table_inventory": _with(
         TRIPS,
         f"zones AS ({_windows()})",

@@ -14,6 +14,7 @@ from wayfare.operators import inventory, merge, migration, quality, ranking, sum
 from wayfare.operators.filters import PICKUP, known_zone, last_hours, on_day, retained, since, split_invalid, until
 from wayfare.plans import batch, live, rollups, serving
 from wayfare.session import new_workdir, use_utc
+from wayfare.sinks.ordered import first_rows, write_ordered
 from wayfare.sinks.parquet import land_by_date, write_by_month, write_plain
 from wayfare.sources import messages as msg
 from wayfare.sources import replay, sample
@@ -327,6 +328,25 @@ def busiest_windows(spark, sf_dir):
     return ranking.busiest_windows(hours, 100)
 
 
+def _first_of_ordered(spark, windows, order):
+    path = new_workdir(spark, "ordered")
+    write_ordered(windows, path, order)
+    return first_rows(spark, path, order, 100)
+
+
+@query
+def latest_windows_ordered(spark, sf_dir):
+    """As ``latest_windows``, from the few files of an ordered table that can hold them."""
+    windows = summaries.zone_window_stats(_busy_trips(spark, sf_dir))
+    return _first_of_ordered(spark, windows, ["-window_start", "-trip_count", "zone_id"])
+
+
+@query
+def busiest_windows_ordered(spark, sf_dir):
+    hours = summaries.zone_window_stats(_busy_trips(spark, sf_dir), "1 hour")
+    return _first_of_ordered(spark, hours, ["-trip_count", "-window_start", "zone_id"])
+
+
 @query
 def table_inventory(spark, sf_dir):
     """Over stored tables, which are small beside the trips."""

@@ -254,3 +254,64 @@ def test_batch_job_from_the_command_line(landed, tmp_path):
     )
     assert "daily_summary: 1 rows written for 2024-01-05" in done.stdout
     assert [p.name for p in out.iterdir() if p.is_dir()] == ["date=2024-01-05"]
+
+
+def stored(spark, path, *columns):
+    return sorted(tuple(r) for r in spark.read.parquet(path).select(*columns).collect())
+
+
+def later(spark, tmp_path, name, *rows):
+    path = str(tmp_path / name)
+    raw_trips(spark, *rows).write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("table, columns", [("daily_summary", ("date", "total_trips")), ("real_time_zones", ("window_start", "zone_id", "trip_count"))])
+def test_runs_that_insert_only_what_is_absent(spark, tmp_path, landed, table, columns):
+    out = str(tmp_path / table)
+    batch.run(spark, table, [landed], out)
+    before = stored(spark, out, *columns)
+    new = later(spark, tmp_path, "new", DAYS[0], DAYS[0], {"pickup": at("2024-03-01 10:00:00")})
+    batch.run(spark, table, [new], out, merge="insert-absent")
+    after = stored(spark, out, *columns)
+    assert set(before) < set(after) and len(after) == len(before) + 1
+    batch.run(spark, table, [new], out, merge="insert-absent")
+    assert stored(spark, out, *columns) == after
+
+
+def test_runs_that_replace_some_columns(spark, tmp_path, landed):
+    out = str(tmp_path / "daily")
+    batch.run(spark, "daily_summary", [landed], out)
+    before = {r.date: r for r in spark.read.parquet(out).collect()}
+    day = DAYS[0]["pickup"].date()
+    new = later(spark, tmp_path, "new", {"pickup": DAYS[0]["pickup"], "total": 1000.0})
+    batch.run(spark, "daily_summary", [new], out, merge="partial", replace=["total_revenue"])
+    after = {r.date: r for r in spark.read.parquet(out).collect()}
+    assert after[day].total_revenue == 1000.0 and after[day].total_trips == before[day].total_trips
+    assert {d: r for d, r in after.items() if d != day} == {d: r for d, r in before.items() if d != day}
+    for replace in ([], ["nothing"], ["date"]):
+        with pytest.raises(ValueError, match="columns to replace"):
+            batch.run(spark, "daily_summary", [new], out, merge="partial", replace=replace)
+
+
+def test_rows_are_stamped_with_the_time_of_the_run(spark, tmp_path, landed):
+    out = str(tmp_path / "hours")
+    begun = dt.datetime.now() - dt.timedelta(days=1)
+    batch.run(spark, "hourly_zone_stats", [landed], out, created_at=True)
+    times = {r.created_at for r in spark.read.parquet(out).collect()}
+    assert len(times) == 1 and times.pop() > begun
+
+
+def test_routes_of_a_day_are_not_appended_over_jdbc(spark, landed):
+    with pytest.raises(ValueError, match="no date in its key"):
+        batch.run(spark, "route_analysis", [landed], day="2024-01-05", target=jdbc.JdbcTarget("jdbc:x"))
+
+
+@pytest.mark.parametrize("table", ["daily_summary", "real_time_global"])
+def test_old_dates_are_removed_after_a_run(spark, tmp_path, landed, table):
+    out = str(tmp_path / table)
+    batch.run(spark, table, [landed], out)
+    dates = sorted({d["pickup"].date() for d in DAYS})
+    assert batch.drop_old_dates(spark, table, out, dates[-1] + dt.timedelta(days=7), 7) == len(dates) - 1
+    column = batch.PARTITIONS.get(table, "date")
+    assert [r[0] for r in spark.read.parquet(out).select(column).distinct().collect()] == [dates[-1]]

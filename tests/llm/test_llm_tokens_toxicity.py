@@ -90,3 +90,12 @@ def test_scores_of_odd_texts(spark):
     assert score[None] == score[4] and {r.row.score for r in got} == {"clash", ""}
     assert next(r for r in got if r.row.doc_id == 7).evidence[0].toxic > 0
     assert toxicity.scored(spark.createDataFrame([], schema), model).collect() == []
+
+
+def test_a_document_with_two_labels_has_the_larger(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "doc_id long, text string")
+    data = [(1, 0), (1, 1), (2, 1), (2, 0), (3, 0), (3, 0), (3, None), (None, 1)]
+    for rows in (data, data[::-1]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        got = toxicity.sampled(docs, labels, "doc_id", "text", "toxic").collect()
+        assert sorted((r.text, r.label) for r in got) == [("a", 1), ("b", 1), ("c", 0)]

@@ -294,6 +294,7 @@ def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     """About ``rows`` labelled texts at most, chosen by a hash of the key, as (text, label).
 
     Their keys are few enough to go to every task, so that the texts of all documents need not move.
+    A key with several labels has the largest of them: 1 if any says so.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(
         F.col(key).alias("known"), F.col(label).cast("int").alias("label")
@@ -301,7 +302,7 @@ def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     total = known.count()
     share = min(1.0, rows / max(1, total))
     chosen = known.where(F.pmod(F.xxhash64("known"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    chosen = stored(chosen.dropDuplicates(["known"]), "chosen")
+    chosen = stored(chosen.groupBy("known").agg(F.max("label").alias("label")), "chosen")
     return docs.select(F.col(key).alias("known"), F.col(text).alias("text")).join(
         F.broadcast(chosen), "known"
     ).select("text", "label")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from wayfare.llm import ngram_join
 from wayfare.llm.components import connected
@@ -263,3 +264,42 @@ def test_families_below_the_threshold_cost_nothing(spark):
         ngram_join._opened = original
     assert len({r.component_id for r in got}) >= 95
     assert found["pairs"].count() <= 20
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 1000])
+def test_shared_keys_across_batches(rows):
+    """Each set once, and only in parts that it shares, wherever the batches are cut."""
+    rng = random.Random(6)
+    data = sorted((rng.randrange(-60, 60), rng.randrange(4)) for _ in range(150))
+    data = sorted(data + [(70, 1)] * 3 + [(71, 1), (71, 2)])
+    table = pa.table({"part": [p for p, _ in data], "f": [f for _, f in data]})
+    batches = [b for at in range(0, len(data), rows) for b in table.slice(at, rows).to_batches()]
+    got = [tuple(r.values()) for b in ngram_join.shared_keys(iter(batches)) for r in b.to_pylist()]
+    sets = {}
+    for p, f in data:
+        sets.setdefault(p, set()).add(f)
+    assert got == sorted((p, f) for p, own in sets.items() if len(own) > 1 for f in own)
+
+
+def test_opened_nodes_of_one_head_are_dealt_once(spark, monkeypatch):
+    """Relatives below the threshold meet in many nodes; each comes with its maps once for a head."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(40):
+        own = list(words)
+        for k in rng.sample(range(400), 14):
+            own[k] = f"x{rng.random()}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts, original = {}, ngram_join.stored
+
+    def counted(df, purpose):
+        out = original(df, purpose)
+        counts[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    got = ngram_join.jaccard_components(docs, width=5, similarity=(80, 100)).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_components(list(enumerate(texts)), 5, 80, 100))
+    assert counts["open-nodes"] > 40 and counts["tiles"] <= 40 * 40 / 2 + 40

@@ -15,7 +15,8 @@ of them has every bit set. So the top of the tree is dealt by the tokens themsel
   the bound asks for, so nearly every set has fewer empty parts than it shares with a linked one, and
   is in no top node for them. If two sets share empty parts alone, both have that many, and both are.
 * In a top node every document is first compared with one head. What links hangs together.
-* Nodes whose documents hang together already are closed. The others are opened: tiles of documents
+* Nodes whose documents hang together already are closed. The others are opened, those with the same
+  head as one node where that takes less, since they hold much the same documents: tiles of documents
   with their bitmaps and sizes, pairs of tiles, and within a pair of tiles smaller nodes, down to
   pairs of documents that hang on different components and may overlap enough.
 * These pairs are compared exactly, shingle by shingle.
@@ -51,6 +52,7 @@ SEGMENT = 1 << 20  # bytes hashed at once
 TOGETHER = 1 << 18  # bytes of short texts hashed together
 SPARE = 6  # bits of a short hash beyond those that number the shingles of a set
 SEEN = 500_000  # copies that one task leaves out
+ROW_COST = 200  # comparisons of bitmaps that take as long as dealing a document with its maps
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -237,12 +239,12 @@ def fingerprints(docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
 
 
 def part_keys(docs: DataFrame, text: str, width: int, parts: tuple[int, int]) -> DataFrame:
-    """(part, f, n) of every distinct set: the top nodes it belongs to."""
+    """(part, f) of every distinct set: the top nodes it belongs to. Copies come from several tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, seen = Parts(*parts), set()
         for batch in batches:
-            keys, prints, sizes = [], [], []
+            keys, prints = [], []
             for shingles in shingle_sets(batch.column(0).to_pylist(), width):
                 f = fingerprint(shingles)
                 if not len(shingles) or f in seen:
@@ -252,19 +254,42 @@ def part_keys(docs: DataFrame, text: str, width: int, parts: tuple[int, int]) ->
                 own = made.keys(shingles)
                 keys.append(own)
                 prints.append(np.full(len(own), f, np.int64))
-                sizes.append(np.full(len(own), len(shingles), np.int64))
                 if sum(map(len, keys[-64:])) > 200_000 or len(keys) >= 512:
-                    yield _key_rows(keys, prints, sizes)
-                    keys, prints, sizes = [], [], []
+                    yield _key_rows(keys, prints)
+                    keys, prints = [], []
             if keys:
-                yield _key_rows(keys, prints, sizes)
+                yield _key_rows(keys, prints)
 
-    return docs.select(F.col(text)).mapInArrow(run, "part long, f long, n long")
+    return docs.select(F.col(text)).mapInArrow(run, "part long, f long")
 
 
-def _key_rows(keys: list, prints: list, sizes: list) -> pa.RecordBatch:
-    columns = [np.concatenate(keys).view(np.int64), np.concatenate(prints), np.concatenate(sizes)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "f", "n"])
+def _key_rows(*columns: list) -> pa.RecordBatch:
+    """Rows (part, f) from lists of arrays."""
+    joined = [pa.array(np.concatenate([np.zeros(0, np.int64), *(a.view(np.int64) for a in c)])) for c in columns]
+    return pa.RecordBatch.from_arrays(joined, ["part", "f"])
+
+
+def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (part, f) in order, each once, those whose part has several sets.
+
+    A row stays if the one before or behind it has the same part; of a batch only the last row waits.
+    """
+    part, f = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the row that waits
+    met = False  # whether the row before it has its part
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part, f = (np.concatenate([x, batch.column(k).to_numpy()]) for k, x in enumerate((part, f)))
+        new = np.concatenate(([True], (part[1:] != part[:-1]) | (f[1:] != f[:-1])))
+        part, f = part[new], f[new]
+        same = part[1:] == part[:-1]
+        before = np.concatenate(([met], same))
+        keep = before[:-1] | same
+        if keep.any():
+            yield _key_rows([part[:-1][keep]], [f[:-1][keep]])
+        part, f, met = part[-1:], f[-1:], bool(before[-1])
+    if met:
+        yield _key_rows([part], [f])
 
 
 def bitmap(shingles: np.ndarray, size: int = BITS) -> np.ndarray:
@@ -545,7 +570,11 @@ def _short_hashes_of(sets: DataFrame, known: DataFrame) -> DataFrame:
 def _opened(
     members: DataFrame, hung: DataFrame, signatures: DataFrame, known: DataFrame, parts: tuple[int, int]
 ) -> DataFrame:
-    """Pairs (f, g) from the top nodes whose documents do not hang together yet."""
+    """Pairs (f, g) from the top nodes whose documents do not hang together yet.
+
+    A document meets its relatives in many nodes, mostly with the same head. Nodes of one head are
+    opened as one, with each document once, unless the pairs this adds cost more than the rows it saves.
+    """
     num, den = parts
     on = members.join(hung.toDF("f", "comp").hint("merge"), "f", "left").withColumn(
         "comp", F.coalesce("comp", "f")
@@ -553,17 +582,41 @@ def _opened(
     on = stored(on, "hung")
     broken = stored(
         on.groupBy("part")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
+        .agg(
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.min("head").alias("head"),
+            F.count("*").cast("double").alias("rows"),
+        )
         .where("low < high")
-        .select("part", "rows"),
+        .select("part", "head", "rows"),
         "open-nodes",
     )
-    rows = on.join(broken.hint("merge"), "part")
+    rows = stored(on.join(broken.select("part").hint("merge"), "part"), "open-members")
+
+    def cost(n: str) -> Column:
+        return F.col(n) * (F.col(n) + ROW_COST)
+
+    apart = broken.groupBy("head").agg(F.sum(cost("rows")).alias("apart"))
+    whole = rows.select("head", "f").distinct().groupBy("head").agg(F.count("*").cast("double").alias("sets"))
+    merged = stored(
+        apart.join(whole.hint("merge"), "head").where(cost("sets") <= F.col("apart")).select("head", F.lit(True).alias("one")),
+        "merged-heads",
+    )
+    rows = stored(
+        rows.join(merged.hint("merge"), "head", "left")
+        .withColumn("part", F.when(F.col("one"), F.col("head")).otherwise(F.col("part")))
+        .select("part", "f", "comp", "head_comp")
+        .distinct(),
+        "merged-members",
+    )
+    sizes = stored(rows.groupBy("part").agg(F.count("*").alias("rows")), "node-sizes")
+    rows = rows.join(sizes.hint("merge"), "part")
     # The component of the head usually holds nearly all; only the others need partners.
     rows = rows.withColumn("main", F.col("comp") == F.col("head_comp"))
     tile = F.pmod(F.xxhash64("f"), F.ceil(F.col("rows") / TILE).cast("long"))
     rows = stored(rows.withColumn("tile", tile), "open-rows")
-    maps = signatures.select("f", "surplus", "bits").join(_short_hashes_of(rows, known), "f")
+    maps = signatures.select("f", "n", "surplus", "bits").join(_short_hashes_of(rows, known), "f")
     rows = rows.join(maps.hint("merge"), "f").select(
         "part", "f", "n", "comp", "main", "surplus", "bits", "fine", "tile"
     )
@@ -678,22 +731,15 @@ def jaccard_components(
     named = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null")
     known = stored(fingerprints(docs, text, key, width), "fingerprints")  # the texts are read here
 
-    keys = part_keys(named, "text", width, similarity)
-    common = stored(
-        keys.groupBy("part").agg(F.count("*").alias("rows")).where("rows > 1").select("part"), "common-parts"
-    )
-    # Copies of a set come from several tasks; each row is one set in one top node from here on.
-    met = stored(stored(keys.join(common.hint("merge"), "part"), "met-raw").distinct(), "met")
-    tops = (
-        met.groupBy("part")
-        .agg(
-            F.min("f").alias("head"),
-            F.max("f").alias("last"),
-            F.count("*").alias("rows"),
-            F.bit_xor(F.xxhash64("f")).alias("x"),
-            F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"),
-        )
-        .where("head < last")
+    # The keys are made and dealt once; each row is one set in one top node from here on.
+    keys = part_keys(named, "text", width, similarity).repartition("part").sortWithinPartitions("part", "f")
+    met = stored(keys.mapInArrow(shared_keys, keys.schema), "met")
+    tops = met.groupBy("part").agg(
+        F.min("f").alias("head"),
+        F.max("f").alias("last"),
+        F.count("*").alias("rows"),
+        F.bit_xor(F.xxhash64("f")).alias("x"),
+        F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"),
     )
     # Sets that agree on much meet in many top nodes; of nodes that hold the same sets one is enough.
     heads = stored(
@@ -724,7 +770,7 @@ def jaccard_components(
     tagged = (
         members.join(heads_hung.hint("merge"), "head", "left")
         .withColumn("head_comp", F.coalesce("head_comp", "head"))
-        .select("part", "f", "n", "head_comp")
+        .select("part", "f", "head", "head_comp")
     )
     second = linked(_opened(tagged, hung, signatures, known, similarity), "pairs-in-nodes")
     # Sets that hang together hang on their smallest; the new links join these.

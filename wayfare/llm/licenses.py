@@ -1,9 +1,11 @@
 """Which licences a text names or carries, by conditional compression.
 
 A block that repeats a known wording gets much smaller when it is compressed with that wording as a
-dictionary. Blocks around words that licences use are compared word by word with every template of
-which they have enough words, among them all that may not change; only a wording that is there, but
-for a few words and never for a name or a version, counts. What compression with it saves is its gain.
+dictionary. Around words that licences use, each window that could hold a template is compressed with and
+without it. Where that saves enough, the window is compared word by word: only a wording that is there, but
+for a few words and never for a name or a version, counts. Of wordings over each other that stays which
+explains most: the bytes it saves, less those that are left. Windows are no longer than their template asks
+for, so a long wording hides no short one beside it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 
 LEVEL = 19
 MAX_MISSING = 0.1  # share of a template's words that a block may lack
+MIN_GAIN = 0.05  # bytes to save, as a share of the template's; with the words that may lack it is more
 GAP = 2  # sentences without a cue that a block may hold
 AROUND = 120  # characters looked at on either side of a block
 
@@ -208,12 +211,19 @@ def compared(template: Template, words: list[str]) -> tuple[int, int, int, int]
     return (first, last, missing, added) if added <= missing + most else None
 
 
-def placed(known: tuple[Template, ...], words: list[str]) -> list[tuple[int, int, int, int, int]]:
-    """(first word, last word, template, missing, added) of wordings, none over another, in order.
+def sizes_of(template: Template, plain: zstandard.ZstdCompressor, words: list[str]) -> tuple[int, int]:
+    """Bytes that words compress to, alone and with the template as dictionary."""
+    data = " ".join(words).encode()
+    return len(plain.compress(data)), len(template.compressor.compress(data))
+
+
+def placed(words: list[str]) -> list[tuple[int, int, int, float, int, int]]:
+    """(first word, last word, template, gain, missing, added) of wordings, none over another, in order.
 
     A wording holds each word that may not change. So each place of one such word, the rarest, is looked
     at with as many words around it as the wording can take up there.
     """
+    known, plain = templates()
     held = Counter(words)
     places: dict[str, list[int]] = {}
     for at, word in enumerate(words):
@@ -233,16 +243,22 @@ def placed(known: tuple[Template, ...], words: list[str]) -> list[tuple[int, int
                     windows.add((max(0, at - own - more), min(len(words), at - own + size + more)))
         for low, high in windows:
             window = words[low:high]
-            found = compared(template, window) if may_hold(template, Counter(window)) else None
+            if not may_hold(template, Counter(window)):
+                continue
+            alone, left = sizes_of(template, plain, window)
+            found = compared(template, window) if alone - left >= MIN_GAIN * template.alone else None
             if found:
                 first, last, missing, added = found
-                confirmed.add((missing + added, -size, k, low + first, low + last, missing, added))
+                alone, left = sizes_of(template, plain, window[first:last])
+                rank = (left - (alone - left), missing + added, -size, k)
+                gain = (alone - left) / template.alone
+                confirmed.add((rank, low + first, low + last, gain, missing, added))
     taken: set[int] = set()
     out = []
-    for _, _, k, first, last, missing, added in sorted(confirmed):
+    for (_, _, _, k), first, last, gain, missing, added in sorted(confirmed):
         if taken.isdisjoint(range(first, last)):
             taken.update(range(first, last))
-            out.append((first, last, k, missing, added))
+            out.append((first, last, k, gain, missing, added))
     return sorted(out)
 
 
@@ -253,26 +269,21 @@ def scan(text: str | None) -> list[Finding]:
     small = text.lower()
     if not any(cue in small for cue in CUES):
         return []
-    known, plain = templates()
+    known, _ = templates()
     out: list[Finding] = []
     for start, end in blocks(text):
         first_at = max(0, start - AROUND)
         spans = _spans(text[first_at : end + AROUND])
         words = [word for word, _, _ in spans]
-        data = " ".join(words).encode()
-        size = len(plain.compress(data))
-        gains: dict[int, float] = {}
         free = [(0, len(words))]
         while free:  # what lies left and right of the wordings found is looked through again
             low, high = free.pop()
             last_taken = low
-            for first, last, k, missing, added in placed(known, words[low:high]):
-                if k not in gains:
-                    gains[k] = (size - len(known[k].compressor.compress(data))) / known[k].alone
+            for first, last, k, gain, missing, added in placed(words[low:high]):
                 first, last = low + first, low + last
                 span = (first_at + spans[first][1], first_at + spans[last - 1][2])
                 wording = " ".join(words[first:last])
-                out.append(Finding(known[k].licence, *span, gains[k], missing, added, wording))
+                out.append(Finding(known[k].licence, *span, gain, missing, added, wording))
                 free.append((last_taken, first))
                 last_taken = last
             if last_taken > low:
@@ -288,8 +299,8 @@ def scan(text: str | None) -> list[Finding]:
 
 def license_scan(docs: DataFrame, text: str = "text", columns: list[str] | None = None) -> DataFrame:
     """One row for each licence found: ``row`` with the given columns (all by default), ``licence``,
-    ``start`` and ``end`` of its wording in the text (code points), ``gain`` (bytes saved, as a share of
-    the template's), ``missing`` and ``added`` words against the template, ``wording`` in plain words.
+    ``start`` and ``end`` of its wording in the text (code points), ``gain`` (bytes that compressing
+    the wording with its template saves, as a share of the template's), ``missing`` and ``added`` words against the template, ``wording`` in plain words.
 
     Null and empty texts and texts without a licence give no row. Repeated rows give their rows again;
     an empty table gives none; other columns pass through in ``row``.

@@ -91,7 +91,7 @@ def test_empty_table(spark, sf_dir, stages):
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in LLM_QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in LLM_QUERIES
     assert corpus_pipeline.ORACLE_SQL is None and set(LLM_ORACLE_SQL) <= set(LLM_QUERIES)
 
 
